@@ -1,0 +1,201 @@
+"""Repeated windows of fixed length, found through content-defined positions.
+
+A window is W consecutive units (bytes or words) of one document. Among the
+grams (short unit runs) of a window, the one with the smallest hash is its
+anchor: equal windows have equal anchors at equal places. Consecutive windows
+of a document that share an anchor form a segment, one for every W/2 units or
+so, and segments, not windows, are what gets shuffled.
+
+The refinement runs in three passes, and what is alone in a pass leaves:
+
+1. anchor: segments whose anchor gram occurs once hold no repeated window;
+2. segment: segments with equal contents repeat in all their windows;
+3. window: where one anchor has several contents, one segment of each content
+   is opened, and its windows are compared at full depth.
+
+Every pass is a grouped count with partial aggregation; a hot anchor or window
+is never gathered in one task.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import ROW, materialize, with_row
+
+#: Units looked at together; a longer document is worked through in steps that
+#: overlap by a window, so that no window is missed and memory stays bounded.
+STEP = 1 << 21
+_PLACE = np.uint64((1 << 22) - 1)
+_MULT = np.uint64(0x9E3779B97F4A7C15)
+_BYTE = np.array([xxhash.xxh64_intdigest(bytes([b]), 7) for b in range(256)], np.uint64)
+
+
+@dataclass(frozen=True)
+class Unit:
+    """How a text is cut: window and gram length in units, and whether units are words."""
+
+    window: int
+    gram: int
+    words: bool
+
+    def cut(self, text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes, hash of each unit, start and end of each unit in the bytes; nothing for a null text."""
+        raw = text.encode("utf-8", "surrogatepass") if text else b""
+        if not self.words:
+            place = np.arange(len(raw) + 1)
+            return raw, _BYTE[np.frombuffer(raw, np.uint8)], place[:-1], place[1:]
+        words = raw.split()
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        digest = xxhash.xxh3_64_intdigest
+        return b" ".join(words), np.array([digest(w) for w in words], np.uint64), np.concatenate(([0], ends[:-1] + 1)) if words else ends, ends
+
+
+def _power(n: int) -> np.uint64:
+    return np.uint64(pow(int(_MULT), n, 1 << 64))
+
+
+def _grams(h: np.ndarray, n: int) -> np.ndarray:
+    """Rolling hash of n units at each place, by doubling."""
+    out, length, size, block = None, 0, 1, h
+    while True:
+        if n & size:
+            out, length = (block, size) if out is None else (out[: len(out) - size] * _power(size) + block[length:], length + size)
+        size *= 2
+        if size > n:
+            return out
+        half = size // 2
+        block = block[: len(block) - half] * _power(half) + block[half:]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+
+
+def segments(hashes: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, last window and anchor hash of each segment of one document."""
+    found = []
+    for at in range(0, max(1, len(hashes) - unit.window + 1), STEP):
+        h = hashes[at : at + STEP + unit.window - 1]
+        windows = len(h) - unit.window + 1
+        if windows < 1:
+            break
+        grams = _mix(_grams(h, unit.gram))
+        low = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
+        size, span = 1, unit.window - unit.gram + 1
+        while size < span:
+            by = min(size, span - size)
+            low = np.minimum(low[:-by], low[by:])
+            size += by
+        place = (low & _PLACE).astype(np.int64)
+        first = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
+        last = np.concatenate((first[1:] - 1, [windows - 1]))
+        found.append((first + at, last + at, grams[place[first]]))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _find(unit: Unit):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            rows, out = [], []
+            for row, text in zip(batch[ROW], batch["text"], strict=True):
+                raw, hashes, starts, ends = unit.cut(text)
+                lo, hi, anchor = segments(hashes, unit)
+                if not len(lo):
+                    continue
+                whole = [digest(raw[a:b]) for a, b in zip(starts[lo].tolist(), ends[hi + unit.window - 1].tolist(), strict=True)]
+                rows.append(np.full(len(lo), row, np.int64))
+                out.append((lo, hi, anchor.view(np.int64), np.array(whole, np.uint64).view(np.int64)))
+            if rows:
+                lo, hi, anchor, whole = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pd.DataFrame({ROW: np.concatenate(rows), "lo": lo, "hi": hi, "anchor": anchor, "whole": whole})
+
+    return run
+
+
+def _open(unit: Unit):
+    """The windows of the segments to be opened, hashed at full depth."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            for row, text, opened in zip(batch[ROW], batch["text"], batch["opened"], strict=True):
+                raw, _, starts, ends = unit.cut(text)
+                lo, hi, anchor, n = (np.array([x[k] for x in opened], np.int64) for k in ("lo", "hi", "anchor", "n"))
+                count = hi - lo + 1
+                at = np.repeat(lo - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+                window = [digest(raw[a:b]) for a, b in zip(starts[at].tolist(), ends[at + unit.window - 1].tolist(), strict=True)]
+                yield pd.DataFrame({ROW: np.full(len(at), row, np.int64), "lo": at, "anchor": np.repeat(anchor, count), "window": np.array(window, np.uint64).view(np.int64), "n": np.repeat(n, count)})
+
+    return run
+
+
+def repeated(docs: DataFrame, unit: Unit) -> DataFrame:
+    """(__row, lo, hi): runs of window starts that are repeated, for docs (__row, text)."""
+    found = materialize(docs.mapInPandas(_find(unit), f"{ROW} long, lo long, hi long, anchor long, whole long"))
+    anchors = found.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("whole") != F.max("whole")).alias("mixed")).where("n > 1").drop("n")
+    shared = materialize(found.join(anchors, "anchor"))
+    alike, mixed = shared.where("not mixed"), shared.where("mixed")
+
+    contents = materialize(mixed.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(F.struct(ROW, "lo", "hi")).alias("one")))
+    copied = mixed.join(contents.where("n > 1").select("anchor", "whole"), ["anchor", "whole"])
+    opened = contents.groupBy(F.col(f"one.{ROW}").alias(ROW)).agg(F.collect_list(F.struct("one.lo", "one.hi", "anchor", "n")).alias("opened"))
+    windows = materialize(docs.join(opened, ROW).mapInPandas(_open(unit), f"{ROW} long, lo long, anchor long, window long, n long"))
+    again = windows.groupBy("anchor", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
+    single = windows.where("n = 1").join(again, ["anchor", "window"]).select(ROW, "lo", F.col("lo").alias("hi"))
+    return alike.select(ROW, "lo", "hi").unionByName(copied.select(ROW, "lo", "hi")).unionByName(single)
+
+
+def _cut_out(unit: Unit, extra: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text, runs in zip(batch["text"], batch["runs"], strict=True):
+                raw, units, starts, ends = unit.cut(text)
+                n, drop = len(units), np.zeros(len(units) + 1, np.int64)
+                if runs is not None and len(runs):
+                    np.add.at(drop, [x["lo"] for x in runs], 1)
+                    np.add.at(drop, [x["hi"] + unit.window for x in runs], -1)
+                drop = np.cumsum(drop[:-1]) > 0
+                edge = np.flatnonzero(np.diff(np.concatenate(([0], drop.view(np.int8), [0]))))
+                spans = edge.reshape(-1, 2)
+                if unit.words:
+                    kept = b" ".join(raw[a:b] for a, b in zip(starts[~drop].tolist(), ends[~drop].tolist(), strict=True)) if len(spans) else raw
+                else:
+                    keep = np.concatenate(([0], edge, [n])).reshape(-1, 2)
+                    kept = b"".join(raw[a:b] for a, b in keep.tolist())
+                out.append((n, int(drop.sum()), spans.tolist(), kept))
+            got = pd.DataFrame(out, columns=["n_units", "n_removed", "spans", "kept"])
+            yield pd.concat([batch.drop(columns=["text", "runs"]).iloc[:, :extra].reset_index(drop=True), got], axis=1)
+
+    return run
+
+
+def remove_repeated(docs: DataFrame, unit: Unit, id_col: str, text_col: str) -> DataFrame:
+    """(__row, id, n_units, n_removed, spans, kept) for each row of docs, from its whole text.
+
+    A unit goes if a repeated window covers it, in every place the window
+    occurs. spans are the maximal removed runs [start, end) in units; kept is
+    the rest as bytes (words joined by one space). Null texts have no units.
+    """
+    rows = with_row(docs, F.col(text_col).alias("text"))
+    runs = repeated(rows, unit).groupBy(ROW).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    texts = with_row(docs, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.join(runs, ROW, "left").select(ROW, "id", "text", "runs").mapInPandas(
+        _cut_out(unit, 2), f"{ROW} long, id {kind}, n_units long, n_removed long, spans array<array<long>>, kept binary"
+    )
+
+
