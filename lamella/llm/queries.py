@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn, simhash, suffixes
+from . import debruijn, mixing, packing, simhash, suffixes
 from .common import table
 
 
@@ -14,6 +14,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.col("n_units").alias("n_bytes"), "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -24,5 +29,10 @@ def op8_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op4_suffix_array": op4_suffix_array, "op8_de_bruijn": op8_de_bruijn}
+def op9_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_best_fit, op4_suffix_array, op8_de_bruijn, op9_weighted_mix)}
 ORACLES: dict[str, str] = {}
