@@ -33,6 +33,8 @@ def small_batches(spark: SparkSession) -> None:
     """Bound what a Python worker gets at once, whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # Shuffle files go when the step that made them has been written.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def shared_dir(spark: SparkSession) -> str:

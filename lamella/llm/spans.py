@@ -11,10 +11,12 @@ The refinement runs in three passes, and what is alone in a pass leaves:
 1. anchor: segments whose anchor gram occurs once hold no repeated window;
 2. segment: segments with equal contents repeat in all their windows;
 3. window: where one anchor has several contents, one segment of each content
-   is opened, and its windows are compared at full depth.
+   is opened, and its windows are compared at full depth. An anchor with up to
+   ``GATHER`` contents is finished in memory on the segments' own units; for a
+   hotter one every window becomes a row of a further grouped count.
 
-Every pass is a grouped count with partial aggregation; a hot anchor or window
-is never gathered in one task.
+Every grouped count aggregates partially before it shuffles; what one task
+gathers is bounded by GATHER segments.
 """
 
 from __future__ import annotations
@@ -28,11 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, with_row
+from .common import ROW, discard, materialize, with_row
 
 #: Units looked at together; a longer document is worked through in steps that
 #: overlap by a window, so that no window is missed and memory stays bounded.
 STEP = 1 << 21
+#: Most contents of one anchor that are compared in one place.
+GATHER = 1000
 _PLACE = np.uint64((1 << 22) - 1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.array([xxhash.xxh64_intdigest(bytes([b]), 7) for b in range(256)], np.uint64)
@@ -126,18 +130,71 @@ def _find(unit: Unit):
 
 
 def _open(unit: Unit):
-    """The windows of the segments to be opened, hashed at full depth."""
+    """The segments to be opened, with the bytes of their units."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
+            out = []
             for row, text, opened in zip(batch[ROW], batch["text"], batch["opened"], strict=True):
                 raw, _, starts, ends = unit.cut(text)
-                lo, hi, anchor, n = (np.array([x[k] for x in opened], np.int64) for k in ("lo", "hi", "anchor", "n"))
-                count = hi - lo + 1
-                at = np.repeat(lo - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-                window = [digest(raw[a:b]) for a, b in zip(starts[at].tolist(), ends[at + unit.window - 1].tolist(), strict=True)]
-                yield pd.DataFrame({ROW: np.full(len(at), row, np.int64), "lo": at, "anchor": np.repeat(anchor, count), "window": np.array(window, np.uint64).view(np.int64), "n": np.repeat(n, count)})
+                out += [(row, x["lo"], x["anchor"], x["n"], raw[starts[x["lo"]] : ends[x["hi"] + unit.window - 1]]) for x in opened]
+            yield pd.DataFrame(out, columns=[ROW, "lo", "anchor", "n", "raw"])
+
+    return run
+
+
+def _windows(unit: Unit, raw: bytes) -> list[bytes]:
+    if not unit.words:
+        return [raw[i : i + unit.window] for i in range(len(raw) - unit.window + 1)]
+    ends = np.cumsum([len(w) + 1 for w in raw.split(b" ")]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    return [raw[a:b] for a, b in zip(starts[: len(ends) - unit.window + 1].tolist(), ends[unit.window - 1 :].tolist(), strict=True)]
+
+
+def _compare(unit: Unit):
+    """Runs of windows that are repeated among the segments of one anchor; rows come sorted by anchor."""
+
+    def one(rows: list[int], los: list[int], ns: list[int], raws: list[bytes]) -> list[tuple[int, int, int]]:
+        times: dict[bytes, int] = {}
+        windows = [_windows(unit, raw) for raw in raws]
+        for n, own in zip(ns, windows, strict=True):
+            for w in own:
+                times[w] = times.get(w, 0) + n
+        out = []
+        for row, lo, n, own in zip(rows, los, ns, windows, strict=True):
+            if n == 1:
+                again = np.array([times[w] > 1 for w in own], np.int8)
+                edge = np.flatnonzero(np.diff(np.concatenate(([0], again, [0]))))
+                out += [(row, lo + a, lo + b - 1) for a, b in edge.reshape(-1, 2).tolist()]
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            anchors = rest["anchor"].to_numpy()
+            ends = np.flatnonzero(np.diff(anchors)) + 1
+            if len(ends):
+                yield of(rest.iloc[: ends[-1]], ends[:-1])
+                rest = rest.iloc[ends[-1] :].reset_index(drop=True)
+        if rest is not None and len(rest):
+            yield of(rest, np.zeros(0, np.int64))
+
+    def of(frame: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+        bounds = [0, *cuts.tolist(), len(frame)]
+        columns = [frame[c].tolist() for c in (ROW, "lo", "n", "raw")]
+        return pd.DataFrame([x for a, b in zip(bounds, bounds[1:], strict=False) for x in one(*[c[a:b] for c in columns])], columns=[ROW, "lo", "hi"]).astype("int64")
+
+    return run
+
+
+def _explode(unit: Unit):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            for row, lo, anchor, n, raw in zip(*[batch[c] for c in (ROW, "lo", "anchor", "n", "raw")], strict=True):
+                window = np.array([digest(w) for w in _windows(unit, raw)], np.uint64).view(np.int64)
+                yield pd.DataFrame({ROW: row, "lo": np.arange(lo, lo + len(window)), "anchor": anchor, "window": window, "n": n})
 
     return run
 
@@ -147,15 +204,20 @@ def repeated(docs: DataFrame, unit: Unit) -> DataFrame:
     found = materialize(docs.mapInPandas(_find(unit), f"{ROW} long, lo long, hi long, anchor long, whole long"))
     anchors = found.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("whole") != F.max("whole")).alias("mixed")).where("n > 1").drop("n")
     shared = materialize(found.join(anchors, "anchor"))
+    discard(found)
     alike, mixed = shared.where("not mixed"), shared.where("mixed")
 
     contents = materialize(mixed.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(F.struct(ROW, "lo", "hi")).alias("one")))
     copied = mixed.join(contents.where("n > 1").select("anchor", "whole"), ["anchor", "whole"])
     opened = contents.groupBy(F.col(f"one.{ROW}").alias(ROW)).agg(F.collect_list(F.struct("one.lo", "one.hi", "anchor", "n")).alias("opened"))
-    windows = materialize(docs.join(opened, ROW).mapInPandas(_open(unit), f"{ROW} long, lo long, anchor long, window long, n long"))
+    bare = materialize(docs.join(opened, ROW).mapInPandas(_open(unit), f"{ROW} long, lo long, anchor long, n long, raw binary"))
+    hot = materialize(contents.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > GATHER).select("anchor"))
+    runs = f"{ROW} long, lo long, hi long"
+    few = bare.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_compare(unit), runs)
+    windows = bare.join(hot, "anchor").mapInPandas(_explode(unit), f"{ROW} long, lo long, anchor long, window long, n long")
     again = windows.groupBy("anchor", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
     single = windows.where("n = 1").join(again, ["anchor", "window"]).select(ROW, "lo", F.col("lo").alias("hi"))
-    return alike.select(ROW, "lo", "hi").unionByName(copied.select(ROW, "lo", "hi")).unionByName(single)
+    return materialize(alike.select(ROW, "lo", "hi").unionByName(copied.select(ROW, "lo", "hi")).unionByName(few).unionByName(single))
 
 
 def _cut_out(unit: Unit, extra: int):

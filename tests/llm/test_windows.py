@@ -140,3 +140,13 @@ def test_clean_keeps_columns(spark):
     out = debruijn.clean(docs)
     assert out.schema.fieldNames() == docs.schema.fieldNames()
     assert out.count() == docs.count()
+
+
+def test_hot_anchors(spark, monkeypatch):
+    """With no anchor gathered, the counts of single windows give the same."""
+    from lamella.llm import spans
+
+    docs = spark.createDataFrame(_corpus()[:-1], "doc_id long, text string, s string")
+    want = sorted(map(str, debruijn.dedup_words(docs).collect()))
+    monkeypatch.setattr(spans, "GATHER", 1)
+    assert sorted(map(str, debruijn.dedup_words(docs).collect())) == want
