@@ -58,9 +58,7 @@ def dialogue(conversations: DataFrame) -> DataFrame:
     """The rows of parse() for transcripts without tools: a user's turn calls the tool ``reply``, the next turn of an assistant is its result."""
     name = lambda turn: F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), turn.cast("string"))
     user, assistant = F.col("role") == "user", F.col("role") == "assistant"
-    prompt = F.concat(F.lit('{"prompt":'), F.coalesce(F.to_json(F.to_variant_object(F.array("text")).cast("variant")).substr(F.lit(2), F.lit(1 << 30)), F.lit("null")))
-    # to_json of a one-element array is "[...]": without its brackets, the value.
-    prompt = F.concat(F.regexp_replace(prompt, r"\]$", ""), F.lit("}"))
+    prompt = F.to_json(F.struct(F.col("text").alias("prompt")))  # {} if the text is null
     return conversations.select(
         "conv_id", "turn", "role",
         F.when(user, CALL).when(assistant, RESULT).otherwise(MESSAGE).alias("kind"),
@@ -79,7 +77,7 @@ def validate(tool: Column, arguments: Column, schemas: Schemas) -> Column:
     for name, fields in sorted(schemas.items()):
         mine = tool == name
         keys = F.json_object_keys(F.when(is_object, arguments))
-        unknown = F.exists(keys, lambda k, f=tuple(fields): ~k.isin(*f) if f else F.lit(True))
+        unknown = F.size(F.array_except(keys, F.array(*map(F.lit, fields)).cast("array<string>"))) > 0
         for field, (kind, required) in sorted(fields.items()):
             value = F.try_variant_get(F.when(is_object, parsed), f"$.{field}", "variant")
             there = F.coalesce(F.array_contains(keys, field), F.lit(False))
@@ -92,11 +90,6 @@ def validate(tool: Column, arguments: Column, schemas: Schemas) -> Column:
     return out.when(~F.coalesce(known, F.lit(False)), "unknown_tool").otherwise("ok")
 
 
-def canonical(json: Column) -> Column:
-    """The same JSON value with sorted keys and no spaces; null if it isn't JSON."""
-    return F.to_json(F.try_parse_json(json))
-
-
 def link(rows: DataFrame, schemas: Schemas) -> DataFrame:
     """(conv_id, anchor, step, turn, role, kind, call_id, status, line) for rows of parse() or dialogue().
 
@@ -121,7 +114,8 @@ def link(rows: DataFrame, schemas: Schemas) -> DataFrame:
         .otherwise("ok")
     )
     # Fields by name, so that keys come sorted; null fields are left out.
-    line = F.to_json(F.struct(F.coalesce(canonical("arguments"), F.col("arguments")).alias("arguments"), "call_id", "content", "kind", "role", "tool"))
+    arguments = F.coalesce(F.try_parse_json("arguments"), F.col("arguments").cast("variant"))
+    line = F.to_json(F.struct(arguments.alias("arguments"), "call_id", "content", "kind", "role", "tool"))
     return both.select(
         "conv_id",
         F.when(is_result & F.col("known"), F.coalesce("called", "turn")).otherwise(F.col("turn")).alias("anchor"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn, mixing, packing, simhash, suffixes
+from . import chat, debruijn, langid, mixing, packing, rules, simhash, sitebayes, suffixes, topk
 from .common import table
 
 
@@ -19,11 +19,68 @@ def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select(F.col("id").alias("doc_id"), langid.held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.col("n_units").alias("n_bytes"), "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.judge(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), *rules.COUNTS, "base_failed", "kept", "char_distance", "word_distance")
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+def op7_tool_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no tool turns, so a user's turn is read as a call, the assistant's next turn as its result."""
+    return chat.link(chat.dialogue(table(spark, sf_dir, "conversations")), chat.REPLY)
+
+
+OP7_SQL = """
+WITH t AS (
+    SELECT conv_id, turn, role, text,
+        CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+        CASE role WHEN 'user' THEN concat_ws('-', 'call', conv_id, turn) WHEN 'assistant' THEN concat_ws('-', 'call', conv_id, turn - 1) END AS call_id
+    FROM conversations
+), calls AS (
+    SELECT conv_id, call_id, min(turn) AS called FROM t WHERE kind = 'call' GROUP BY ALL
+)
+SELECT t.conv_id, CASE WHEN kind = 'result' THEN coalesce(called, turn) ELSE turn END AS anchor,
+    CASE WHEN kind = 'result' THEN 1 ELSE 0 END AS step, turn, role, kind, call_id,
+    CASE kind WHEN 'call' THEN CASE WHEN text IS NULL THEN 'missing:prompt' ELSE 'ok' END
+        WHEN 'result' THEN CASE WHEN called IS NULL THEN 'orphan' ELSE 'linked' END ELSE 'ok' END AS status,
+    '{' || concat_ws(',',
+        CASE WHEN kind = 'call' THEN '"arguments":{' || coalesce('"prompt":' || to_json(text)::VARCHAR, '') || '}' END,
+        '"call_id":' || to_json(call_id)::VARCHAR,
+        CASE WHEN kind <> 'call' THEN '"content":' || to_json(text)::VARCHAR END,
+        '"kind":' || to_json(kind)::VARCHAR, '"role":' || to_json(role)::VARCHAR,
+        CASE WHEN kind = 'call' THEN '"tool":"reply"' END) || '}' AS line
+FROM t LEFT JOIN calls USING (conv_id, call_id)
+"""
+
+
 def op8_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = debruijn.dedup_words(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -34,5 +91,13 @@ def op9_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_best_fit, op4_suffix_array, op8_de_bruijn, op9_weighted_mix)}
-ORACLES: dict[str, str] = {}
+def op10_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sitebayes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "quality_score", "toxic_score", "kept")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_simhash, op2_best_fit, op3_subword_language, op4_suffix_array, op5_divergence_rules, op6_exact_top_k, op7_tool_linking, op8_de_bruijn, op9_weighted_mix, op10_site_bayes)
+}
+ORACLES = {"op6_exact_top_k": OP6_SQL, "op7_tool_linking": OP7_SQL}
