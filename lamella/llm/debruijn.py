@@ -6,8 +6,9 @@ content-defined minimiser form a path fragment; inside a fragment nothing
 branches as long as every occurrence of the minimiser has the same fragment.
 Joins on the minimiser (see ``spans``) compact those: equal fragments are one
 path, repeated in all its edges. Where the graph branches (one minimiser,
-several fragments) the fragments, one of each content, are opened into single
-edges and counted by k-mer. The coordinates of the fragments and edges in their
+several fragments) the fragments, one of each content, are opened and compared
+edge by edge, after being cut and compacted again by longer minimisers where
+very many meet. The coordinates of the fragments and edges in their
 source documents give the spans to remove, and every span is verified there:
 hashes are taken over the source words themselves.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import ROW, small_batches, whole_rows
 from .spans import Unit, remove_repeated
 
-WINDOW, GRAM = 35, 6
+WINDOW, GRAMS = 35, (6, 26, 33)
 
 
 def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -31,7 +32,7 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     have no words; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    return remove_repeated(docs, Unit(window, min(GRAM, window), True), id_col, text_col)
+    return remove_repeated(docs, Unit(window, tuple(min(g, window) for g in GRAMS), True), id_col, text_col)
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:

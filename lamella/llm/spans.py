@@ -12,8 +12,10 @@ The refinement runs in three passes, and what is alone in a pass leaves:
 2. segment: segments with equal contents repeat in all their windows;
 3. window: where one anchor has several contents, one segment of each content
    is opened, and its windows are compared at full depth. An anchor with up to
-   ``GATHER`` contents is finished in memory on the segments' own units; for a
-   hotter one every window becomes a row of a further grouped count.
+   ``GATHER`` contents is finished in memory on the segments' own units. The
+   segments of a hotter one are cut again by longer grams, nearer to the whole
+   window, and go through the passes once more; what is hot under the longest
+   grams still becomes a row for each window, for a last grouped count.
 
 Every grouped count aggregates partially before it shuffles; what one task
 gathers is bounded by GATHER segments.
@@ -44,15 +46,17 @@ _BYTE = np.array([xxhash.xxh64_intdigest(bytes([b]), 7) for b in range(256)], np
 
 @dataclass(frozen=True)
 class Unit:
-    """How a text is cut: window and gram length in units, and whether units are words."""
+    """How a text is cut: window and gram lengths in units, and whether units are words."""
 
     window: int
-    gram: int
+    grams: tuple[int, ...]
     words: bool
 
     def cut(self, text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
         """Bytes, hash of each unit, start and end of each unit in the bytes; nothing for a null text."""
-        raw = text.encode("utf-8", "surrogatepass") if text else b""
+        return self.cut_bytes(text.encode("utf-8", "surrogatepass") if text else b"")
+
+    def cut_bytes(self, raw: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
         if not self.words:
             place = np.arange(len(raw) + 1)
             return raw, _BYTE[np.frombuffer(raw, np.uint8)], place[:-1], place[1:]
@@ -84,7 +88,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
 
 
-def segments(hashes: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments(hashes: np.ndarray, unit: Unit, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First window, last window and anchor hash of each segment of one document."""
     found = []
     for at in range(0, max(1, len(hashes) - unit.window + 1), STEP):
@@ -92,9 +96,9 @@ def segments(hashes: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np
         windows = len(h) - unit.window + 1
         if windows < 1:
             break
-        grams = _mix(_grams(h, unit.gram))
+        grams = _mix(_grams(h, gram))
         low = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
-        size, span = 1, unit.window - unit.gram + 1
+        size, span = 1, unit.window - gram + 1
         while size < span:
             by = min(size, span - size)
             low = np.minimum(low[:-by], low[by:])
@@ -116,7 +120,7 @@ def _find(unit: Unit):
             rows, out = [], []
             for row, text in zip(batch[ROW], batch["text"], strict=True):
                 raw, hashes, starts, ends = unit.cut(text)
-                lo, hi, anchor = segments(hashes, unit)
+                lo, hi, anchor = segments(hashes, unit, unit.grams[0])
                 if not len(lo):
                     continue
                 whole = [digest(raw[a:b]) for a, b in zip(starts[lo].tolist(), ends[hi + unit.window - 1].tolist(), strict=True)]
@@ -143,6 +147,25 @@ def _open(unit: Unit):
     return run
 
 
+def _recut(unit: Unit, gram: int):
+    """Segments under longer grams, of segments given by their bytes; keeps the bytes of each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            out = []
+            for row, at, n, raw in zip(*[batch[c] for c in (ROW, "lo", "n", "raw")], strict=True):
+                _, hashes, starts, ends = unit.cut_bytes(raw)
+                lo, hi, anchor = segments(hashes, unit, gram)
+                for a, b, key in zip(lo.tolist(), hi.tolist(), anchor.view(np.int64).tolist(), strict=True):
+                    own = raw[starts[a] : ends[b + unit.window - 1]]
+                    whole = digest(own)
+                    out.append((row, at + a, at + b, n, key, whole - (1 << 64 if whole >> 63 else 0), own))
+            yield pd.DataFrame(out, columns=[ROW, "lo", "hi", "n", "anchor", "whole", "raw"])
+
+    return run
+
+
 def _windows(unit: Unit, raw: bytes) -> list[bytes]:
     if not unit.words:
         return [raw[i : i + unit.window] for i in range(len(raw) - unit.window + 1)]
@@ -199,25 +222,47 @@ def _explode(unit: Unit):
     return run
 
 
+RUNS = f"{ROW} long, lo long, hi long"
+
+
 def repeated(docs: DataFrame, unit: Unit) -> DataFrame:
     """(__row, lo, hi): runs of window starts that are repeated, for docs (__row, text)."""
-    found = materialize(docs.mapInPandas(_find(unit), f"{ROW} long, lo long, hi long, anchor long, whole long"))
-    anchors = found.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("whole") != F.max("whole")).alias("mixed")).where("n > 1").drop("n")
+    found = materialize(docs.mapInPandas(_find(unit), f"{RUNS}, anchor long, whole long").withColumn("n", F.lit(1).cast("long")))
+    return materialize(_refine(found, unit, unit.grams[1:], docs))
+
+
+def _refine(found: DataFrame, unit: Unit, grams: tuple[int, ...], docs: DataFrame | None = None) -> DataFrame:
+    """Repeated runs of segments (__row, lo, hi, n, anchor, whole[, raw]); n: how often the segment occurs.
+
+    The bytes of the segments to be opened come from docs, if not in raw. Of a
+    segment with n over 1 all windows are known to be repeated.
+    """
+    anchors = found.groupBy("anchor").agg(F.sum("n").alias("times"), (F.min("whole") != F.max("whole")).alias("mixed")).where("times > 1").drop("times")
     shared = materialize(found.join(anchors, "anchor"))
     discard(found)
     alike, mixed = shared.where("not mixed"), shared.where("mixed")
 
-    contents = materialize(mixed.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(F.struct(ROW, "lo", "hi")).alias("one")))
+    one = F.struct(ROW, "lo", "hi", *["raw"] * (docs is None))
+    contents = materialize(mixed.groupBy("anchor", "whole").agg(F.sum("n").alias("n"), F.min(one).alias("one")))
     copied = mixed.join(contents.where("n > 1").select("anchor", "whole"), ["anchor", "whole"])
-    opened = contents.groupBy(F.col(f"one.{ROW}").alias(ROW)).agg(F.collect_list(F.struct("one.lo", "one.hi", "anchor", "n")).alias("opened"))
-    bare = materialize(docs.join(opened, ROW).mapInPandas(_open(unit), f"{ROW} long, lo long, anchor long, n long, raw binary"))
+    out = alike.select(ROW, "lo", "hi").unionByName(copied.select(ROW, "lo", "hi"))
+
+    if docs is None:
+        bare = contents.select("one.*", "anchor", "n")
+    else:
+        opened = contents.groupBy(F.col(f"one.{ROW}").alias(ROW)).agg(F.collect_list(F.struct("one.lo", "one.hi", "anchor", "n")).alias("opened"))
+        bare = materialize(docs.join(opened, ROW).mapInPandas(_open(unit), f"{ROW} long, lo long, anchor long, n long, raw binary"))
+    bare = bare.select(ROW, "lo", "anchor", "n", "raw")
     hot = materialize(contents.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > GATHER).select("anchor"))
-    runs = f"{ROW} long, lo long, hi long"
-    few = bare.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_compare(unit), runs)
-    windows = bare.join(hot, "anchor").mapInPandas(_explode(unit), f"{ROW} long, lo long, anchor long, window long, n long")
-    again = windows.groupBy("anchor", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
-    single = windows.where("n = 1").join(again, ["anchor", "window"]).select(ROW, "lo", F.col("lo").alias("hi"))
-    return materialize(alike.select(ROW, "lo", "hi").unionByName(copied.select(ROW, "lo", "hi")).unionByName(few).unionByName(single))
+    out = out.unionByName(bare.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_compare(unit), RUNS))
+    if hot.isEmpty():
+        return out
+    if grams:
+        again = bare.join(hot, "anchor").mapInPandas(_recut(unit, grams[0]), f"{RUNS}, n long, anchor long, whole long, raw binary")
+        return out.unionByName(_refine(materialize(again), unit, grams[1:]))
+    windows = materialize(bare.join(hot, "anchor").mapInPandas(_explode(unit), f"{ROW} long, lo long, anchor long, window long, n long"))
+    several = windows.groupBy("anchor", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
+    return out.unionByName(windows.where("n = 1").join(several, ["anchor", "window"]).select(ROW, "lo", F.col("lo").alias("hi")))
 
 
 def _cut_out(unit: Unit, extra: int):

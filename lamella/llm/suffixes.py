@@ -7,9 +7,10 @@ suffix alone in its group leaves. Digits are blocks of bytes and not single
 bytes, and suffixes enter in runs: all suffixes of a document that share the
 content-defined anchor gram are one row (see ``spans``), which keeps what is
 shuffled well below the input. Pass one deals by the anchor, pass two by the
-run's whole content, pass three by the suffix through the full depth. What is
-still in a group of two after pass three is a repeated window, and nothing
-else is.
+run's whole content; small groups are then finished in memory through the full
+depth, as radix sorts do, and large ones go through more passes with longer
+digits (``GRAMS``), up to the full depth. What is still in a group of two in the
+end is a repeated window, and nothing else is.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from .common import small_batches
 from .spans import Unit, remove_repeated
 
-WINDOW, GRAM = 200, 32
+WINDOW, GRAMS = 200, (32, 150, 190)
 
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -30,4 +31,4 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lose all bytes if they are a window long; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    return remove_repeated(docs, Unit(window, min(GRAM, window // 2), False), id_col, text_col)
+    return remove_repeated(docs, Unit(window, tuple(min(g, window) for g in GRAMS), False), id_col, text_col)

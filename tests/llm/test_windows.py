@@ -63,10 +63,10 @@ def test_long_documents_in_steps(spark, kind, monkeypatch):
     words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(500)]
     text = [r.choice(words) for _ in range(3000)]
     text[2500:2600] = text[100:200]
-    unit = spans.Unit(35, 6, True) if kind == "words" else spans.Unit(200, 32, False)
-    whole = spans.segments(unit.cut(" ".join(text))[1], unit)
+    unit = spans.Unit(35, (6,), True) if kind == "words" else spans.Unit(200, (32,), False)
+    whole = spans.segments(unit.cut(" ".join(text))[1], unit, unit.grams[0])
     monkeypatch.setattr(spans, "STEP", 257)
-    steps = spans.segments(unit.cut(" ".join(text))[1], unit)
+    steps = spans.segments(unit.cut(" ".join(text))[1], unit, unit.grams[0])
     pick = lambda s: {w: int(a) for lo, hi, a in zip(*s, strict=True) for w in range(lo, hi + 1)}
     assert pick(whole) == pick(steps)
 
@@ -147,6 +147,8 @@ def test_hot_anchors(spark, monkeypatch):
     from lamella.llm import spans
 
     docs = spark.createDataFrame(_corpus()[:-1], "doc_id long, text string, s string")
-    want = sorted(map(str, debruijn.dedup_words(docs).collect()))
-    monkeypatch.setattr(spans, "GATHER", 1)
-    assert sorted(map(str, debruijn.dedup_words(docs).collect())) == want
+    for f in (debruijn.dedup_words, suffixes.dedup_bytes):
+        want = sorted(map(str, f(docs).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(spans, "GATHER", 1)
+            assert sorted(map(str, f(docs).collect())) == want
