@@ -7,6 +7,8 @@ at random over groups of about ``GROUP`` pieces, and each group is packed
 online: a piece goes to the open bin with the least free space that holds it,
 found in a bitset keyed by free space. At most ``OPEN`` bins are open; when
 another is needed the fullest closes. State is bounded by OPEN and the capacity.
+Pieces arrive in random order, but each run of ``RUN`` of them longest first, so
+that the short ones of a run fill what its long ones leave.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import ROW, materialize, small_batches, with_row
 
-CAPACITY, END, OPEN, GROUP = 1024, 2, 4096, 100_000
+CAPACITY, END, OPEN, RUN, GROUP = 1024, 2, 4096, 8192, 100_000
 
 
 def _bytes_of() -> dict[str, int]:
@@ -136,6 +138,7 @@ def best_fit(lengths: list[int], capacity: int = CAPACITY, most_open: int = OPEN
 
 def _pack(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values(["deal", ROW, "piece"], kind="stable")
+    frame = frame.iloc[np.lexsort((-frame["length"].to_numpy(), np.arange(len(frame)) // RUN))]
     bins, offsets = best_fit(frame["length"].tolist())
     number = frame["group"].to_numpy() * (1 << 32) + np.array(bins, np.int64)
     return frame.assign(sequence_id=2 * number + 1, offset=np.array(offsets, np.int64)).drop(columns=["deal", "group"])
