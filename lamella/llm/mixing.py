@@ -9,7 +9,9 @@ that order, meet the budget.
 
 Prefix sums never order a whole source in one task: keys fall into ranges, the
 sums of the ranges are few, and only the range where the budget ends is ordered
-document by document. The outcome is one cut for each source, joined back.
+document by document. The words that are then still missing, fewer than the next
+document has, are filled with the one document whose size comes nearest. The
+outcome is one cut and one last document for each source, joined back.
 """
 
 from __future__ import annotations
@@ -71,9 +73,10 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: floa
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(sized, cuts): the documents as (id, source, size, key), and a row for each source.
 
-    cuts has source, source_size, target, ranges, epochs, end (the range where
-    the budget ends, -1 for none) and cut (the last key taken in that range).
-    Documents with equal keys, that is repeated rows, are taken together.
+    cuts has of (the source), source_size, target, ranges, epochs, end (the
+    range where the budget ends, -1 for none), cut (the last key taken in that
+    range) and last (the key of the filling document). Documents with equal
+    keys, that is repeated rows, are taken together and never fill.
     """
     text = F.col(text_col)
     sized = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words_in(text).alias("size"), sampling_key(F.col(id_col), text, seed).alias("key")))
@@ -91,18 +94,29 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     ends = materialize(ends.select(F.col("of").alias("end_of"), F.col("range").alias("end"), "before"))
     last = ranged.join(ends, F.col("of").eqNullSafe(F.col("end_of")) & (F.col("range") == F.col("end")))
     ties = last.groupBy("of", "key").agg(F.sum("size").alias("sum"), F.first("budget").alias("budget"), F.first("before").alias("before"))
-    upto = Window.partitionBy("of").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    taken = ties.withColumn("before", F.col("before") + F.coalesce(F.sum("sum").over(upto), F.lit(0))).where("before + sum / 2 <= budget")
-    cut = taken.groupBy(F.col("of").alias("cut_of")).agg(F.max("key").alias("cut"))
+    upto = Window.partitionBy("of").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    upto = ties.withColumn("upto", F.col("before") + F.sum("sum").over(upto))
+    fits = F.col("upto") <= F.col("budget")
+    cut = upto.groupBy(F.col("of").alias("cut_of")).agg(F.max(F.when(fits, F.col("key"))).alias("cut"), (F.first("budget") - F.coalesce(F.max(F.when(fits, F.col("upto"))), F.first("before"))).alias("gap"))
     cuts = s.join(ends, F.col("of").eqNullSafe(F.col("end_of")), "left").join(cut, F.col("of").eqNullSafe(F.col("cut_of")), "left")
-    return sized, materialize(cuts.select("of", "source_size", "target", "ranges", "epochs", F.when(F.col("budget") > 0, F.coalesce("end", "ranges")).otherwise(-1).alias("end"), "cut"))
+    cuts = materialize(cuts.select("of", "source_size", "target", "ranges", "epochs", F.when(F.col("budget") > 0, F.coalesce("end", "ranges")).otherwise(-1).alias("end"), "cut", "gap"))
+
+    left = sized.join(cuts.where("gap > 0"), same).where((F.col("size") > 0) & ~_selected(F.col("key")))
+    nearest = F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "key")
+    last = left.groupBy("of").agg(F.min(nearest).alias("n"), F.first("gap").alias("gap")).where("n.off < gap").select(F.col("of").alias("last_of"), F.col("n.key").alias("last"))
+    alone = sized.join(last, F.col("source").eqNullSafe(F.col("last_of")) & (F.col("key") == F.col("last"))).groupBy("last_of", "last").agg(F.count("*").alias("n")).where("n = 1").drop("n")
+    return sized, materialize(cuts.join(alone, F.col("of").eqNullSafe(F.col("last_of")), "left").drop("last_of", "gap"))
+
+
+def _selected(key: Column) -> Column:
+    """Whether a document comes before the cut."""
+    at = _range(key, F.col("ranges"))
+    return (at < F.col("end")) | ((at == F.col("end")) & F.coalesce(key <= F.col("cut"), F.lit(False)))
 
 
 def _times(key: Column) -> Column:
     """How often a document is taken."""
-    at = _range(key, F.col("ranges"))
-    selected = (at < F.col("end")) | ((at == F.col("end")) & F.coalesce(key <= F.col("cut"), F.lit(False)))
-    return F.col("epochs") + selected.cast("int")
+    return F.col("epochs") + (_selected(key) | F.coalesce(key == F.col("last"), F.lit(False))).cast("int")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
