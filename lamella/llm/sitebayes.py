@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import ROW, materialize, small_batches, with_row
 
-#: Labelled documents the regression is fitted on; words it may use; documents a word must be in; its least z-score.
-SAMPLE, WORDS, LEAST, SURE = 20_000, 4000, 5, 4.0
+#: Labelled documents the regression is fitted on; words it may use; documents a word must be in; its least z-score and log odds ratio.
+SAMPLE, WORDS, LEAST, SURE, FAR = 20_000, 4000, 5, 2.5, 1.5
 #: Bounds of the strength of shrinkage, in documents.
 WEAK, STRONG = 1.0, 1000.0
 TARGETS = ("quality", "toxic")
@@ -113,7 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return ratio, ratio / F.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5))
 
     ratios = {t: odds(t) for t in TARGETS}
-    telling = counts.select("word", *[F.when(F.abs(z) >= SURE, r).otherwise(0.0).alias(t) for t, (r, z) in ratios.items()], F.greatest(*[F.abs(z) for _, z in ratios.values()]).alias("z"))
+    strong = {t: (F.abs(z) >= SURE) & (F.abs(r) >= FAR) for t, (r, z) in ratios.items()}
+    telling = counts.select("word", *[F.when(strong[t], r).otherwise(0.0).alias(t) for t, (r, _) in ratios.items()], F.greatest(*[F.when(strong[t], F.abs(z)).otherwise(0.0) for t, (_, z) in ratios.items()]).alias("z"))
     chosen = telling.where(F.col("z") >= SURE).orderBy(F.desc("z"), "word").limit(WORDS).collect()
     width = len(SHAPES) + len(TARGETS)
     model = Model({bytes(r.word): i for i, r in enumerate(chosen)}, np.array([[r.quality, r.toxic] for r in chosen]).reshape(-1, 2), np.zeros(width), np.ones(width), np.zeros((width + 1, 2)))
