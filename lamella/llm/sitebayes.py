@@ -17,7 +17,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ROW, materialize, small_batches, with_row
@@ -48,6 +49,12 @@ def words_of(text: str | None) -> tuple[bytes, list[bytes], set[bytes]]:
     return raw, words, {w.strip(MARKS).lower() for w in set(words)} - {b""}
 
 
+def signature(text: str | None) -> int:
+    """Equal for most near copies: a hash of the three words of a text whose own hashes are smallest."""
+    low = sorted(map(xxhash.xxh3_64_intdigest, words_of(text)[2]))[:3]
+    return int(np.array(xxhash.xxh3_64_intdigest(repr(low)), np.uint64).view(np.int64))
+
+
 @dataclass
 class Model:
     """words: place of each telling word; odds: its log odds ratio by target; mean, scale, weights: of the regression."""
@@ -91,7 +98,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """docs: id, text; labels: as labelled() gives them."""
     small_batches(docs.sparkSession)
     some = materialize(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    texts = docs.join(F.broadcast(some), docs["id"] == some["doc_id"]).select("text", "quality", "toxic")  # at most `sample` rows
+    found = docs.join(F.broadcast(some), docs["id"] == some["doc_id"]).select("id", "text", "quality", "toxic")  # at most `sample` rows
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(sign=[signature(t) for t in batch["text"]])
+
+    # Of near copies one counts: else the words of a text that is often copied look telling.
+    signed = found.mapInPandas(sign, f"id {docs.schema['id'].dataType.simpleString()}, text string, quality int, toxic int, sign long")
+    order = Window.partitionBy("sign").orderBy("id", "text")
+    texts = materialize(signed.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("text", "quality", "toxic"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: list[Counter] = [Counter(), Counter(), Counter()]
