@@ -42,19 +42,22 @@ def overlap(first: DataFrame, second: DataFrame, dx: int, dy: int) -> DataFrame:
 
 def margins(tiles: DataFrame, inner: int, outer: int) -> DataFrame:
     """(tx, ty, top, bottom, l, r): the inner margin toward a neighbour, the outer where there is none."""
-    out = tiles
-    for name, dx, dy in (("top", 0, -1), ("bottom", 0, 1), ("l", -1, 0), ("r", 1, 0)):
-        near = tiles.select((F.col("tx") - dx).alias("tx"), (F.col("ty") - dy).alias("ty"), F.lit(inner).alias(name))
-        out = out.join(near, ["tx", "ty"], "left").withColumn(name, F.coalesce(name, F.lit(outer)))
-    return out
+    sides = (("top", 0, 1), ("bottom", 0, -1), ("l", 1, 0), ("r", -1, 0))
+    seen = F.array(*[F.struct((F.col("tx") + dx).alias("tx"), (F.col("ty") + dy).alias("ty"), F.lit(side).alias("side")) for side, dx, dy in sides])
+    near = tiles.select(F.explode(seen).alias("n")).groupBy("n.tx", "n.ty").agg(F.collect_set("n.side").alias("sides"))  # four sides at most
+    out = tiles.join(near, ["tx", "ty"], "left")
+    return out.select("tx", "ty", *[F.when(F.coalesce(F.array_contains("sides", side), F.lit(False)), inner).otherwise(outer).alias(side) for side, _, _ in sides])
 
 
 def adjacent(tiles: DataFrame, key: str, value: str) -> DataFrame:
     """(key, ty, tx, side, a, b): each tile with its right neighbour and the one below."""
     a = tiles.select(key, "ty", "tx", F.col(value).alias("a"))
-    right = tiles.select(key, "ty", (F.col("tx") - 1).alias("tx"), F.lit("right").alias("side"), F.col(value).alias("b"))
-    below = tiles.select(key, (F.col("ty") - 1).alias("ty"), "tx", F.lit("below").alias("side"), F.col(value).alias("b"))
-    return a.join(right.unionByName(below), [key, "ty", "tx"]).select(key, "ty", "tx", "side", "a", "b")
+    near = F.array(
+        F.struct(F.col("ty").alias("ty"), (F.col("tx") - 1).alias("tx"), F.lit("right").alias("side")),
+        F.struct((F.col("ty") - 1).alias("ty"), F.col("tx").alias("tx"), F.lit("below").alias("side")),
+    )
+    b = tiles.select(key, F.explode(near).alias("n"), F.col(value).alias("b")).select(key, "n.ty", "n.tx", "n.side", "b")
+    return a.join(b, [key, "ty", "tx"]).select(key, "ty", "tx", "side", "a", "b")
 
 
 def to_mesh(px: DataFrame, height: int, width: int, nodes_y: int, nodes_x: int) -> DataFrame:

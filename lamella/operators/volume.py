@@ -20,6 +20,11 @@ def from_vectors(vectors: DataFrame, height: int = 64) -> DataFrame:
     return vectors.select(F.floor(F.col("vec_id") / height).cast("int").alias("z"), (F.col("vec_id") % height).cast("int").alias("y"), px.alias("px"))
 
 
+def slices_of(vectors: DataFrame, z0: int, z1: int, height: int = 64) -> DataFrame:
+    """Vectors of the slices z0 <= z < z1, by a range of ids that reaches the scan."""
+    return vectors.where(F.col("vec_id").between(max(0, z0) * height, z1 * height - 1))
+
+
 def pixels(rows: DataFrame) -> DataFrame:
     """Pixel layout of a row layout; other columns are kept."""
     others = [c for c in rows.columns if c != "px"]

@@ -20,13 +20,15 @@ def px(t: Tables) -> DataFrame:
 
 @query("WITH {V} SELECT z, (y - 8)::INT AS y, (x - 16)::INT AS x, v FROM V WHERE z BETWEEN 1 AND 4 AND y BETWEEN 8 AND 39 AND x BETWEEN 16 AND 47")
 def scan_window(t: Tables) -> DataFrame:
-    return volume.window(px(t), (1, 5), (8, 40), (16, 48))
+    """Slices by a range that the scan sees, lines and columns cut before pixels are made."""
+    r = volume.from_vectors(volume.slices_of(t("embeddings"), 1, 5))
+    return volume.pixels(volume.crop_rows(r, (1, 5), (8, 40), (16, 48)))
 
 
 @query("WITH {V}, b AS (SELECT greatest(-3, 0) AS z0, least(5, max(z) + 1) AS z1 FROM V), keep AS (SELECT z FROM V GROUP BY z HAVING bool_or(v <> 0)) SELECT V.z, V.y, V.x, V.v FROM V, b WHERE V.z >= z0 AND V.z < z1 AND V.z IN (SELECT z FROM keep)")
 def read_bbox_clamped(t: Tables) -> DataFrame:
     """A box that reaches out on both sides is clamped; empty slices go."""
-    r = rows(t).where(F.col("z").between(0, 4))
+    r = volume.from_vectors(volume.slices_of(t("embeddings"), -3, 5))
     return volume.pixels(r.join(volume.nonempty(r), "z", "left_semi"))
 
 
