@@ -238,7 +238,7 @@ def _refine(found: DataFrame, unit: Unit, grams: tuple[int, ...], docs: DataFram
     segment with n over 1 all windows are known to be repeated.
     """
     anchors = found.groupBy("anchor").agg(F.sum("n").alias("times"), (F.min("whole") != F.max("whole")).alias("mixed")).where("times > 1").drop("times")
-    shared = materialize(found.join(anchors, "anchor"))
+    shared = materialize(found.join(materialize(anchors), "anchor"))  # written first: a skewed join can be split, one with an aggregate can't
     discard(found)
     alike, mixed = shared.where("not mixed"), shared.where("mixed")
 
