@@ -111,7 +111,7 @@ def required_fields_check(t: Tables) -> DataFrame:
     return t("customer").select("c_custkey", doc.alias("doc")).select("c_custkey", missing.alias("missing")).withColumn("level", F.when(F.size("missing") > 0, "error").otherwise("ok"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size > 25 THEN p_size ELSE 40 END AS stride, CASE WHEN p_size % 2 = 0 THEN 0.5 ELSE 1.0 END AS scale, 160 AS patch FROM part")
+@query("SELECT p_partkey, CASE WHEN p_size > 25 THEN p_size ELSE 40 END AS stride, (CASE WHEN p_size % 2 = 0 THEN 0.5 ELSE 1.0 END)::DOUBLE AS scale, 160 AS patch FROM part")
 def config_defaults_merge(t: Tables) -> DataFrame:
     """Defaults overridden by what a user gave, field by field."""
     user = F.map_filter(F.create_map(F.lit("stride"), F.when(F.col("p_size") > 25, F.col("p_size").cast("string")), F.lit("scale"), F.when(F.col("p_size") % 2 == 0, "0.5")), lambda k, v: v.isNotNull())
@@ -400,7 +400,7 @@ def rotate_bounds(t: Tables) -> DataFrame:
     return t("part").select("p_partkey", h.alias("h"), w.alias("w"))
 
 
-@query("SELECT p_partkey, 0.98 AS a, 12 * (p_size / 10.0::DOUBLE) AS tx, -7.5 * (p_size / 10.0::DOUBLE) AS ty FROM part")
+@query("SELECT p_partkey, 0.98::DOUBLE AS a, 12 * (p_size / 10.0::DOUBLE) AS tx, -7.5 * (p_size / 10.0::DOUBLE) AS ty FROM part")
 def scale_transform(t: Tables) -> DataFrame:
     m = F.struct(*[F.lit(v).alias(n) for v, n in zip(A, ("a", "b", "tx", "c", "d", "ty"), strict=True)])
     s = t("part").select("p_partkey", geometry.scaled(m, F.col("p_size") / 10).alias("m"))
