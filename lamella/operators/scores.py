@@ -33,14 +33,8 @@ def nearest_two(queries: DataFrame, train: DataFrame, same: bool = False) -> Dat
                 qv, tv = np.frombuffer(qv).reshape(len(qi), -1), np.frombuffer(tv).reshape(len(ti), -1)
                 order = np.argsort(ti, kind="stable")
                 ti, tv = ti[order], tv[order]
-                square = (qv * qv).sum(1)[:, None] + (tv * tv).sum(1)[None] - 2 * qv @ tv.T
-                if same:
-                    square[qi[:, None] == ti[None]] = np.inf
-                near = np.argsort(square, axis=1, kind="stable")[:, : 2 + 2]  # two more, as rounding may turn ties
-                at = np.repeat(np.arange(len(qi)), near.shape[1])
-                d = np.sqrt(((qv[at] - tv[near.ravel()]) ** 2).sum(1))
-                fine = np.isfinite(square[at, near.ravel()])
-                yield pd.DataFrame({"q": qi[at][fine], "t": ti[near.ravel()][fine], "d": d[fine]})
+                for at in range(0, len(qi), 256):
+                    yield _two(qi[at : at + 256], qv[at : at + 256], ti, tv, same)
 
     found = q.join(t, "lane").mapInPandas(run, "q long, t long, d double")
     rank = F.row_number().over(Window.partitionBy("q").orderBy("d", "t"))
@@ -49,6 +43,22 @@ def nearest_two(queries: DataFrame, train: DataFrame, same: bool = False) -> Dat
     return top.groupBy("q").agg(pick("t", 1), pick("d", 1), pick("t", 2), pick("d", 2))
 
 
+def _two(qi: np.ndarray, qv: np.ndarray, ti: np.ndarray, tv: np.ndarray, same: bool) -> pd.DataFrame:
+    """The two nearest of a block by exact distance, then id. A product of matrices finds all that rounding leaves in question."""
+    square = (qv * qv).sum(1)[:, None] + (tv * tv).sum(1)[None] - 2 * qv @ tv.T
+    if same:
+        square[qi[:, None] == ti[None]] = np.inf
+    k = min(1, len(ti) - 1)
+    limit = np.partition(square, k, axis=1)[:, k]
+    slack = 1e-9 * (1 + (qv * qv).sum(1) + (tv * tv).sum(1).max())
+    q, t = np.nonzero((square <= (limit + slack)[:, None]) & np.isfinite(square))
+    d = np.sqrt(((qv[q] - tv[t]) ** 2).sum(1))
+    order = np.lexsort((ti[t], d, q))
+    q, t, d = q[order], t[order], d[order]
+    first = np.arange(len(q)) - np.searchsorted(q, q) < 2
+    return pd.DataFrame({"q": qi[q[first]], "t": ti[t[first]], "d": d[first]})
+
+
 def _blocks(vectors: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -194,6 +194,20 @@ def test_robustness_matches_kernel(spark, n, inliers, want):
     assert r["index"] == pytest.approx(want) and r["robust"] == (want >= 0.45)
 
 
+def test_nearest_two_with_ties(spark, monkeypatch):
+    monkeypatch.setattr(scores, "BLOCK", 7)
+    r = np.random.default_rng(3)
+    v = np.round(r.normal(size=(60, 3)), 1)
+    v[10:40] = v[5]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, vec array<double>")
+    got = {x.q: (x.t1, x.t2) for x in scores.nearest_two(df, df, same=True).collect()}
+    for i in range(60):
+        near = sorted((float(np.sqrt(((v[i] - v[j]) ** 2).sum())), j) for j in range(60) if j != i)
+        assert got[i] == (near[0][1], near[1][1])
+    one = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id long, vec array<double>")
+    assert {(x.q, x.t1, x.t2) for x in scores.nearest_two(one, one, same=True).collect()} == {(1, 2, None), (2, 1, None)}
+
+
 def test_asof_edges(spark):
     left = spark.createDataFrame([(1, 5), (2, 10), (3, 0), (4, None)], "id int, t int")
     right = spark.createDataFrame([(5, "a"), (9, "b"), (None, "x")], "u int, v string")
