@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm import debruijn, mixing, packing, rules, simhash
+from lamella.llm import debruijn, mixing, packing, rules, similar
 from lamella.llm.common import materialize, table
 
 
@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
-    return simhash.keep_first(docs)
+    """Of documents connected by five-word similarities of 0.8 or more, one stays."""
+    return similar.keep_first(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
