@@ -7,6 +7,8 @@ the shared folder. Alignment graphs are small, but nothing here collects them.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _rounds(most: int | None, name: str) -> Iterator[int]:
+    """Without end, or an error once most rounds were not enough."""
+    for i in count():
+        if i == most:
+            raise RuntimeError(f"{name}: not done in {most} rounds")
+        yield i
+
+
 def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
 
@@ -54,18 +64,18 @@ def special_nodes(edges: DataFrame, root: int) -> DataFrame:
     return degrees(edges).where((F.col("node") == root) | (F.col("degree") != 2))
 
 
-def positions(edges: DataFrame, start: int, rounds: int = 200) -> DataFrame:
+def positions(edges: DataFrame, start: int, rounds: int | None = None) -> DataFrame:
     """(node, x, y) by summing relative offsets from start, shifted so that the least is 0.
 
     edges: (u, v, dx, dy), v at (dx, dy) of u; they are walked both ways, with
     the sign turned. A node gets its place in the first round that reaches it,
-    from its smallest neighbour then.
+    from its smallest neighbour then. Ends when no new node is reached.
     """
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), (-F.col("dx")).alias("dx"), (-F.col("dy")).alias("dy"))
     directed = checkpoint(edges.select("u", "v", "dx", "dy").unionByName(back).where("u <> v"))
     spark = edges.sparkSession
     placed = frontier = spark.createDataFrame([(start, 0, 0)], f"node {edges.schema['u'].dataType.simpleString()}, x bigint, y bigint")
-    for _ in range(rounds):
+    for _ in _rounds(rounds, "positions"):
         step = frontier.join(directed, F.col("node") == F.col("u")).select(F.col("v").alias("to"), "u", (F.col("x") + F.col("dx")).alias("nx"), (F.col("y") + F.col("dy")).alias("ny"))
         step = step.groupBy("to").agg(F.min(F.struct("u", "nx", "ny")).alias("s")).select(F.col("to").alias("node"), F.col("s.nx").alias("x"), F.col("s.ny").alias("y"))
         frontier = checkpoint(step.join(placed, "node", "left_anti"))
@@ -76,7 +86,7 @@ def positions(edges: DataFrame, start: int, rounds: int = 200) -> DataFrame:
     return placed.crossJoin(F.broadcast(low)).select("node", (F.col("x") - F.col("lx")).alias("x"), (F.col("y") - F.col("ly")).alias("y"))  # one row
 
 
-def paths(edges: DataFrame, root: int, rounds: int = 200) -> DataFrame:
+def paths(edges: DataFrame, root: int, rounds: int | None = None) -> DataFrame:
     """(start, end, path): chains between special nodes, each once, starting at the end nearer to the root.
 
     All chains grow together, a node a round, until they meet a special node. A
@@ -88,10 +98,11 @@ def paths(edges: DataFrame, root: int, rounds: int = 200) -> DataFrame:
     depth = levels(near, root)
     chains = near.join(special, F.col("u") == F.col("node"), "left_semi").select(F.col("u").alias("start"), F.col("v").alias("end"), F.array("u", "v").alias("path"))
     done = None
-    for _ in range(rounds):
+    for _ in _rounds(rounds, "paths"):
         chains = checkpoint(chains)
         ended = chains.join(special, F.col("end") == F.col("node"), "left_semi")
-        done = ended if done is None else done.unionByName(ended)
+        if done is None or not ended.isEmpty():
+            done = ended if done is None else done.unionByName(ended)
         going = chains.join(special, F.col("end") == F.col("node"), "left_anti")
         if going.isEmpty():
             break
@@ -103,10 +114,10 @@ def paths(edges: DataFrame, root: int, rounds: int = 200) -> DataFrame:
     return d.where(~turned).select("start", "end", "path", F.col("ds").alias("depth")).distinct()
 
 
-def levels(near: DataFrame, root: int, rounds: int = 500) -> DataFrame:
+def levels(near: DataFrame, root: int, rounds: int | None = None) -> DataFrame:
     """(node, depth) in steps from the root; near holds edges both ways."""
     placed = frontier = near.sparkSession.createDataFrame([(root, 0)], f"node {near.schema['u'].dataType.simpleString()}, depth int")
-    for _ in range(rounds):
+    for _ in _rounds(rounds, "levels"):
         new = frontier.join(near, F.col("node") == F.col("u")).select(F.col("v").alias("node"), (F.col("depth") + 1).alias("depth")).distinct()
         frontier = checkpoint(new.join(placed, "node", "left_anti"))
         if frontier.isEmpty():
