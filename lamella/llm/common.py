@@ -8,10 +8,11 @@ lost executor costs only the tasks it ran.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Column names that the operators use inside; inputs are projected first, so
@@ -38,9 +39,11 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set (tests)."""
+    """The folder all executors share; a temporary one of this machine only where none is set and Spark runs in one process (tests)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="lamella-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -73,18 +76,33 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def with_row(docs: DataFrame, *cols) -> DataFrame:
-    """The columns asked for, with a row id.
+    """The columns asked for, with a row id: partition and place in this scan.
 
-    The id is the scan's partition and the place in it: replayed tasks and
-    repeated scans of the same files give the same ids. Repeated rows and
-    repeated or null document ids so stay apart.
+    Another scan of the same files may split them otherwise and give other ids
+    (the number of cores decides), so a table that is read twice is written
+    first: by materialize() of this, or by numbered().
     """
     return docs.select(F.monotonically_increasing_id().alias(ROW), *cols)
 
 
-def whole_rows(docs: DataFrame) -> DataFrame:
-    """(__row, __doc): each row of docs as one struct, so that no column of it can clash with those joined."""
-    return with_row(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"))
+def whole(docs: DataFrame) -> Column:
+    """All columns of docs as one struct, __doc, so that none can clash with those of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """(__row, __doc): each row of docs as one struct, with a row id, written once.
+
+    Ids and rows come from one scan and stay as written, whatever executors are
+    lost or added later. Repeated rows and repeated or null document ids stay
+    apart.
+    """
+    return materialize(with_row(docs, whole(docs)))
+
+
+def doc(column: str) -> Column:
+    """A column of a row of numbered(); only that is read."""
+    return F.col("__doc")[column]
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:

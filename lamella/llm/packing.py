@@ -7,8 +7,9 @@ at random over groups of about ``GROUP`` pieces, and each group is packed
 online: a piece goes to the open bin with the least free space that holds it,
 found in a bitset keyed by free space. At most ``OPEN`` bins are open; when
 another is needed the fullest closes. State is bounded by OPEN and the capacity.
-Pieces arrive in random order, but each run of ``RUN`` of them longest first, so
-that the short ones of a run fill what its long ones leave.
+Pieces arrive in random order through a sorted buffer: each run of ``RUN`` of
+them longest first, so that the short ones of a run fill what its long ones
+leave. Without the buffer best fit leaves about 2.6 % of the space, with it 0.7.
 """
 
 from __future__ import annotations
@@ -39,14 +40,36 @@ def _bytes_of() -> dict[str, int]:
     return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def byte_ranks(spec: dict) -> dict[bytes, int] | None:
+    """The vocabulary of a byte-level file as ranks by bytes, if ranks alone say how it encodes; else None.
+
+    That is so if texts are neither normalised nor prefixed before they are
+    split by the usual pattern, the first ids are the single bytes, and each
+    merge makes the token of the next id.
+    """
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    usual = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    if not plain or not usual or spec.get("normalizer") or any(spec.get(k) for k in ("truncation", "padding")):
+        return None
+    of, special = _bytes_of(), {x["content"] for x in spec.get("added_tokens", [])}
+    try:
+        ranks = {bytes(of[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    except KeyError:
+        return None
+    in_order = merged == list(range(256, 256 + len(merged))) and sorted(i for b, i in ranks.items() if len(b) == 1) == list(range(256))
+    return ranks if in_order and len(ranks) == 256 + len(merged) else None
+
+
 @lru_cache(2)
 def encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     """Texts to ids, as the `tokenizers` library gives them for this file without special tokens added.
 
-    The merges of a byte-level vocabulary are its ids in order, so the faster
-    engine of `tiktoken` gives the same ids when it gets the file's vocabulary;
-    both encode a probe first, and if they ever differ, or the fast one gives
-    up on a text, `tokenizers` does the work itself.
+    A byte-level vocabulary whose merges are its ids in order is encoded by the
+    faster engine of `tiktoken`, which then gives the same ids. For any other
+    file, for a text that holds the string of an added token, and for one that
+    the fast engine gives up on, `tokenizers` does the work itself.
     """
     from tokenizers import Tokenizer
 
@@ -55,18 +78,15 @@ def encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     try:
         import public_tokenizers
         import tiktoken
-
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        special = {x["content"] for x in spec.get("added_tokens", [])}
-        of = _bytes_of()
-        ranks = {bytes(of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    except (ImportError, KeyError):
+    except ImportError:
         return plain
-    probe = ["Hello  world,\n\tit's 12 o'clock…  über naïve 東京 \U0001f600  ", "a" * 300]
-    if plain(probe) != [fast.encode_ordinary(x) for x in probe]:
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    ranks = byte_ranks(spec)
+    if ranks is None:
         return plain
+    special = {x["content"] for x in spec.get("added_tokens", [])}
+    fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(texts: list[str]) -> list[list[int]]:
         out = []

@@ -55,29 +55,39 @@ FROM scored QUALIFY rank <= 10
 
 def op7_tool_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table has no tool turns, so a user's turn is read as a call, the assistant's next turn as its result."""
-    return chat.link(chat.dialogue(table(spark, sf_dir, "conversations")), chat.REPLY)
+    return chat.link(chat.dialogue(table(spark, sf_dir, "conversations")), chat.TOOLS)
 
 
 OP7_SQL = """
 WITH t AS (
-    SELECT conv_id, turn, role, text,
+    SELECT conv_id, turn, role, text, turn // 2 % 2 = 0 AS asks,
         CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
-        CASE role WHEN 'user' THEN concat_ws('-', 'call', conv_id, turn) WHEN 'assistant' THEN concat_ws('-', 'call', conv_id, turn - 1) END AS call_id
+        CASE role WHEN 'user' THEN concat_ws('-', 'call', conv_id, turn) WHEN 'assistant' THEN concat_ws('-', 'call', conv_id, turn - 1) END AS call_id,
+        concat_ws('-', 'call', conv_id, turn - 2) AS ref
     FROM conversations
 ), calls AS (
-    SELECT conv_id, call_id, min(turn) AS called FROM t WHERE kind = 'call' GROUP BY ALL
+    SELECT conv_id, call_id, min(turn) AS called, min_by(ref, text) FILTER (NOT asks) AS ref FROM t WHERE kind = 'call' GROUP BY ALL
+), placed AS (
+    SELECT c.conv_id, c.call_id, c.called, CASE WHEN r.call_id IS NULL THEN 0 ELSE 1 END AS depth, c.ref IS NOT NULL AND r.call_id IS NULL AS unknown
+    FROM calls c LEFT JOIN calls r ON c.conv_id = r.conv_id AND c.ref = r.call_id
+), u AS (
+    SELECT t.*, called, depth, unknown, '"prompt":' || to_json(text)::VARCHAR AS prompt, '"query":' || to_json(text)::VARCHAR AS query
+    FROM t LEFT JOIN placed USING (conv_id, call_id)
 )
-SELECT t.conv_id, CASE WHEN kind = 'result' THEN coalesce(called, turn) ELSE turn END AS anchor,
-    CASE WHEN kind = 'result' THEN 1 ELSE 0 END AS step, turn, role, kind, call_id,
-    CASE kind WHEN 'call' THEN CASE WHEN text IS NULL THEN 'missing:prompt' ELSE 'ok' END
+SELECT conv_id, CASE WHEN kind = 'result' THEN coalesce(called, turn) ELSE turn END AS anchor,
+    CASE WHEN kind = 'result' THEN 1 ELSE 0 END AS step, depth::INT AS depth, turn, role, kind, call_id,
+    CASE kind WHEN 'call' THEN CASE
+            WHEN text IS NULL THEN CASE WHEN asks THEN 'missing:query' ELSE 'missing:prompt' END
+            WHEN asks AND length(text) % 5 = 0 THEN 'type:limit' WHEN unknown THEN 'unknown_ref' ELSE 'ok' END
         WHEN 'result' THEN CASE WHEN called IS NULL THEN 'orphan' ELSE 'linked' END ELSE 'ok' END AS status,
     '{' || concat_ws(',',
-        CASE WHEN kind = 'call' THEN '"arguments":{' || coalesce('"prompt":' || to_json(text)::VARCHAR, '') || '}' END,
+        CASE WHEN kind = 'call' AND asks THEN '"arguments":{' || coalesce('"limit":' || CASE WHEN length(text) % 5 = 0 THEN '"' || length(text) || '"' ELSE length(text)::VARCHAR END || ',' || query, '') || '}'
+            WHEN kind = 'call' THEN '"arguments":{' || concat_ws(',', '"after":{"$ref":"' || ref || '"}', prompt) || '}' END,
         '"call_id":' || to_json(call_id)::VARCHAR,
         CASE WHEN kind <> 'call' THEN '"content":' || to_json(text)::VARCHAR END,
         '"kind":' || to_json(kind)::VARCHAR, '"role":' || to_json(role)::VARCHAR,
-        CASE WHEN kind = 'call' THEN '"tool":"reply"' END) || '}' AS line
-FROM t LEFT JOIN calls USING (conv_id, call_id)
+        CASE WHEN kind = 'call' THEN CASE WHEN asks THEN '"tool":"search"' ELSE '"tool":"reply"' END END) || '}' AS line
+FROM u
 """
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
 
-from .common import ROW, components, discard, materialize, small_batches, whole_rows, with_row
+from .common import ROW, components, discard, doc, materialize, numbered, small_batches
 
 SHINGLE, SEED = 5, 42
 #: The least similarity, as a fraction.
@@ -163,15 +163,16 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     group.
     """
     small_batches(docs.sparkSession)
-    found = materialize(with_row(docs, F.col(id_col).alias("id"), _normals(F.col(text_col)).alias("words")))
+    rows = numbered(docs)
+    found = materialize(rows.select(ROW, doc(id_col).alias("id"), _normals(doc(text_col)).alias("words")))
     first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", ROW)).alias("k")
     # Texts with the same words are one node, named by its first row.
     classes = materialize(found.groupBy("words").agg(F.min(ROW).alias("node"), first).select("node", "k"))
     discard(found)
-    texts = with_row(docs, F.col(text_col).alias("text")).withColumnRenamed(ROW, "node").join(classes.select("node"), "node", "left_semi")
+    texts = rows.select(F.col(ROW).alias("node"), doc(text_col).alias("text")).join(classes.select("node"), "node", "left_semi")
     sets = materialize(texts.select("node", _shingles("text").alias("tokens")))
     roots = components(links(sets))
     discard(sets)
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min("k").alias("k")).select(F.col(f"k.{ROW}").alias(ROW))
-    return whole_rows(docs).join(materialize(kept), ROW, "left_semi").select("__doc.*")
+    return rows.join(materialize(kept), ROW, "left_semi").select("__doc.*")

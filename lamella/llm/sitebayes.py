@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, small_batches, with_row
+from .common import materialize, small_batches
 
 #: Labelled documents the regression is fitted on; words it may use; documents a word must be in; its least z-score and log odds ratio.
 SAMPLE, WORDS, LEAST, SURE, FAR = 20_000, 4000, 5, 2.5, 1.5
@@ -193,7 +193,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows are scored alike. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    rows = with_row(docs, F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"))
     labels = materialize(labelled(labels))
     model = fit(rows, labels, sample)
     site, rates = sites(rows, labels)

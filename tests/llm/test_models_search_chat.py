@@ -1,5 +1,6 @@
 """op3, op5, op6, op7 and op10 against brute force, held-out rows and fixed cases."""
 
+import hashlib
 import json
 import math
 import random
@@ -8,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lamella.llm import chat, langid, queries, rules, sitebayes, topk
 
@@ -41,9 +43,52 @@ def test_language(spark):
     assert np.mean([by[i].lang_pred == g for i, _, g in rows[:200] if i in held]) > 0.95
     # labels and ids don't matter for the prediction, nor does what is held out for the model
     moved = docs.selectExpr("doc_id", "text", "case when crc32(cast(cast(doc_id as string) as binary)) % 4 = 2 then 'zz' else lang end as lang")
-    assert (langid.fit(moved).table == model.table).all()
+    assert (langid.fit(moved).embed == model.embed).all() and (langid.fit(moved).weight == model.weight).all()
     assert langid.identify(docs.limit(0), model).count() == 0
-    assert langid.train([]).predict("abc") == ("und", 0.0, True)
+    assert langid.train([]).predict(["abc"]) == [("und", 0.0, True)]
+
+
+def _plain_grams(text):
+    """Every 1-, 2- and 3-gram of the lower-cased text, with a space for all that isn't a letter, hashed one by one."""
+    t = "".join(c if c.isalpha() else " " for c in text.lower())
+    out = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(t) - n + 1):
+            value = 0
+            for c in t[i : i + n]:
+                value = value * (1 << 21) + ord(c)
+            out[((value + n) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 50] += 1
+    return out
+
+
+def test_language_is_the_plain_model(spark, monkeypatch):
+    """Predictions equal a plain average of embeddings and softmax; parts of a long text give the grams of the whole."""
+    _, _, rows = _docs()
+    rows = rows[:60] + [(900, "ÀÉ ab1c\U00010400\U00010401 \U0001f600 x", "xx"), (901, "a", "rare"), (902, "ß" * 700, "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert "rare" in model.languages
+    monkeypatch.setattr(langid, "STEP", 13)
+    for _, text, _ in rows:
+        plain = _plain_grams(text)
+        got = langid.grams(text)
+        assert {i: int(got[i]) for i in np.flatnonzero(got)} == dict(plain)
+        h = sum(n / sum(plain.values()) * model.embed[i].astype(float) for i, n in plain.items())
+        z = [float(sum(a * b for a, b in zip(h, w, strict=True)) + c) for w, c in zip(model.weight.T, model.bias, strict=True)]
+        e = [math.exp(x - max(z)) for x in z]
+        lang, score, rejected = model.predict([text])[0]
+        assert lang == model.languages[e.index(max(e))] and score == pytest.approx(max(e) / sum(e), rel=1e-4) and rejected == (score < model.threshold)
+
+
+def test_language_sample(spark, monkeypatch):
+    """Each language has its bounded share, however uneven the languages and however often a row is repeated."""
+    rows = [(i, f"word{i} text", "big") for i in range(3000)] + [(5000 + i, f"mot{i}", "small") for i in range(5)] + [(9000, "same", "again")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+    plain = langid.train
+    monkeypatch.setattr(langid, "train", lambda rows: seen.update(Counter(r[0] for r in rows)) or plain(rows))
+    langid.fit(docs, per_language=50)
+    assert seen["big"] == 50 and 1 <= seen["small"] <= 5 and seen.get("again", 1) == 1
 
 
 def test_language_on_given_table(spark):
@@ -85,12 +130,12 @@ def test_rules(spark):
     by = {x.id: x for x in got}
     assert not any(by[i].kept for i in (900, 901, 902, 903, 905, 906)) and by[907].kept and by[908].kept
     assert all(x.kept == (not x.base_failed) for x in got if x.id < 200)
-    refs = rules.references(rules.features(docs))
+    refs = rules.references(rules.features(docs.selectExpr("doc_id as __row", "doc_id as id", "lang", "text")))
     good = [t for i, t, g in rows if g == "xx" and not _plain_counts(t)[-1]]
     letters = sum((Counter(t) for t in good), Counter())
     assert refs["xx"][0].sum() == sum(letters.values())
     words = sum((Counter(t.split()) for t in good), Counter())
-    common = sorted((w for w in words if len(w.encode()) <= rules.SHORT), key=lambda w: (-words[w], w.encode()))[: rules.COMMON]
+    common = sorted(words, key=lambda w: (-words[w], w.encode()))[: rules.COMMON]
     assert list(refs["xx"][1]) == common
     text = rows[5][1] if rows[5][2] == "xx" else next(t for _, t, g in rows if g == "xx" and not _plain_counts(t)[-1])
     own = Counter(text.split())
@@ -99,8 +144,47 @@ def test_rules(spark):
     want = _plain_distance([*p, len(text.split()) - sum(p)], [*q, sum(words.values()) - sum(q)])
     x = next(x for x in got if x.id == next(i for i, t, _ in rows if t == text))
     assert x.word_distance == pytest.approx(want)
-    kept = rules.keep(docs.withColumnRenamed("doc_id", "__row").withColumnRenamed("__row", "doc_id"))
-    assert kept.columns == docs.columns and kept.count() == sum(x.kept for x in got)
+    clash = docs.toDF("__row", "__doc", "id").withColumn("kept", F.lit(1))
+    kept = rules.keep(clash, "__row", "__doc", "id")
+    assert kept.columns == clash.columns and sorted(str(x[0]) for x in kept.collect()) == sorted(str(x.id) for x in got if x.kept)
+    # kept, for every row, from references counted plainly
+    base = {i: _plain_counts(t) for i, t, _ in rows}
+    langs = sorted({g for i, t, g in rows if g and not base[i][-1]})
+    refs = {}
+    for lang in [*langs, ""]:
+        own = [t for i, t, g in rows if not base[i][-1] and lang in (g, "")]
+        words = sum((Counter(t.split()) for t in own), Counter())
+        top = sorted(words, key=lambda w: (-words[w], w.encode()))[: rules.COMMON]
+        refs[lang] = sum((_plain_classes(t) for t in own), Counter()), top, [*[words[w] for w in top], sum(words.values()) - sum(words[w] for w in top)]
+
+    def plain_kept(text):
+        own, chars, n = Counter(text.split()), _plain_classes(text), len(text.split())
+        limits = rules.limit_of(sum(chars.values()), n)
+        found = []
+        for classes, top, counts in refs.values():
+            p = [own[w] for w in top]
+            d = _plain_distance([chars[c] for c in range(7)], [classes[c] for c in range(7)]), _plain_distance([*p, n - sum(p)], counts)
+            found.append(all(x <= y for x, y in zip(d, limits, strict=True)))
+        return any(found)
+
+    for x in got:
+        i, text, lang = next(r for r in rows if r[0] == x.id)
+        assert x.kept == (not base[i][-1] and plain_kept(text)), x.id
+
+
+def _plain_classes(text):
+    stops = ".,;:!?'\"()-…«»¿¡’“”„"
+    return Counter(3 if c.isspace() else 4 if c in stops else 2 if c.isdigit() else 1 if c.isupper() else 0 if c.isalpha() else 5 if ord(c) < 128 else 6 for c in text)
+
+
+def test_rules_count_each_document_once(spark):
+    """A document without a language counts once in the references of all; long words are words like others."""
+    long = "Пожалуйста" * 9
+    rows = [(1, " ".join(f"w{i}" for i in range(99)) + " " + long, "xx"), (2, " ".join(f"v{i}" for i in range(100)), None), (3, " ".join(f"u{i}" for i in range(100)), "")]
+    refs = rules.references(rules.features(spark.createDataFrame(rows, "__row long, text string, lang string").withColumn("id", F.col("__row"))))
+    assert set(refs) == {"xx", ""} and refs[""][2].sum() == 300 and refs["xx"][2].sum() == 100
+    assert refs[""][0].sum() == sum(len(t) for _, t, _ in rows)
+    assert rules.measure(long)[6:] == ([hashlib.md5(long.encode()).hexdigest()], [1])
 
 
 def test_rules_edges(spark):
@@ -133,6 +217,22 @@ def test_top_k(spark, monkeypatch):
     assert [tuple(x) for x in topk.top_k(few).collect()] == [(0, 1, 1, 2 * 1024 * 1024)]
 
 
+def test_top_k_of_huge_components(spark):
+    """Products over 2**53 are exact, those over a long are the nearest long; the best match ranks first."""
+    r = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in r.integers(-(1 << 34), 1 << 34, 6) / 1024 + 0.25]) for i in range(60)]
+    rows += [(100, [3e6] * 6), (101, [3e6] * 5 + [2.9e6]), (200, [1e200, -1.0]), (201, [1e200]), (202, [-1e200]), (203, [1.7e308]), (300, [0.0] * 6), (400, [5e11] * 6), (401, [5e11, 5e11])]
+    valid = [(i, [math.floor(1024.0 * e) if abs(1024.0 * e) < 2**53 else int(min(1024.0 * e, topk.MOST)) for e in v] + [0] * (6 - len(v))) for i, v in rows]
+    long = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    want = []
+    for i, v in valid:
+        if i % 100 == 0:
+            found = sorted((-long(sum(a * b for a, b in zip(v, u, strict=True))), j) for j, u in valid if j != i)[:10]
+            want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(found)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_oracles(spark, name):
     got = queries.QUERIES[name](spark, SF)
@@ -174,6 +274,45 @@ def test_chat_links(spark):
     assert chat.link(chat.parse(t.limit(0)), {}).count() == 0
 
 
+def test_chat_order(spark):
+    """Chains of references, out of order, crossing, broken and circular: every call comes after the results it refers to."""
+    r = random.Random(5)
+    calls, refs = {}, {}
+    for conv in range(6):
+        n = 12
+        turn = list(range(n))
+        r.shuffle(turn)
+        for i in range(n):
+            calls[conv, f"c{i}"] = turn[i] // 2  # two calls a turn
+            refs[conv, f"c{i}"] = sorted({f"c{r.randrange(i)}" for _ in range(r.randint(0, 2))}) if i else []
+    refs[0, "c11"], refs[0, "c10"], refs[0, "c9"] = ["c10"], ["c11"], ["c9"]
+    refs[1, "c5"] = ["nowhere", "c0"]
+    rows = []
+    for (conv, name), turn in calls.items():
+        arguments = json.dumps({"q": [{"$ref": x} for x in refs[conv, name]]})
+        rows.append((conv, turn, "assistant", json.dumps({"tool_calls": [{"id": name, "name": "f", "arguments": arguments}]})))
+        rows.append((conv, r.randint(0, 9), "tool", json.dumps({"tool_call_id": name, "content": "x"})))
+    t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.link(chat.parse(t), {"f": {"q": ("array", True)}}).orderBy("conv_id", "anchor", "step", "turn").collect()
+    at = {(x.conv_id, x.kind, x.call_id): (x.anchor, x.step) for x in got}
+    info = {(x.conv_id, x.call_id): (x.status, x.depth) for x in got if x.kind == "call"}
+
+    def plain(key, above=()):
+        if key in above:
+            return None
+        found = [plain((key[0], x), (*above, key)) for x in refs[key] if (key[0], x) in calls]
+        return None if None in found else max((d + 1 for d in found), default=0)
+
+    for key in calls:
+        depth = plain(key)
+        assert info[key] == (("cycle", 0) if depth is None else ("unknown_ref" if "nowhere" in refs[key] else "ok", depth)), key
+        assert at[key[0], "result", key[1]] == (at[key[0], "call", key[1]][0], at[key[0], "call", key[1]][1] + 1)
+        for x in refs[key]:
+            if depth is not None and (key[0], x) in calls:
+                assert at[key[0], "call", key[1]] > at[key[0], "result", x]
+    assert max(d for _, d in info.values()) > 2
+
+
 def test_site_bayes(spark):
     r = random.Random(8)
     stems = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(200)]

@@ -1,8 +1,9 @@
 """op2 and op9: exact round trips, and plain versions of the rules."""
 
+import json
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -23,6 +24,16 @@ def test_encoder_is_the_library():
     assert packing.encoder(path)(texts) == [x.ids for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
 
 
+def test_fast_encoder_only_where_ranks_say_all():
+    with open(packing.default_tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    assert len(packing.byte_ranks(spec)) == 50256
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"pre_tokenizer": None}):
+        assert packing.byte_ranks(spec | change) is None
+    for change in ({"merges": spec["model"]["merges"][1:]}, {"merges": spec["model"]["merges"][::-1]}, {"type": "WordPiece"}, {"ignore_merges": True}):
+        assert packing.byte_ranks(spec | {"model": spec["model"] | change}) is None
+
+
 def test_pack_round_trip(spark):
     texts = _texts()
     rows = [(i, t, "s") for i, t in enumerate(texts)] + [(None, "twice", None), (3, texts[3], "s")]
@@ -101,8 +112,34 @@ def test_mix(spark, seed):
         assert len({x.times for x in got if x.source == s}) <= 2
     again = mixing.mix(docs.repartition(7)).collect()
     assert sorted(got, key=str) == sorted(again, key=str)
-    shown = mixing.mixed(docs.withColumnRenamed("source", "__doc").withColumnRenamed("__doc", "source"))
-    assert shown.columns == docs.columns and shown.count() == sum(x.times for x in got)
+    clash = docs.toDF("__row", "size", "__doc").selectExpr("*", "2 as times")
+    shown = mixing.mixed(clash, "__row", "size", "__doc")
+    assert shown.columns == clash.columns and sorted(x[0] for x in shown.collect()) == sorted(i for x in got for i in [x.id] * x.times)
+
+
+def test_mix_repeated_rows(spark):
+    """Of rows that are all the same as many are taken as the target asks for; so are many copies among others."""
+    rows = [(1, "w " * 7, "a")] * 1000 + [(i, "v " * 5, "b") for i in range(400)] + [(2, "u " * 9, "c")] * 300 + [(9000 + i, "x " * 4, "c") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = Counter()
+    for _, t, s in rows:
+        size[s] += len(t.split())
+    want, taken = _targets(size), Counter()
+    got = mixing.mix(docs).collect()
+    for x in got:
+        taken[x.source] += x.size * x.times
+        assert x.times <= 3
+    assert all(abs(taken[s] - want[s]) <= 9 for s in size), (taken, want)
+    again = mixing.mix(docs.repartition(13)).collect()
+    assert sorted(got, key=str) == sorted(again, key=str)
+
+
+def test_mix_weights(spark):
+    """Heavier documents are taken more often; the keys are those of exponential order sampling."""
+    docs = spark.createDataFrame([(i, "w " * 10, "ab"[i % 2], 8.0 if i % 5 == 0 else 1.0) for i in range(4000)], "doc_id long, text string, source string, heavy double")
+    got = {x.id: x.times for x in mixing.mix(docs, weight_col="heavy").collect()}
+    share = lambda heavy: np.mean([t for i, t in got.items() if i % 2 == 0 and (i % 5 == 0) == heavy])
+    assert share(True) > share(False) + 0.1
 
 
 def test_mix_ranges(spark, monkeypatch):

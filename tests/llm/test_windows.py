@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -55,20 +56,71 @@ def test_repeated_windows(spark, kind):
     assert sum(w[2] for w in want) > 500
 
 
-@pytest.mark.parametrize("kind", ["bytes", "words"])
-def test_long_documents_in_steps(spark, kind, monkeypatch):
-    from lamella.llm import spans
-
+def test_long_documents_in_steps(monkeypatch):
     r = random.Random(5)
     words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(500)]
     text = [r.choice(words) for _ in range(3000)]
     text[2500:2600] = text[100:200]
-    unit = spans.Unit(35, (6,), True) if kind == "words" else spans.Unit(200, (32,), False)
-    whole = spans.segments(unit.cut(" ".join(text))[1], unit, unit.grams[0])
-    monkeypatch.setattr(spans, "STEP", 257)
-    steps = spans.segments(unit.cut(" ".join(text))[1], unit, unit.grams[0])
-    pick = lambda s: {w: int(a) for lo, hi, a in zip(*s, strict=True) for w in range(lo, hi + 1)}
-    assert pick(whole) == pick(steps)
+    raw = " ".join(text).encode()
+    pick = lambda: {w: int(a) for lo, hi, anchor in suffixes.runs_of(raw, suffixes.Depth(), 32) for x, y, a in zip(lo, hi, anchor, strict=True) for w in range(x, y + 1)}
+    whole = pick()
+    assert sorted(whole) == list(range(len(raw) - 199))
+    monkeypatch.setattr(suffixes, "STEP", 257)
+    assert pick() == whole
+
+
+@pytest.mark.parametrize(("chunk", "bucket"), [(400, 1 << 21), (1500, 40), (1 << 21, 64), (1, 1 << 21)])
+def test_chunks_and_buckets(spark, monkeypatch, chunk, bucket):
+    """Many small chunks, texts longer than a chunk, and many tasks for the hashes give the same."""
+    docs = spark.createDataFrame(_corpus(), "doc_id long, text string, s string")
+    show = lambda: sorted(str((x.id, x.n_units, x.n_removed, x.spans, x.kept)) for x in debruijn.dedup_words(docs).collect())
+    want = show()
+    monkeypatch.setattr(debruijn, "CHUNK", chunk)
+    monkeypatch.setattr(debruijn, "BUCKET", bucket)
+    assert show() == want
+
+
+def test_codes_of_keys():
+    r = np.random.default_rng(1)
+    for high in (1, 200, 1 << 20, 1 << 45, (1 << 64) - 1):
+        keys = np.sort(r.integers(0, high, 300, np.uint64, endpoint=True))
+        assert (debruijn.decode(debruijn.encode(keys)) == keys).all()
+    assert len(debruijn.decode(debruijn.encode(keys[:0]))) == 0
+
+
+def test_hashes_that_meet_are_found(spark):
+    """Pieces of one name with other words are an error, wherever they are."""
+    columns = "node array<long>, edge array<long>, length array<long>, high array<long>, low array<long>"
+    debruijn.verify(spark.createDataFrame([([1, 2], [3, 3], [4, 4], [5, 6], [7, 7]), ([1], [3], [4], [5], [7])], columns))
+    with pytest.raises(RuntimeError):
+        debruijn.verify(spark.createDataFrame([([1, 2], [3, 3], [4, 4], [5, 6], [7, 7]), ([1], [3], [4], [5], [8])], columns))
+
+
+def test_paths_branch_nowhere_inside(spark):
+    """Degrees of the repeated graph against a plain count: pieces end at every node with two repeated edges in or out."""
+    r = random.Random(8)
+    a, b, c, d = ([f"{k}{i}" for i in range(60)] for k in "abcd")
+    texts = [a + b, a + b, a + c, a + c, d + b[20:], d + b[20:], b[5:50]]
+    r.shuffle(texts)
+    docs = spark.createDataFrame([(i, i, " ".join(t)) for i, t in enumerate(texts)], "__row long, id long, text string")
+    found = debruijn._compacted(docs.withColumn("id", docs["id"].cast("string")), 35, 7).collect()
+    edges = Counter(tuple(t[i : i + 35]) for t in texts for i in range(len(t) - 34))
+    repeated = [e for e, n in edges.items() if n > 1]
+    out, into = Counter(e[:-1] for e in repeated), Counter(e[1:] for e in repeated)
+    branching = {n for n in [*out, *into] if out[n] > 1 or into[n] > 1}
+    assert branching
+    by_row = {x["__row"]: x for x in found}
+    for row, t in enumerate(texts):
+        x, flags = by_row[row], [edges[tuple(t[i : i + 35])] > 1 for i in range(len(t) - 34)]
+        place = 0
+        starts = [i for i, f in enumerate(flags) if f and not (i and flags[i - 1])]
+        cut = {i for i in range(1, len(flags)) if flags[i] and flags[i - 1] and tuple(t[i : i + 34]) in branching}
+        got = []
+        for n in x.length:
+            place = next(i for i in range(place, len(flags)) if flags[i])
+            got.append(place)
+            place += n
+        assert sum(x.length) == sum(flags) and set(starts) | cut <= set(got)
 
 
 def _fingerprint(text):
@@ -143,12 +195,29 @@ def test_clean_keeps_columns(spark):
 
 
 def test_hot_anchors(spark, monkeypatch):
-    """With no anchor gathered, the counts of single windows give the same."""
-    from lamella.llm import spans
-
+    """With no anchor gathered, the counts of single suffixes give the same; so do runs sorted a few at a time."""
     docs = spark.createDataFrame(_corpus()[:-1], "doc_id long, text string, s string")
-    for f in (debruijn.dedup_words, suffixes.dedup_bytes):
-        want = sorted(map(str, f(docs).collect()))
+    want = sorted(map(str, suffixes.dedup_bytes(docs).collect()))
+    for name, value in (("GATHER", 1), ("SORTED", 1)):
         with monkeypatch.context() as m:
-            m.setattr(spans, "GATHER", 1)
-            assert sorted(map(str, f(docs).collect())) == want
+            m.setattr(suffixes, name, value)
+            assert sorted(map(str, suffixes.dedup_bytes(docs).collect())) == want
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_radix_sort(monkeypatch, clash):
+    """Repeated suffixes against a plain count, also if all hashes meet."""
+    r = random.Random(3)
+    base = bytes(r.choice(b"ab") for _ in range(60))
+    raws = [base[r.randrange(20) : 60 - r.randrange(10)] + bytes(r.choice(b"ab") for _ in range(r.randint(0, 9))) for _ in range(30)]
+    raws = [x + b"b" * max(0, 25 - len(x)) for x in raws]
+    anchors, times = np.array([i % 3 for i in range(30)], np.int64), np.array([1 + (i % 11 == 0) for i in range(30)])
+    if clash:
+        monkeypatch.setattr(suffixes, "mix", lambda x: x * np.uint64(0))
+    total = Counter()
+    for a, x, n in zip(anchors, raws, times, strict=True):
+        for i in range(len(x) - 24):
+            total[int(a), x[i : i + 25]] += int(n)
+    want = {(k, i) for k, x in enumerate(raws) for i in range(len(x) - 24) if total[int(anchors[k]), x[i : i + 25]] > 1}
+    run, place = suffixes.repeated_suffixes(anchors, raws, times, 25)
+    assert set(zip(run.tolist(), place.tolist(), strict=True)) == want and want
