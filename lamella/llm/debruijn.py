@@ -4,11 +4,9 @@ A k-mer of words (k = ``WINDOW``) is an edge between its first and its last
 k - 1 words, the nodes. An edge is repeated if it occurs twice or more anywhere;
 words covered by a repeated edge go.
 
-Occurrences are never rows. Texts are packed into chunks of bounded size; a
-chunk sends its distinct edges as sorted, delta-coded hashes, dealt by their
-leading bits, and the task that has a range of the hashes answers with a bit for
-each. Copies inside a chunk are sent once, and hashes spread evenly, so no
-passage, however frequent, makes a hot group. Two exchanges are made:
+Occurrences are never rows. Texts are packed into chunks, which exchange sorted
+hashes (see ``packed``), so that no passage, however frequent, makes a hot
+group. Two exchanges are made:
 
 1. edges by a short hash: those met in one place only leave;
 2. nodes of what is left, by a long hash, with the words before and after: the
@@ -24,7 +22,6 @@ their words must be the same: a digest of the source text verifies it.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, discard, doc, materialize, numbered, small_batches
-from .hashing import byte_hashes, grams, mix, run_hashes
+from .hashing import grams, mix
+from .packed import CHUNKS, SENT, Words, answers, bounds, codes, each_chunk, elsewhere, encode, decode, exchange, flags, pack, send, tasks
 
 WINDOW, SEED = 35, 7
 #: Bytes of text in a chunk (a single longer word excepted); hashes that one task compares at once, about.
@@ -43,100 +41,19 @@ CHUNK, BUCKET = 1 << 21, 1 << 21
 SPARE = 11
 #: One node in so many is a cut, besides those that branch.
 CUTS = 16
-CHUNKS = "rows binary, ids array<string>, firsts binary, counts binary, whole binary, raw binary, n_words long"
-
-
-def _pack(window: int, size: int):
-    """Chunks of texts: their words joined by one space. A text longer than a chunk is cut into parts that overlap by window - 1 words."""
-
-    def parts(text: str | None) -> Iterator[tuple[int, bool, bytes, int]]:
-        raw = b" ".join(text.encode("utf-8", "surrogatepass").split()) if text else b""
-        if len(raw) <= size:
-            yield 0, True, raw, raw.count(b" ") + bool(raw)
-            return
-        words = raw.split()
-        at, end, n = 0, 0, 0
-        while at < len(words):
-            while end < len(words) and (n < size or end == at):
-                n += len(words[end]) + 1
-                end += 1
-            part = words[at : end + window - 1]
-            yield at, False, b" ".join(part), len(part)
-            at, n = end, 0
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-        bytes_held = 0
-
-        def flush() -> pd.DataFrame:
-            rows, ids, firsts, whole, raws, counts = zip(*held, strict=True)
-            numbers = [np.array(x, np.int64).tobytes() for x in (rows, firsts, counts, whole)]
-            return pd.DataFrame({"rows": [numbers[0]], "ids": [list(ids)], "firsts": [numbers[1]], "counts": [numbers[2]], "whole": [numbers[3]], "raw": [b" ".join(x for x in raws if x)], "n_words": [sum(counts)]})
-
-        for batch in batches:
-            for row, name, text in zip(batch[ROW], batch["id"], batch["text"], strict=True):
-                for first, whole, raw, n in parts(text):
-                    if held and bytes_held + len(raw) > size:
-                        yield flush()
-                        held, bytes_held = [], 0
-                    held.append((row, name, first, whole, raw, n))
-                    bytes_held += len(raw) + 1
-        if held:
-            yield flush()
-
-    return run
-
-
-def encode(sorted_keys: np.ndarray) -> bytes:
-    """Differences of sorted 64-bit keys, byte plane by byte plane, without the leading planes that are zero."""
-    steps = np.diff(sorted_keys, prepend=np.uint64(0))
-    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
-
-def decode(data: bytes) -> np.ndarray:
-    width = data[0]
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :width] = planes.T
-    return np.cumsum(out.reshape(-1).view("<u8").astype(np.uint64))
-
-
-class Graph:
+class Graph(Words):
     """The edges and nodes of one chunk. bits, deal: of the short hash, and of the number of the task that compares it."""
 
     def __init__(self, chunk: dict, window: int, bits: int, deal: int, seed: int):
+        super().__init__(chunk, window, seed)
         self.window, self.bits, self.deal = window, bits, deal
-        self.raw, self.counts = chunk["raw"], np.frombuffer(chunk["counts"], np.int64)
-        data = np.frombuffer(self.raw, np.uint8)
-        gaps = np.flatnonzero(data == 32)
-        self.starts = np.concatenate(([0], gaps + 1)) if len(data) else gaps
-        self.ends = np.concatenate((gaps, [len(data)])) if len(data) else gaps
-        self.words = run_hashes(byte_hashes(seed)[data], self.starts, self.ends)
-        n = len(self.words)
-        self.first = np.cumsum(self.counts) - self.counts  # of each text
-        left = np.repeat(self.first + self.counts, self.counts) - np.arange(n)
-        self.edges = np.flatnonzero(left >= window)  # places of words where one starts
-        if len(self.edges):
-            key = mix(grams(self.words, window))[self.edges] >> np.uint64(64 - bits)
-            self.keys, self.of, self.times = np.unique(key, return_inverse=True, return_counts=True)
-        else:
-            self.keys, self.of, self.times = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def dealt(self, keys: np.ndarray, bits: int) -> np.ndarray:
-        """Where the keys of each task begin among the sorted keys."""
-        return np.searchsorted(keys >> np.uint64(bits - self.deal) if self.deal else np.zeros(len(keys), np.uint64), np.arange((1 << self.deal) + 1, dtype=np.uint64))
-
-    def answers(self, keys: np.ndarray, bits: int, replies, unpack) -> np.ndarray:
-        out, cut = np.zeros(len(keys), np.uint8), self.dealt(keys, bits)
-        for r in replies if replies is not None else ():
-            a, b = cut[r["bucket"]], cut[r["bucket"] + 1]
-            out[a:b] = unpack(r["data"], b - a)
-        return out
+        self.keys, self.of, self.times = np.unique(self.hashes >> np.uint64(64 - bits), return_inverse=True, return_counts=True)
 
     def live(self, replies) -> np.ndarray:
         """For each word, whether an edge starts there that may be repeated."""
-        hit = self.answers(self.keys, self.bits, replies, lambda data, n: np.unpackbits(np.frombuffer(data, np.uint8), count=n)) > 0
+        hit = answers(self.keys, self.bits, self.deal, replies, flags) > 0
         out = np.zeros(len(self.words), bool)
         out[self.edges] = (hit | (self.times > 1))[self.of]
         return out
@@ -165,24 +82,17 @@ class Graph:
 
 
 def _graphs(window: int, bits: int, deal: int, seed: int, each):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for chunk in batch.to_dict("records"):
-                yield from each(chunk, Graph(chunk, window, bits, deal, seed))
-
-    return run
+    return each_chunk(lambda chunk: each(chunk, Graph(chunk, window, bits, deal, seed)))
 
 
 def _send_edges(chunk: dict, g: Graph) -> Iterator[pd.DataFrame]:
-    cut = g.dealt(g.keys, g.bits)
-    some = np.flatnonzero(np.diff(cut)).tolist()
-    yield pd.DataFrame({"bucket": some, "chunk": chunk["chunk"], "keys": [encode(g.keys[cut[b] : cut[b + 1]]) for b in some]})
+    yield send(chunk["chunk"], g.keys, g.bits, g.deal)
 
 
 def _send_nodes(chunk: dict, g: Graph) -> Iterator[pd.DataFrame]:
     live = g.live(chunk["replies"])
     _, node, around, _, twice = g.nodes(live)
-    cut = g.dealt(node, 64)
+    cut = bounds(node, 64, g.deal)
     some = np.flatnonzero(np.diff(cut)).tolist()
     parts = [slice(cut[b], cut[b + 1]) for b in some]
     rows = [(b, encode(node[p]), around[p].tobytes(), np.packbits(twice[p]).tobytes()) for b, p in zip(some, parts, strict=True)]
@@ -191,39 +101,6 @@ def _send_nodes(chunk: dict, g: Graph) -> Iterator[pd.DataFrame]:
     yield out.assign(chunk=chunk["chunk"])
 
 
-def _by_bucket(answer):
-    """Rows come sorted by bucket; answer gives the data of the replies for all rows of one."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: list[dict] = []
-
-        def reply(rows: list[dict]) -> pd.DataFrame:
-            found = [(r["chunk"], r["bucket"], x) for r, x in zip(rows, answer(rows), strict=True) if x is not None]
-            return pd.DataFrame(found, columns=["chunk", "bucket", "data"]).astype({"chunk": "int64", "bucket": "int32"})
-
-        for batch in batches:
-            for row in batch.to_dict("records"):
-                if rest and rest[0]["bucket"] != row["bucket"]:
-                    yield reply(rest)
-                    rest = []
-                rest.append(row)
-        if rest:
-            yield reply(rest)
-
-    return run
-
-
-def _answer_edges(rows: list[dict]) -> list[bytes | None]:
-    """A bit for each key: whether another chunk has it too."""
-    keys = [decode(r["keys"]) for r in rows]
-    every = np.sort(np.concatenate(keys))
-    several = np.unique(every[1:][every[1:] == every[:-1]])
-    if not len(several):
-        return [None] * len(rows)
-    hits = [several[np.minimum(np.searchsorted(several, k), len(several) - 1)] == k for k in keys]
-    return [np.packbits(h).tobytes() if h.any() else None for h in hits]
-
-
 def _degrees(node: np.ndarray, word: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each (node, word): whether that edge is repeated, and whether its node has more than one repeated edge."""
     order = np.lexsort((word, node))
@@ -268,7 +145,7 @@ def _cut(chunk: dict, g: Graph) -> Iterator[pd.DataFrame]:
     """
     live = np.unpackbits(np.frombuffer(chunk["live"], np.uint8), count=len(g.words)).astype(bool)
     at, node, _, of, _ = g.nodes(live)
-    code = g.answers(node, 64, chunk["replies"], lambda data, n: np.frombuffer(data, np.uint8))[of] if len(at) else np.zeros(0, np.uint8)
+    code = answers(node, 64, g.deal, chunk["replies"], codes)[of] if len(at) else np.zeros(0, np.uint8)
     repeated, cuts = np.zeros(len(live), bool), np.zeros(len(live) + 1, bool)
     repeated[at[(code & 1) > 0]] = True
     repeated &= live
@@ -334,24 +211,17 @@ def _cut_long(window: int):
 
 def _compacted(rows: DataFrame, window: int, seed: int) -> DataFrame:
     """The columns FOUND for (__row, id: string, text), written."""
-    packed = rows.mapInPandas(_pack(window, CHUNK), CHUNKS).withColumn("chunk", F.monotonically_increasing_id())
-    chunks = materialize(packed)
+    chunks = materialize(rows.mapInPandas(pack(window, CHUNK), CHUNKS).withColumn("chunk", F.monotonically_increasing_id()))
     n = chunks.agg(F.sum("n_words")).first()[0] or 0
-    bits = min(64, max(40, n.bit_length() + SPARE))
-    deal = max(0, math.ceil(math.log2(max(1, n / BUCKET))))
+    bits, deal = min(64, max(40, n.bit_length() + SPARE)), tasks(n, BUCKET)
     graph = chunks.select("chunk", "raw", "counts")
+    run = lambda each: _graphs(window, bits, deal, seed, each)
 
-    def replies(sent: DataFrame, answer) -> DataFrame:
-        dealt = sent.repartition(1 << deal, "bucket").sortWithinPartitions("bucket")
-        back = materialize(dealt.mapInPandas(_by_bucket(answer), "chunk long, bucket int, data binary"))
-        return back.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "data")).alias("replies"))
-
-    edges = graph.mapInPandas(_graphs(window, bits, deal, seed, _send_edges), "bucket int, chunk long, keys binary")
-    asked = graph.join(replies(edges, _answer_edges), "chunk", "left")
-    nodes = materialize(asked.mapInPandas(_graphs(window, bits, deal, seed, _send_nodes), "bucket int, keys binary, around binary, twice binary, chunk long"))
+    asked = graph.join(exchange(graph.mapInPandas(run(_send_edges), SENT), deal, elsewhere), "chunk", "left")
+    nodes = materialize(asked.mapInPandas(run(_send_nodes), "bucket int, keys binary, around binary, twice binary, chunk long"))
     live = nodes.where("bucket = -1").select("chunk", F.col("keys").alias("live"))
-    told = live.join(replies(nodes.where("bucket >= 0"), _answer_nodes), "chunk", "left")
-    out = materialize(chunks.join(told, "chunk").mapInPandas(_graphs(window, bits, deal, seed, _cut), FOUND))
+    told = live.join(exchange(nodes.where("bucket >= 0"), deal, _answer_nodes), "chunk", "left")
+    out = materialize(chunks.join(told, "chunk").mapInPandas(run(_cut), FOUND))
     discard(nodes)
     discard(chunks)
     return out

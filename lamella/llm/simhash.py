@@ -19,6 +19,7 @@ has its whole tally in short ones, so no link is lost.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 from operator import xor
@@ -42,13 +43,14 @@ BLOCKS = [b for b in combinations(range(8), 4) if reduce(xor, b) == 0]
 LEAST_TALLY = min(sum(not set(b) & set(gone) for b in BLOCKS) for gone in combinations(range(8), MAX_BITS))
 
 
-def shingle_hashes(text: str | None, shingle: int):
+def shingle_hashes(text: str | bytes | None, shingle: int) -> Iterator[np.ndarray]:
     """XXH64 of each word shingle of a text, repeats included, in arrays of at most STEP; A-Z is lower-cased.
 
     Fewer words than a shingle make one shingle of all; no words (null or blank
     text) make none.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else ()
+    raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+    words = raw.lower().split()
     if not words:
         return
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
@@ -63,7 +65,7 @@ def shingle_hashes(text: str | None, shingle: int):
         yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at : at + STEP].tolist(), ends[at : at + STEP].tolist(), strict=True)], np.uint64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+def fingerprint(text: str | bytes | None, shingle: int = SHINGLE) -> int:
     """Signed 64-bit SimHash of a text's word shingles; zero if there is none."""
     n, ones = 0, np.zeros(64, np.int64)
     for hashes in shingle_hashes(text, shingle):

@@ -1,69 +1,122 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, exact.
+"""The near-dedup stage: SimHash links first, completed to all pairs at a Jaccard similarity of 0.8 or more.
 
 Two documents are linked if their sets of five-word shingles have a similarity
-of 0.8 or more. Candidates come from prefixes: with all shingles in one order,
-sets as similar as that share one of the first n - ceil(0.8 n) + 1 shingles of
-each. Any order will do, so rare shingles come first: the most frequent ones of
-a sample are moved to the end, which costs no pair. All candidates are verified
-on the whole sets. A SimHash radius can't stand in for this: pairs at 0.8
-differ by 10 of 64 bits on the average, and some by far more.
-
-Lists of more than ``LONG_LIST`` documents are first linked to hubs, in a few
-rounds with other hubs; pairs that are connected by then need no verification.
-All others of the list are verified, so no list is capped. The hubs go on only
-while the pairs left are many.
+of 0.8 or more. A SimHash radius alone can't give these links: pairs at 0.8
+differ by 10 of 64 bits on the average. So the byte-position index of ``simhash``
+proposes the first links, which are verified on the whole sets and join most
+copies; what it misses comes from set prefixes, so that no link is lost:
+
+1. A document with a partner at 0.8 shares at least 0.8 of its own shingles with
+   other documents. Chunks exchange hashes of their shingles (see ``packed``),
+   and only documents that share so many go on; most texts end here.
+2. Fingerprints within two bits, equal ones included, are linked and verified.
+3. With all shingles in one order, sets as similar as that share one of the
+   first n - ceil(0.8 n) + 1 shingles of each. Any order will do, so rare
+   shingles come first: the most frequent ones of a sample are moved to the end,
+   which costs no pair. Each document is verified with the hub that it meets in
+   most lists, and then all pairs of a list that are still in different groups
+   are, unless they share too few of the first shingles to reach 0.8. If those
+   are many, further hubs come first. No list is capped.
 """
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType
+from pyspark.sql.types import ArrayType, LongType
 
+from . import simhash
 from .common import ROW, components, discard, doc, materialize, numbered, small_batches
+from .packed import CHUNKS, SENT, Words, answers, each_chunk, elsewhere, exchange, flags, normal, pack, send, tasks
 
-SHINGLE, SEED = 5, 42
+SHINGLE, SEED = 5, 7
 #: The least similarity, as a fraction.
 LEAST = (4, 5)
-LONG_LIST, HUB_ROUNDS = 32, 4
+#: Rounds of hubs at most; pairs for each row of a list that need none.
+HUB_ROUNDS, FEW = 4, 32
 #: Shingles moved to the end of the order: at most so many, seen so often in one of SAMPLE documents.
 FREQUENT, SEEN, SAMPLE = 1 << 16, 4, 8
+#: Bytes of a chunk, hashes that a task compares, bits of a hash.
+CHUNK, BUCKET, BITS = 1 << 21, 1 << 21, 48
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles, split and lower-cased as for the fingerprint."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else ()
-    if not words:
-        return np.zeros(0, np.int64)
-    joined = b" ".join(words)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= SHINGLE:
-        hashes = [digest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[: 1 - SHINGLE].tolist(), ends[SHINGLE - 1 :].tolist(), strict=True)]
-    return np.unique(np.array(hashes, np.uint64).view(np.int64))
+def shingles(words: bytes) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text given by normal()."""
+    found = [x.view(np.int64) for x in simhash.shingle_hashes(words, SHINGLE)]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def normal(text: str | None) -> bytes:
-    """Digest of the words; texts with the same words have the same shingles."""
-    return hashlib.md5(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()) if text else b"").digest()
+@F.pandas_udf(ArrayType(LongType()))
+def _shingles(texts: pd.Series) -> pd.Series:
+    return pd.Series([shingles(t) for t in texts])
 
 
-@F.pandas_udf(BinaryType())
-def _normals(texts: pd.Series) -> pd.Series:
-    return pd.Series([normal(t) for t in texts])
+@F.pandas_udf(LongType())
+def _prints(texts: pd.Series) -> pd.Series:
+    return pd.Series([simhash.fingerprint(t, SHINGLE) for t in texts], dtype="int64")
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def _shingles(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingles(t) for t in texts])
+class Shingled(Words):
+    """The distinct shingles of each text of a chunk, by a short hash, and the distinct hashes of all, sorted."""
+
+    def __init__(self, chunk: dict):
+        super().__init__(chunk, SHINGLE, SEED)
+        text = np.repeat(np.arange(len(self.counts)), self.counts)[self.edges]
+        order = np.lexsort((self.hashes, text))
+        text, own = text[order], self.hashes[order]
+        new = np.concatenate(([True], (np.diff(text) != 0) | (np.diff(own) != 0)))[: len(own)]
+        self.text = text[new]
+        self.keys, self.of, self.times = np.unique(own[new] >> np.uint64(64 - BITS), return_inverse=True, return_counts=True)
+
+    def shared(self, deal: int, replies) -> tuple[np.ndarray, np.ndarray]:
+        """For each text, its distinct shingles and how many of them another text may have too."""
+        other = (answers(self.keys, BITS, deal, replies, flags) > 0) | (self.times > 1)
+        n = len(self.counts)
+        return np.bincount(self.text, minlength=n), np.bincount(self.text, other[self.of], minlength=n)
+
+
+def _partnered(deal: int):
+    """(__row, raw) of the texts that may have a partner; raw is null for a text that was cut into parts."""
+
+    def work(chunk: dict) -> Iterator[pd.DataFrame]:
+        s = Shingled(chunk)
+        n, shared = s.shared(deal, chunk["replies"])
+        rows, whole = (np.frombuffer(chunk[c], np.int64) for c in ("rows", "whole"))
+        # Two more for hashes that meet inside the text.
+        may = (n == 0) | (whole == 0) | ((shared + 2) * LEAST[1] >= n * LEAST[0])
+        end = s.first + s.counts
+        raw = [(s.raw[s.starts[a] : s.ends[b - 1]] if b > a else b"") if w else None for a, b, w in zip(s.first[may].tolist(), end[may].tolist(), whole[may].tolist(), strict=True)]
+        yield pd.DataFrame({ROW: rows[may], "raw": pd.Series(raw, dtype=object)})
+
+    return each_chunk(work)
+
+
+def partnered(texts: DataFrame) -> DataFrame:
+    """(__row, raw): of texts (__row, text) those that may have a partner, as normal() gives them; written."""
+    named = texts.select(ROW, F.lit(None).cast("string").alias("id"), "text")
+    chunks = materialize(named.mapInPandas(pack(SHINGLE, CHUNK, lower=True), CHUNKS).withColumn("chunk", F.monotonically_increasing_id()))
+    deal = tasks(chunks.agg(F.sum("n_words")).first()[0] or 0, BUCKET)
+
+    def edges(chunk: dict) -> Iterator[pd.DataFrame]:
+        yield send(chunk["chunk"], Shingled(chunk).keys, BITS, deal)
+
+    sent = chunks.select("chunk", "raw", "counts").mapInPandas(each_chunk(edges), SENT)
+    told = chunks.select("chunk", "raw", "counts", "rows", "whole").join(exchange(sent, deal, elsewhere), "chunk", "left")
+    found = materialize(told.mapInPandas(_partnered(deal), f"{ROW} long, raw binary"))
+    discard(chunks)
+    long = found.where("raw is null").select(ROW).distinct()
+    if long.isEmpty():
+        return found
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({ROW: batch[ROW], "raw": [normal(t, lower=True) for t in batch["text"]]})
+
+    return materialize(found.where("raw is not null").unionByName(texts.join(long, ROW).mapInPandas(words, f"{ROW} long, raw binary")))
 
 
 def frequent(sets: DataFrame) -> np.ndarray:
@@ -85,22 +138,29 @@ def prefix(tokens: np.ndarray, last: np.ndarray, order: np.ndarray) -> np.ndarra
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (u, v) that are similar."""
+    """Those of the pairs (u, v) that are similar; written."""
     pairs = materialize(pairs.distinct())
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    own = materialize(sets.join(nodes, "node", "left_semi"))
-    side = lambda name, tokens: own.select(F.col("node").alias(name), F.col("tokens").alias(tokens))
+    side = lambda name, tokens: sets.select(F.col("node").alias(name), F.col("tokens").alias(tokens))
     both = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v")
     # i / (a + b - i) >= p / q
     enough = F.size(F.array_intersect("a", "b")) * sum(LEAST) >= LEAST[0] * (F.size("a") + F.size("b"))
     out = materialize(both.where(enough).select("u", "v"))
     discard(pairs)
-    discard(own)
     return out
 
 
+def proposed(sets: DataFrame) -> DataFrame:
+    """Pairs (u, v) of sets (node, fp) whose fingerprints the byte-position index links, one of each fingerprint for all of it."""
+    first = materialize(sets.groupBy("fp").agg(F.min("node").alias("first")))
+    near = simhash.links(first.select("fp"))
+    name = lambda fp, node: first.select(F.col("fp").alias(fp), F.col("first").alias(node))
+    across = near.withColumnsRenamed({"u": "p", "v": "q"}).join(name("p", "u"), "p").join(name("q", "v"), "q").select("u", "v")
+    within = sets.select("node", "fp").join(first, "fp").where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v"))
+    return across.unionByName(within)
+
+
 def links(sets: DataFrame) -> DataFrame:
-    """Edges (u, v) that connect the distinct sets (node: long, tokens) that are similar."""
+    """Edges (u, v) that connect the distinct sets (node: long, fp: long, tokens) that are similar."""
     late = frequent(sets)
     order = np.argsort(late, kind="stable")
     last = late[order]
@@ -110,69 +170,59 @@ def links(sets: DataFrame) -> DataFrame:
         return pd.Series([prefix(np.asarray(t, np.int64), last, order) for t in tokens])
 
     found = sets.select("node", F.size("tokens").alias("n"), prefixes("tokens").alias("p"))
-    postings = found.select("node", "n", (F.col("n") - F.size("p")).alias("rest"), F.explode("p").alias("token"))
-    # Most shingles are in one list of one: only the lengths are written, and the prefixes made again.
-    lengths = materialize(postings.groupBy("token").agg(F.count("*").alias("k")).where("k > 1"))
-    lists = materialize(postings.join(lengths, "token"))
-    discard(lengths)
+    postings = materialize(found.select("node", "n", (F.col("n") - F.size("p")).alias("rest"), F.explode("p").alias("token")))
     fits = F.least("n", "m") * LEAST[1] >= F.greatest("n", "m") * LEAST[0]
 
-    def pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-        return a.withColumnRenamed("node", "u").join(b.withColumnsRenamed({c: {"node": "v", "n": "m"}.get(c, f"{c}2") for c in b.columns if c != "token"}), "token").where(fits)
-
-    # Common shingles are those met in short lists, at most all in long lists, and at most what follows the prefixes.
-    in_long = lists.groupBy("node").agg(F.count_if(F.col("k") > LONG_LIST).alias("late"))
-    short = lists.where(F.col("k") <= LONG_LIST).select("token", "node", "n", "rest").join(in_long, "node")
-    long = lists.where(F.col("k") > LONG_LIST).select("token", "node", "n")
-    met = pairs(short, short).where("u < v").groupBy("u", "v", "n", "m", "rest", "rest2", "late", "late2").agg(F.count("*").alias("shared"))
-    most = F.col("shared") + F.least("late", "late2") + F.greatest("rest", "rest2")
-    met = materialize(met.where(most * sum(LEAST) >= LEAST[0] * (F.col("n") + F.col("m"))).select("u", "v", "shared"))
-    # One pair a document first; of the others only those that are not connected by then.
-    edges = verified(met.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), sets)
-    roots = components(edges)
-    left = met.join(roots.toDF("u", "ru"), "u", "left").join(roots.toDF("v", "rv"), "v", "left")
-    left = left.where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v")
-    edges = materialize(edges.unionByName(verified(left, sets)))
-    for step in range(HUB_ROUNDS + 1):
-        if long.isEmpty():
-            break
+    def hubs(lists: DataFrame, step: int) -> DataFrame:
+        """For each document the hub that it meets in most lists; a list's hub is the member with the least hash."""
+        hub = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(step), "node"), F.col("node").alias("u"), F.col("n").alias("m"))).alias("h"), F.count("*").alias("k"))
+        met = lists.join(hub.where("k > 1").select("token", "h.u", "h.m"), "token").where(fits & (F.col("u") != F.col("node")))
+        return met.groupBy("node", "u").agg(F.count("*").alias("k")).groupBy(F.col("node").alias("v")).agg(F.max_by("u", F.struct("k", "u")).alias("u")).select("u", "v")
+
+    edges = verified(proposed(sets).unionByName(hubs(postings, 0)), sets)
+    lists = postings
+    for step in range(1, HUB_ROUNDS + 2):
         roots = components(edges)
-        rooted = long.select("token", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = lists.select("token", "node", "n", "rest").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         by_root = rooted.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token")
-        unlinked = by_root.agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"), F.sum("k").alias("size")).where("pairs > 0")
-        long = materialize(rooted.join(unlinked, "token"))
+        apart = by_root.agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"), F.sum("k").alias("size")).where("pairs > 0")
         # pairs stands in each row of its list; once it is few a row, hubs save nothing.
-        rows, few = long.agg(F.count("*"), F.sum(F.col("pairs") / F.col("size")) <= LONG_LIST * F.count("*")).first()
-        everything = step == HUB_ROUNDS or rows == 0 or few
-        other = long.withColumnRenamed("root", "other")
-        if not everything:
-            hubs = long.groupBy("token").agg(F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(step))).alias("h"))
-            other = hubs.select("token", "h.node", "h.n", F.col("h.root").alias("other"))
-        met = pairs(long.drop("pairs", "size"), other.drop("pairs", "size")).where("root <> other2")
-        edges = materialize(edges.unionByName(verified(met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), sets)))
-        if everything:
+        lists = materialize(rooted.join(apart, "token"))
+        rows, pairs = lists.agg(F.count("*"), F.sum(F.col("pairs") / F.col("size"))).first()
+        if not rows:
+            return edges
+        if step > HUB_ROUNDS or pairs <= FEW * rows:
             break
-    return edges
+        edges = materialize(edges.unionByName(verified(hubs(lists, step), sets)))
+    other = lists.select("token", *[F.col(a).alias(b) for a, b in (("node", "v"), ("n", "m"), ("rest", "rest2"), ("root", "root2"))])
+    met = lists.withColumnRenamed("node", "u").join(other, "token").where((F.col("u") < F.col("v")) & (F.col("root") != F.col("root2")) & fits)
+    met = met.groupBy("u", "v", "n", "m", "rest", "rest2").agg(F.count("*").alias("shared"))
+    # Common shingles are those met in lists, and at most what follows the prefixes.
+    most = F.col("shared") + F.greatest("rest", "rest2")
+    left = met.where(most * sum(LEAST) >= LEAST[0] * (F.col("n") + F.col("m"))).select("u", "v")
+    return materialize(edges.unionByName(verified(left, sets)))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without all but one row of each group that is connected by similar pairs.
 
-    The row with the group's smallest id stays (a null id comes last, and of
-    rows with the same id the first read stays). Null and blank texts are one
-    group.
+    Words are lower-cased (A-Z); a text of fewer words than a shingle is one
+    shingle. The row with the group's smallest id stays (a null id comes last,
+    and of rows with the same id the first read stays). Null and blank texts are
+    one group. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     rows = numbered(docs)
-    found = materialize(rows.select(ROW, doc(id_col).alias("id"), _normals(doc(text_col)).alias("words")))
-    first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", ROW)).alias("k")
+    near = partnered(rows.select(ROW, doc(text_col).alias("text")))
     # Texts with the same words are one node, named by its first row.
-    classes = materialize(found.groupBy("words").agg(F.min(ROW).alias("node"), first).select("node", "k"))
-    discard(found)
-    texts = rows.select(F.col(ROW).alias("node"), doc(text_col).alias("text")).join(classes.select("node"), "node", "left_semi")
-    sets = materialize(texts.select("node", _shingles("text").alias("tokens")))
+    words = materialize(near.select(ROW, F.md5("raw").alias("words")).join(rows.select(ROW, doc(id_col).alias("id")), ROW))
+    first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", ROW)).alias("k")
+    classes = materialize(words.groupBy("words").agg(F.min(ROW).alias("node"), first))
+    texts = near.join(classes.select(F.col("node").alias(ROW)), ROW, "left_semi")
+    sets = materialize(texts.select(F.col(ROW).alias("node"), _shingles("raw").alias("tokens"), _prints("raw").alias("fp")))
     roots = components(links(sets))
     discard(sets)
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min("k").alias("k")).select(F.col(f"k.{ROW}").alias(ROW))
-    return rows.join(materialize(kept), ROW, "left_semi").select("__doc.*")
+    gone = words.select(ROW).join(kept, ROW, "left_anti")
+    return rows.join(materialize(gone), ROW, "left_anti").select("__doc.*")

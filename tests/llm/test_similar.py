@@ -46,9 +46,9 @@ def _groups(rows):
     return root
 
 
-@pytest.mark.parametrize(("length", "rounds", "seen"), [(32, 4, 4), (1, 4, 1), (2, 0, 4), (3, 1, 2)])
-def test_near_copies_go(spark, monkeypatch, tmp_path, length, rounds, seen):
-    for name, value in (("LONG_LIST", length), ("HUB_ROUNDS", rounds), ("SEEN", seen)):
+@pytest.mark.parametrize("sizes", [{}, {"HUB_ROUNDS": 0, "SEEN": 1}, {"FEW": 0, "SEEN": 1}, {"CHUNK": 300, "BUCKET": 100}])
+def test_near_copies_go(spark, monkeypatch, tmp_path, sizes):
+    for name, value in sizes.items():
         monkeypatch.setattr(similar, name, value)
     rows = _rows()
     least = {}
@@ -58,3 +58,14 @@ def test_near_copies_go(spark, monkeypatch, tmp_path, length, rounds, seen):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
     assert sorted(x.doc_id for x in got.collect()) == sorted(least.values())
+
+
+def test_edges(spark):
+    """Null and repeated ids, repeated rows, null and blank texts, columns with the names used inside."""
+    rows = [(3, "a b", 1), (None, "A  b", 2), (3, "a b", 1), (5, None, 3), (4, " \n", 4), (7, "a b c d e f", 5), (None, "x y z", 6), (None, "x y z", 7)]
+    docs = spark.createDataFrame(rows, "root long, tokens string, __row int")
+    got = similar.keep_first(docs, "root", "tokens")
+    assert got.columns == docs.columns
+    found = sorted(((x.root, x.tokens, x["__row"]) for x in got.collect()), key=str)
+    assert found == sorted([(3, "a b", 1), (4, " \n", 4), (7, "a b c d e f", 5), next(x for x in found if x[0] is None)], key=str)
+    assert similar.keep_first(docs.limit(0), "root", "tokens").count() == 0
