@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, discard, doc, materialize, numbered, small_batches
-from .hashing import grams, mix
+from .hashing import distinct, grams, grouped, mix
 from .packed import CHUNKS, SENT, Words, answers, bounds, codes, each_chunk, elsewhere, encode, decode, exchange, flags, pack, send, tasks
 
 WINDOW, SEED = 35, 7
@@ -47,15 +47,19 @@ class Graph(Words):
     """The edges and nodes of one chunk. bits, deal: of the short hash, and of the number of the task that compares it."""
 
     def __init__(self, chunk: dict, window: int, bits: int, deal: int, seed: int):
-        super().__init__(chunk, window, seed)
+        super().__init__(chunk, seed)
         self.window, self.bits, self.deal = window, bits, deal
-        self.keys, self.of, self.times = np.unique(self.hashes >> np.uint64(64 - bits), return_inverse=True, return_counts=True)
+
+    def keys(self) -> np.ndarray:
+        """The distinct short hashes of the edges, sorted."""
+        return distinct(self.runs(self.window)[1] >> np.uint64(64 - self.bits))
 
     def live(self, replies) -> np.ndarray:
         """For each word, whether an edge starts there that may be repeated."""
-        hit = answers(self.keys, self.bits, self.deal, replies, flags) > 0
+        at, hashes = self.runs(self.window)
+        keys, of, times = grouped(hashes >> np.uint64(64 - self.bits))
         out = np.zeros(len(self.words), bool)
-        out[self.edges] = (hit | (self.times > 1))[self.of]
+        out[at] = ((answers(keys, self.bits, self.deal, replies, flags) > 0) | (times > 1))[of]
         return out
 
     def nodes(self, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +90,7 @@ def _graphs(window: int, bits: int, deal: int, seed: int, each):
 
 
 def _send_edges(chunk: dict, g: Graph) -> Iterator[pd.DataFrame]:
-    yield send(chunk["chunk"], g.keys, g.bits, g.deal)
+    yield send(chunk["chunk"], g.keys(), g.bits, g.deal)
 
 
 def _send_nodes(chunk: dict, g: Graph) -> Iterator[pd.DataFrame]:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import xxhash
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
+@lru_cache(4)
 def byte_hashes(seed: int) -> np.ndarray:
     """A 64-bit value for each byte."""
     return np.array([xxhash.xxh64_intdigest(bytes([b]), seed) for b in range(256)], np.uint64)
@@ -35,10 +38,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
 
 
+@lru_cache(2)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2**bits powers of the multiplier, and of its inverse."""
+    one, n = np.ones(1, np.uint64), (1 << bits) - 1
+    return tuple(np.multiply.accumulate(np.concatenate((one, np.full(n, x)))) for x in (_MULT, np.uint64(pow(int(_MULT), -1, 1 << 64))))
+
+
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each run [start, end) of unit values: prefix sums of value times power, shifted back to power zero."""
-    n = len(values)
-    power = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(max(0, n - 1), _MULT)))) if n else np.zeros(0, np.uint64)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * power)))
-    back = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(max(0, n - 1), np.uint64(pow(int(_MULT), -1, 1 << 64))))))
-    return mix((sums[ends] - sums[starts]) * back[starts]) if len(starts) else np.zeros(0, np.uint64)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    power, back = _powers(max(16, len(values).bit_length()))
+    sums = np.empty(len(values) + 1, np.uint64)
+    sums[0] = 0
+    np.multiply(values, power[: len(values)], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    return mix((sums[ends] - sums[starts]) * back[starts])
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by a plain sort."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))[: len(x)]]
+
+
+def grouped(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values; which of them each value is; how often each is there."""
+    order = np.argsort(x)
+    x = x[order]
+    new = np.concatenate(([True], x[1:] != x[:-1]))[: len(x)]
+    of = np.empty(len(x), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return x[new], of, np.bincount(of, minlength=int(new.sum()))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, materialize
-from .hashing import byte_hashes, grams, mix, run_hashes
+from .hashing import byte_hashes, distinct, grams, mix, run_hashes
 
 CHUNKS = "rows binary, ids array<string>, firsts binary, counts binary, whole binary, raw binary, n_words long"
 
@@ -86,20 +86,22 @@ def decode(data: bytes) -> np.ndarray:
 
 
 class Words:
-    """The words of one chunk; the hash of each; where the runs of ``window`` words of one text start, and their hashes."""
+    """The words of one chunk and the hash of each."""
 
-    def __init__(self, chunk: dict, window: int, seed: int):
+    def __init__(self, chunk: dict, seed: int):
         self.raw, self.counts = chunk["raw"], np.frombuffer(chunk["counts"], np.int64)
         data = np.frombuffer(self.raw, np.uint8)
         gaps = np.flatnonzero(data == 32)
         self.starts = np.concatenate(([0], gaps + 1)) if len(data) else gaps
         self.ends = np.concatenate((gaps, [len(data)])) if len(data) else gaps
         self.words = run_hashes(byte_hashes(seed)[data], self.starts, self.ends)
-        n = len(self.words)
         self.first = np.cumsum(self.counts) - self.counts  # of each text
-        left = np.repeat(self.first + self.counts, self.counts) - np.arange(n)
-        self.edges = np.flatnonzero(left >= window)
-        self.hashes = mix(grams(self.words, window))[self.edges] if len(self.edges) else np.zeros(0, np.uint64)
+
+    def runs(self, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the runs of ``window`` words of one text start, and their hashes."""
+        left = np.repeat(self.first + self.counts, self.counts) - np.arange(len(self.words))
+        at = np.flatnonzero(left >= window)
+        return at, mix(grams(self.words, window))[at] if len(at) else np.zeros(0, np.uint64)
 
 
 def tasks(n: int, size: int) -> int:
@@ -155,7 +157,7 @@ def elsewhere(rows: list[dict]) -> list[bytes | None]:
     """A bit for each key: whether another chunk has it too."""
     keys = [decode(r["keys"]) for r in rows]
     every = np.sort(np.concatenate(keys))
-    several = np.unique(every[1:][every[1:] == every[:-1]])
+    several = distinct(every[1:][every[1:] == every[:-1]])
     if not len(several):
         return [None] * len(rows)
     hits = [several[np.minimum(np.searchsorted(several, k), len(several) - 1)] == k for k in keys]

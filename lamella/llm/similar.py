@@ -31,6 +31,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from . import simhash
 from .common import ROW, components, discard, doc, materialize, numbered, small_batches
+from .hashing import grouped
 from .packed import CHUNKS, SENT, Words, answers, each_chunk, elsewhere, exchange, flags, normal, pack, send, tasks
 
 SHINGLE, SEED = 5, 7
@@ -64,13 +65,14 @@ class Shingled(Words):
     """The distinct shingles of each text of a chunk, by a short hash, and the distinct hashes of all, sorted."""
 
     def __init__(self, chunk: dict):
-        super().__init__(chunk, SHINGLE, SEED)
-        text = np.repeat(np.arange(len(self.counts)), self.counts)[self.edges]
-        order = np.lexsort((self.hashes, text))
-        text, own = text[order], self.hashes[order]
+        super().__init__(chunk, SEED)
+        at, own = self.runs(SHINGLE)
+        text = np.repeat(np.arange(len(self.counts)), self.counts)[at]
+        order = np.lexsort((own, text))
+        text, own = text[order], own[order]
         new = np.concatenate(([True], (np.diff(text) != 0) | (np.diff(own) != 0)))[: len(own)]
         self.text = text[new]
-        self.keys, self.of, self.times = np.unique(own[new] >> np.uint64(64 - BITS), return_inverse=True, return_counts=True)
+        self.keys, self.of, self.times = grouped(own[new] >> np.uint64(64 - BITS))
 
     def shared(self, deal: int, replies) -> tuple[np.ndarray, np.ndarray]:
         """For each text, its distinct shingles and how many of them another text may have too."""
