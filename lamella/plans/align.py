@@ -140,6 +140,8 @@ def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(),
 
     A dataset is taken up from its last aligned slice; parameters other than
     those of the first run are an error, as the results would not fit together.
+    What has been written counts as done whether it was logged or not, so a run
+    that broke off between the two is logged and not repeated.
     """
     key = json.dumps(asdict(p), sort_keys=True, default=str)
     had = store.read_attributes(spark, output)
@@ -147,16 +149,18 @@ def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(),
         raise ValueError("the store was made with other parameters")
     log = progress.read(spark, f"{output}/progress")
     done = log.where("step_name = 'align'").select(F.col("collection").alias("dataset"), F.col("local_slice").alias("z")).distinct()
-    rest = progress.pending(images, done, ["dataset", "z"])
-    if rest.isEmpty():
+    unlogged = progress.pending(images, done, ["dataset", "z"])
+    if unlogged.isEmpty():
         return log
     old = store.read(spark, f"{output}/aligned", ALIGNED, missing_ok=True)
-    pick = F.max_by if not reverse else F.min_by
-    first = old.groupBy("dataset").agg(pick(F.struct("h", "w", "px"), "z").alias("s")).select("dataset", "s.*")
-    new = align(rest, p, reverse, first)
-    new.write.mode("append").partitionBy("dataset").parquet(f"{output}/aligned")
+    rest = progress.pending(unlogged, old.select("dataset", "z").distinct(), ["dataset", "z"])
+    if not rest.isEmpty():
+        pick = F.max_by if not reverse else F.min_by
+        first = old.groupBy("dataset").agg(pick(F.struct("h", "w", "px"), "z").alias("s")).select("dataset", "s.*")
+        align(rest, p, reverse, first).write.mode("append").partitionBy("dataset").parquet(f"{output}/aligned")
     store.write_attributes(spark, output, {"parameters": key, "z_aligned": True})
-    log_rows = rest.select("dataset", "z").join(spark.read.schema(ALIGNED).parquet(f"{output}/aligned").select("dataset", "z", "matches", "robust"), ["dataset", "z"], "left")
+    written = spark.read.schema(ALIGNED).parquet(f"{output}/aligned").select("dataset", "z", "matches", "robust")
+    log_rows = unlogged.select("dataset", "z").join(written, ["dataset", "z"], "left")
     meta = F.to_json(F.struct("matches", "robust"))
     progress.append(log_rows.select(F.col("dataset").alias("collection"), F.lit("align").alias("step_name"), F.col("z").alias("global_slice"), F.col("z").alias("local_slice"), F.current_timestamp().alias("ts"), meta.alias("metadata")), f"{output}/progress")
     return progress.read(spark, f"{output}/progress")

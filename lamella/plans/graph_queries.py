@@ -79,12 +79,12 @@ def path_reverse_flag(t: Tables) -> DataFrame:
     return p.select("start", "end", (first * 7 % 11 > last * 7 % 11).alias("reversed"))
 
 
-FIELD = VOLUME + ", F AS (SELECT a.z, a.y AS gy, a.x AS gx, (a.v - b.v)::DOUBLE AS dx, (a.v + b.v) % 17 - 8.0::DOUBLE AS dy, a.v / 64.0::DOUBLE AS sharp, b.v / 64.0::DOUBLE AS ratio FROM V a JOIN V b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x WHERE a.y < 32 AND a.x < 32)"
+FIELD = VOLUME + ", F AS (SELECT a.z, a.y AS gy, a.x AS gx, (a.v - b.v)::DOUBLE AS dx, (a.v + b.v) % 17 - 8.0::DOUBLE AS dy, a.v / 64.0::DOUBLE AS sharp, b.v / 64.0::DOUBLE AS ratio FROM V a JOIN V b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x)"
 
 
 def field(t: Tables) -> DataFrame:
     """A displacement field made of two adjacent slices."""
-    p = px(t).where("y < 32 and x < 32").select("z", F.col("y").alias("gy"), F.col("x").alias("gx"), F.col("v").alias("a"))
+    p = px(t).select("z", F.col("y").alias("gy"), F.col("x").alias("gx"), F.col("v").alias("a"))
     both = p.join(p.select((F.col("z") - 1).alias("z"), "gy", "gx", F.col("a").alias("b")), ["z", "gy", "gx"])
     return both.select("z", "gy", "gx", (F.col("a") - F.col("b")).cast("double").alias("dx"), ((F.col("a") + F.col("b")) % 17 - 8.0).alias("dy"), (F.col("a") / 64).alias("sharp"), (F.col("b") / 64).alias("ratio"))
 
@@ -94,9 +94,9 @@ def clean_flow(t: Tables) -> DataFrame:
     return flow.clean(field(t), 1.6, 1.6, 30, 12).select("z", "gy", "gx", "dx", "dy")
 
 
-@query(f"""WITH RECURSIVE {FIELD}, A AS (SELECT z, gy, gx, CASE WHEN ratio >= 2.0 AND z < 3 THEN dx WHEN sharp >= 1.9 AND z < 3 THEN dx / 2 END AS dx, CASE WHEN ratio >= 2.0 AND z < 3 THEN dy WHEN sharp >= 1.9 AND z < 3 THEN dy / 2 END AS dy FROM F),
+@query(f"""WITH RECURSIVE {FIELD}, A AS (SELECT z, gy, gx, CASE WHEN ratio >= 2.2 THEN dx WHEN sharp >= 2.2 THEN dx / 2 END AS dx, CASE WHEN ratio >= 2.2 THEN dy WHEN sharp >= 2.2 THEN dy / 2 END AS dy FROM F),
 S AS (SELECT *, coalesce(abs(dx - lag(dx) OVER r) > 20, false) OR coalesce(abs(dx - lag(dx) OVER c) > 20, false) OR coalesce(abs(dy - lag(dy) OVER r) > 20, false) OR coalesce(abs(dy - lag(dy) OVER c) > 20, false) AS bad FROM A WINDOW r AS (PARTITION BY z, gy ORDER BY gx), c AS (PARTITION BY z, gx ORDER BY gy)),
-N AS (SELECT z, gy, gx, dx, dy, gy * 32 + gx AS id FROM S WHERE NOT bad AND dx IS NOT NULL),
+N AS (SELECT z, gy, gx, dx, dy, gy * 64 + gx AS id FROM S WHERE NOT bad AND dx IS NOT NULL),
 R AS (SELECT z, gy, gx, id FROM N UNION SELECT N.z, N.gy, N.gx, R.id FROM R JOIN N ON N.z = R.z AND abs(N.gy - R.gy) + abs(N.gx - R.gx) = 1),
 C AS (SELECT z, gy, gx, min(id) AS c FROM R GROUP BY ALL), L AS (SELECT z, c FROM C GROUP BY ALL HAVING count(*) >= 4)
 SELECT F.z, F.gy, F.gx, CASE WHEN L.c IS NOT NULL THEN N.dx END AS dx, CASE WHEN L.c IS NOT NULL THEN N.dy END AS dy FROM F LEFT JOIN N USING (z, gy, gx) LEFT JOIN C USING (z, gy, gx) LEFT JOIN L ON L.z = F.z AND L.c = C.c""")
@@ -104,4 +104,4 @@ def reconcile_flows(t: Tables) -> DataFrame:
     """A fine flow where it is trusted, else a coarse one; steep places and small patches go."""
     f = field(t)
     one = lambda n, where, by: f.select("z", "gy", "gx", F.lit(n).alias("priority"), *[F.when(F.expr(where), F.col(c) / by).alias(c) for c in ("dx", "dy")])
-    return flow.reconcile(one(0, "ratio >= 2.0 and z < 3", 1).unionByName(one(1, "sharp >= 1.9 and z < 3", 2)), 20, 4)
+    return flow.reconcile(one(0, "ratio >= 2.2", 1).unionByName(one(1, "sharp >= 2.2", 2)), 20, 4)

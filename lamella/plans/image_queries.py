@@ -73,11 +73,11 @@ def downsample_block_mean(t: Tables) -> DataFrame:
     return volume.down_mean(px(t), 4)
 
 
-@query("WITH {V} SELECT z, (y // 2)::INT AS y, (x // 2)::INT AS x, sum(v)::DOUBLE / 4 AS v FROM V WHERE y < 52 GROUP BY ALL HAVING count(*) = 4")
+@query("WITH {V} SELECT z, (y // 2)::INT AS y, (x // 2)::INT AS x, sum(v)::DOUBLE / 4 AS v FROM V GROUP BY ALL HAVING count(*) = 4")
 def bilinear_half(t: Tables) -> DataFrame:
     """At ratio one half, a bilinear sample lies in the middle of four pixels."""
     half = [F.floor(F.col(c) / 2).cast("int").alias(c) for c in ("y", "x")]
-    return px(t).where("y < 52").groupBy("z", *half).agg((F.sum("v").cast("double") / 4).alias("v"), F.count("*").alias("n")).where("n = 4").drop("n")
+    return px(t).groupBy("z", *half).agg((F.sum("v").cast("double") / 4).alias("v"), F.count("*").alias("n")).where("n = 4").drop("n")
 
 
 @query("WITH {V}, o AS (SELECT * FROM V WHERE x < 48), n AS (SELECT z - 1 AS z, y, x, v, v > 140 AS m FROM V WHERE z > 0) SELECT z::INT AS z, y, x, CASE WHEN m THEN n.v ELSE coalesce(o.v, 0) END AS v FROM o FULL JOIN n USING (z, y, x)")
@@ -238,15 +238,17 @@ def offset_to_pad(t: Tables) -> DataFrame:
     return d.select("offset_px", geometry.pad_before(F.col("offset_px")).alias("pad_before"), geometry.pad_after(F.col("offset_px")).alias("pad_after"))
 
 
-@query("WITH {V}, G AS (SELECT z, y::INT AS y, x::INT AS x FROM (SELECT DISTINCT z FROM V), range(66) a(y), range(64) b(x)) SELECT G.z, G.y, G.x, coalesce(v, 0) AS v FROM G LEFT JOIN V USING (z, y, x) WHERE G.y >= 50")
+@query("WITH {V}, G AS (SELECT z, y::INT AS y, x::INT AS x FROM (SELECT DISTINCT z FROM V), range(66) a(y), range(64) b(x)) SELECT G.z, G.y, G.x, coalesce(v, 0) AS v FROM G LEFT JOIN V USING (z, y, x)")
 def pad_grid(t: Tables) -> DataFrame:
-    """Slices padded at the end of y to one height; the last 16 lines are shown."""
-    return volume.pixels(geometry.pad_lines(rows(t), 66, 64)).where("y >= 50")
+    """Slices padded at the end of y to one height."""
+    return volume.pixels(geometry.pad_lines(rows(t), 66, 64))
 
 
-@query("WITH T AS (SELECT DISTINCT (s_suppkey % 4)::INT AS tx, (s_suppkey % 7 // 2)::INT AS ty FROM supplier WHERE s_suppkey % 5 <> 0) SELECT T.tx, T.ty, CASE WHEN u.tx IS NULL THEN 10 ELSE 50 END AS top, CASE WHEN d.tx IS NULL THEN 10 ELSE 50 END AS bottom, CASE WHEN l.tx IS NULL THEN 10 ELSE 50 END AS l, CASE WHEN r.tx IS NULL THEN 10 ELSE 50 END AS r FROM T LEFT JOIN T u ON u.tx = T.tx AND u.ty = T.ty - 1 LEFT JOIN T d ON d.tx = T.tx AND d.ty = T.ty + 1 LEFT JOIN T l ON l.ty = T.ty AND l.tx = T.tx - 1 LEFT JOIN T r ON r.ty = T.ty AND r.tx = T.tx + 1")
+@query("WITH T AS (SELECT DISTINCT (s_suppkey * s_suppkey % 11)::INT AS tx, (s_suppkey * s_suppkey % 7)::INT AS ty FROM supplier) SELECT T.tx, T.ty, CASE WHEN u.tx IS NULL THEN 10 ELSE 50 END AS top, CASE WHEN d.tx IS NULL THEN 10 ELSE 50 END AS bottom, CASE WHEN l.tx IS NULL THEN 10 ELSE 50 END AS l, CASE WHEN r.tx IS NULL THEN 10 ELSE 50 END AS r FROM T LEFT JOIN T u ON u.tx = T.tx AND u.ty = T.ty - 1 LEFT JOIN T d ON d.tx = T.tx AND d.ty = T.ty + 1 LEFT JOIN T l ON l.ty = T.ty AND l.tx = T.tx - 1 LEFT JOIN T r ON r.ty = T.ty AND r.tx = T.tx + 1")
 def tile_margins(t: Tables) -> DataFrame:
-    tiles = t("supplier").where("s_suppkey % 5 <> 0").select((F.col("s_suppkey") % 4).cast("int").alias("tx"), F.expr("cast(s_suppkey % 7 div 2 as int)").alias("ty")).distinct()
+    """Tiles of a grid with holes (squares leave few remainders): margins are wide only toward a neighbour."""
+    square = F.col("s_suppkey") * F.col("s_suppkey")
+    tiles = t("supplier").select((square % 11).cast("int").alias("tx"), (square % 7).cast("int").alias("ty")).distinct()
     return geometry.margins(tiles, 50, 10)
 
 
@@ -256,12 +258,12 @@ def mask_to_mesh(t: Tables) -> DataFrame:
     return geometry.to_mesh(px(t).withColumn("mask", F.col("v") > 127), 52, 64, 10, 10)
 
 
-@query(f"WITH {VOLUME}, T AS (SELECT z, (y // 16)::INT AS ty, (x // 16)::INT AS tx, sum(v)::BIGINT AS s1, sum(v * v)::BIGINT AS s2, count(*)::BIGINT AS n FROM V WHERE y < 48 GROUP BY ALL), Q AS (SELECT z, ty, tx, (s2::DOUBLE * n - s1::DOUBLE * s1) / (n::DOUBLE * n) AS q FROM T), E AS (SELECT a.z, a.ty, a.tx, 'right' AS side, a.q AS a, b.q AS b FROM Q a JOIN Q b ON a.z = b.z AND a.ty = b.ty AND b.tx = a.tx + 1 UNION ALL SELECT a.z, a.ty, a.tx, 'below', a.q, b.q FROM Q a JOIN Q b ON a.z = b.z AND a.tx = b.tx AND b.ty = a.ty + 1) SELECT z, ty, tx, side, CASE WHEN greatest(a, b) = 0 THEN 1.0 ELSE 1 - abs(a - b) / greatest(a, b) END AS score FROM E")
+@query(f"WITH {VOLUME}, T AS (SELECT z, (y // 16)::INT AS ty, (x // 16)::INT AS tx, sum(v)::BIGINT AS s1, sum(v * v)::BIGINT AS s2, count(*)::BIGINT AS n FROM V GROUP BY ALL), Q AS (SELECT z, ty, tx, (s2::DOUBLE * n - s1::DOUBLE * s1) / (n::DOUBLE * n) AS q FROM T), E AS (SELECT a.z, a.ty, a.tx, 'right' AS side, a.q AS a, b.q AS b FROM Q a JOIN Q b ON a.z = b.z AND a.ty = b.ty AND b.tx = a.tx + 1 UNION ALL SELECT a.z, a.ty, a.tx, 'below', a.q, b.q FROM Q a JOIN Q b ON a.z = b.z AND a.tx = b.tx AND b.ty = a.ty + 1) SELECT z, ty, tx, side, CASE WHEN greatest(a, b) = 0 THEN 1.0 ELSE 1 - abs(a - b) / greatest(a, b) END AS score FROM E")
 def stitch_scores(t: Tables) -> DataFrame:
     """Similarity of the variance of each pair of adjacent 16 x 16 tiles."""
     n, s1, s2 = (F.col(c).cast("double") for c in ("n", "s1", "s2"))
     v = F.col("v").cast("bigint")
-    tiles = volume.tile(px(t).where("y < 48"), 16, 16).groupBy("z", "ty", "tx").agg(F.sum(v).alias("s1"), F.sum(v * v).alias("s2"), F.count("*").alias("n")).select("z", "ty", "tx", ((s2 * n - s1 * s1) / (n * n)).alias("q"))
+    tiles = volume.tile(px(t), 16, 16).groupBy("z", "ty", "tx").agg(F.sum(v).alias("s1"), F.sum(v * v).alias("s2"), F.count("*").alias("n")).select("z", "ty", "tx", ((s2 * n - s1 * s1) / (n * n)).alias("q"))
     e = geometry.adjacent(tiles, "z", "q")
     return e.select("z", "ty", "tx", "side", geometry.similarity(F.col("a"), F.col("b")).alias("score"))
 

@@ -13,9 +13,9 @@ from .registry import VOLUME, Tables, query
 TILE_NAME = "concat('/stack_', l_suppkey % 5, '/Tile_', lpad(CAST(l_linenumber AS {s}), 3, '0'), '-', lpad(CAST(l_partkey % 50 + 1 AS {s}), {w}, '0'), '_s', lpad(CAST(l_orderkey % 10000 AS {s}), 4, '0'), '.tif')"
 
 
-@query("WITH n AS (SELECT DISTINCT " + TILE_NAME.format(s="VARCHAR", w=2) + " AS path FROM lineitem WHERE l_orderkey % 7 = 0) SELECT path, regexp_extract(path, '([^/]+)/[^/]*$', 1) AS stack, regexp_extract(path, 'Tile_(\\d+)-', 1)::INT - 1 AS tx, regexp_extract(path, '-(\\d+)_s', 1)::INT - 1 AS ty, regexp_extract(path, '_s(\\d+)', 1)::INT AS z FROM n")
+@query("WITH n AS (SELECT DISTINCT " + TILE_NAME.format(s="VARCHAR", w=2) + " AS path FROM lineitem) SELECT path, regexp_extract(path, '([^/]+)/[^/]*$', 1) AS stack, regexp_extract(path, 'Tile_(\\d+)-', 1)::INT - 1 AS tx, regexp_extract(path, '-(\\d+)_s', 1)::INT - 1 AS ty, regexp_extract(path, '_s(\\d+)', 1)::INT AS z FROM n")
 def tile_name_parse(t: Tables) -> DataFrame:
-    p = t("lineitem").where("l_orderkey % 7 = 0").select(F.expr(TILE_NAME.format(s="STRING", w=2)).alias("path")).distinct()
+    p = t("lineitem").select(F.expr(TILE_NAME.format(s="STRING", w=2)).alias("path")).distinct()
     c = F.col("path")
     return p.select("path", names.parent_name(c).alias("stack"), names.tile_x(c).alias("tx"), names.tile_y(c).alias("ty"), names.tile_slice(c).alias("z"))
 
@@ -134,12 +134,12 @@ def vtype_case(t: Tables) -> DataFrame:
     return t("part").select("p_partkey", dtype.alias("dtype"), names.volume_type(dtype, F.col("p_size")).alias("kind"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CASE WHEN l_quantity * 10 > 160 THEN 'fine' ELSE 'coarse' END AS mesh, list_filter([0.1, 0.2, 0.5, 1.0], lambda r: r * 50 >= l_quantity)[1]::DOUBLE AS ratio FROM lineitem WHERE l_orderkey < 500")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CASE WHEN l_quantity * 10 > 160 THEN 'fine' ELSE 'coarse' END AS mesh, list_filter([0.1, 0.2, 0.5, 1.0], lambda r: r * 50 >= l_quantity)[1]::DOUBLE AS ratio FROM lineitem")
 def param_switch(t: Tables) -> DataFrame:
     """Parameters by overlap, and the first step of a ladder that is wide enough."""
     ladder = F.array(*map(F.lit, (0.1, 0.2, 0.5, 1.0)))
     wide = F.get(F.filter(ladder, lambda r: r * 50 >= F.col("l_quantity")), F.lit(0))
-    return t("lineitem").where("l_orderkey < 500").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.when(F.col("l_quantity") * 10 > 160, "fine").otherwise("coarse").alias("mesh"), wide.alias("ratio"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.when(F.col("l_quantity") * 10 > 160, "fine").otherwise("coarse").alias("mesh"), wide.alias("ratio"))
 
 
 @query("SELECT r_regionkey, '{\"name\":\"' || r_name || '\",\"stacks\":{' || string_agg('\"' || n_name || '\":' || n_nationkey, ',' ORDER BY n_name) || '}}' AS doc FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name")
@@ -186,20 +186,20 @@ def missing_tile_fallback(t: Tables) -> DataFrame:
     return islands.fill_missing(tiles.withColumn("s", F.when(~gone, F.col("s"))), "z", "s", ["ty", "tx"])
 
 
-@query("WITH s AS (SELECT o_custkey AS path, o_orderkey, ((o_orderkey % 21) - 10)::BIGINT AS dx, ((o_orderkey % 13) - 6)::BIGINT AS dy FROM orders WHERE o_custkey % 10 = 0), p AS (SELECT path, sum(dx)::BIGINT AS x, sum(dy)::BIGINT AS y FROM s GROUP BY path) SELECT path, x, y, abs(min(x) OVER ()) AS pad_x, abs(min(y) OVER ()) AS pad_y FROM p")
+@query("WITH s AS (SELECT o_custkey AS path, o_orderkey, ((o_orderkey % 21) - 10)::BIGINT AS dx, ((o_orderkey % 13) - 6)::BIGINT AS dy FROM orders), p AS (SELECT path, sum(dx)::BIGINT AS x, sum(dy)::BIGINT AS y FROM s GROUP BY path) SELECT path, x, y, abs(min(x) OVER ()) AS pad_x, abs(min(y) OVER ()) AS pad_y FROM p")
 def path_offset_total(t: Tables) -> DataFrame:
     """Offsets summed along each path, and the pad that the least of the totals asks for."""
-    s = t("orders").where("o_custkey % 10 = 0").select(F.col("o_custkey").alias("path"), (F.col("o_orderkey") % 21 - 10).alias("dx"), (F.col("o_orderkey") % 13 - 6).alias("dy"))
+    s = t("orders").select(F.col("o_custkey").alias("path"), (F.col("o_orderkey") % 21 - 10).alias("dx"), (F.col("o_orderkey") % 13 - 6).alias("dy"))
     p = s.groupBy("path").agg(F.sum("dx").alias("x"), F.sum("dy").alias("y"))
     pad = p.agg(F.abs(F.min("x")).alias("pad_x"), F.abs(F.min("y")).alias("pad_y"))
     return p.crossJoin(F.broadcast(pad))  # one row
 
 
-@query(f"WITH {ISLANDS}, T AS (SELECT island, min(z) AS at FROM I GROUP BY island HAVING island % 50 = 0) SELECT T.island, I.z FROM T JOIN I ON I.z BETWEEN T.at - 10 AND T.at + 9")
+@query(f"WITH {ISLANDS}, T AS (SELECT island, min(z) AS at FROM I GROUP BY island) SELECT T.island, I.z FROM T JOIN I ON I.z BETWEEN T.at - 10 AND T.at + 9")
 def transition_windows(t: Tables) -> DataFrame:
-    """The days around every fiftieth transition: each transition names its days, so the join is by day."""
+    """The days around every transition: each transition names its days, so the join is by day."""
     i = order_islands(t)
-    at = i.groupBy("island").agg(F.min("z").alias("at")).where("island % 50 = 0")
+    at = i.groupBy("island").agg(F.min("z").alias("at"))
     days = at.select("island", F.explode(F.sequence(F.date_sub("at", 10), F.date_add("at", 9))).alias("z"))
     return days.join(i.select("z"), "z").select("island", "z")
 
@@ -224,10 +224,10 @@ def consecutive_group_edges(t: Tables) -> DataFrame:
     return g.join(g.select((F.col("island") - 1).alias("island"), F.col("u").alias("v")), "island").where("u <> v")
 
 
-@query("WITH c AS (SELECT o_custkey AS k, min(epoch(o_orderdate)::BIGINT // 86400) AS lo, min(epoch(o_orderdate)::BIGINT // 86400) + 40 AS hi FROM orders WHERE o_custkey <= 400 GROUP BY 1) SELECT a.k, b.k AS other, greatest(a.lo, b.lo) AS \"from\", least(a.hi, b.hi) AS \"to\" FROM c a JOIN c b ON a.k < b.k AND a.lo < b.hi AND b.lo < a.hi")
+@query("WITH c AS (SELECT o_custkey AS k, min(epoch(o_orderdate)::BIGINT // 86400) AS lo, min(epoch(o_orderdate)::BIGINT // 86400) + 40 AS hi FROM orders GROUP BY 1) SELECT a.k, b.k AS other, greatest(a.lo, b.lo) AS \"from\", least(a.hi, b.hi) AS \"to\" FROM c a JOIN c b ON a.k < b.k AND a.lo < b.hi AND b.lo < a.hi")
 def interval_overlap(t: Tables) -> DataFrame:
     day = F.unix_date(F.to_date("o_orderdate")).cast("bigint")
-    c = t("orders").where("o_custkey <= 400").groupBy(F.col("o_custkey").alias("k")).agg(F.min(day).alias("lo")).withColumn("hi", F.col("lo") + 40)
+    c = t("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.min(day).alias("lo")).withColumn("hi", F.col("lo") + 40)
     return islands.overlapping(c, "k", "lo", "hi")
 
 
@@ -282,12 +282,13 @@ def knn_ratio_test(t: Tables) -> DataFrame:
     return scores.ratio_test(nearest(t), 0.95).select("q", "t1", "good")
 
 
-RESIDUAL = "M AS (SELECT l_suppkey AS g, (l_partkey * 7 + l_orderkey) % 61 + l_quantity / 100 AS residual, (l_partkey + l_linenumber) % 3 > 0 AND l_suppkey % 11 <> 0 AS inlier FROM lineitem WHERE l_suppkey <= 60 AND l_orderkey % (l_suppkey % 40 + 1) = 0)"
+RESIDUAL = "M AS (SELECT CASE WHEN l_linenumber <= 3 THEN l_orderkey ELSE -l_suppkey END AS g, (l_partkey * 7 + l_orderkey) % 61 + l_quantity / 100 AS residual, (l_partkey + l_linenumber) % 3 > 0 AND l_suppkey % 11 <> 0 AS inlier FROM lineitem)"
 
 
 def matches(t: Tables) -> DataFrame:
-    m = t("lineitem").where("l_suppkey <= 60 and l_orderkey % (l_suppkey % 40 + 1) = 0")
-    return m.select(F.col("l_suppkey").alias("g"), ((F.col("l_partkey") * 7 + F.col("l_orderkey")) % 61 + F.col("l_quantity") / 100).alias("residual"), F.expr("(l_partkey + l_linenumber) % 3 > 0 and l_suppkey % 11 <> 0").alias("inlier"))
+    """Matches in groups of all sizes: a few for an order, hundreds for a supplier."""
+    g = F.when(F.col("l_linenumber") <= 3, F.col("l_orderkey")).otherwise(-F.col("l_suppkey"))
+    return t("lineitem").select(g.alias("g"), ((F.col("l_partkey") * 7 + F.col("l_orderkey")) % 61 + F.col("l_quantity") / 100).alias("residual"), F.expr("(l_partkey + l_linenumber) % 3 > 0 and l_suppkey % 11 <> 0").alias("inlier"))
 
 
 @query(f"WITH {RESIDUAL}, R AS (SELECT g, round(residual * 100)::BIGINT AS r, row_number() OVER (PARTITION BY g ORDER BY residual) AS k, count(*) OVER (PARTITION BY g) AS n FROM M) SELECT g, count(*) AS n, sum(r)::DOUBLE / count(*) / 100 AS mean, max(r) AS worst, sqrt((sum(r * r)::DOUBLE * count(*) - sum(r)::DOUBLE * sum(r)) / count(*)) / count(*) AS std FROM R WHERE k <= floor(0.75 * n) GROUP BY g")
@@ -378,10 +379,10 @@ def progress_wipe_step(t: Tables) -> DataFrame:
 A = (0.98, -0.17, 12.0, 0.17, 0.98, -7.5)
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, floor((0.98 * l_quantity - 0.17 * l_suppkey + 12) * 1e6 + 0.5)::BIGINT AS x, floor((0.17 * l_quantity + 0.98 * l_suppkey - 7.5) * 1e6 + 0.5)::BIGINT AS y FROM lineitem WHERE l_orderkey < 1000")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, floor((0.98 * l_quantity - 0.17 * l_suppkey + 12) * 1e6 + 0.5)::BIGINT AS x, floor((0.17 * l_quantity + 0.98 * l_suppkey - 7.5) * 1e6 + 0.5)::BIGINT AS y FROM lineitem")
 def affine_points(t: Tables) -> DataFrame:
     x, y = geometry.affine(F.col("l_quantity"), F.col("l_suppkey"), A)
-    return t("lineitem").where("l_orderkey < 1000").select("l_orderkey", "l_linenumber", "l_partkey", F.floor(x * 1e6 + 0.5).alias("x"), F.floor(y * 1e6 + 0.5).alias("y"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.floor(x * 1e6 + 0.5).alias("x"), F.floor(y * 1e6 + 0.5).alias("y"))
 
 
 @query("WITH c AS (SELECT p_partkey, unnest([0, 1, 0, 1]) * p_size AS x, unnest([0, 0, 1, 1]) * (p_size + 5) AS y FROM part), m AS (SELECT p_partkey, 0.98 * x - 0.17 * y + 12 AS u, 0.17 * x + 0.98 * y - 7.5 AS v FROM c) SELECT p_partkey, least(floor(min(u)), 0)::INT AS ref_x, least(floor(min(v)), 0)::INT AS ref_y, (ceil(max(u)) - least(floor(min(u)), 0))::INT AS w, (ceil(max(v)) - least(floor(min(v)), 0))::INT AS h FROM m GROUP BY 1")
@@ -407,10 +408,10 @@ def scale_transform(t: Tables) -> DataFrame:
     return s.select("p_partkey", "m.a", "m.tx", "m.ty")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, floor(sqrt((l_quantity - 10) * (l_quantity - 10) + (l_suppkey - 50) * (l_suppkey - 50)) * 1e6 + 0.5)::BIGINT AS residual FROM lineitem WHERE l_orderkey < 1000")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, floor(sqrt((l_quantity - 10) * (l_quantity - 10) + (l_suppkey - 50) * (l_suppkey - 50)) * 1e6 + 0.5)::BIGINT AS residual FROM lineitem")
 def residual_norms(t: Tables) -> DataFrame:
     dx, dy = F.col("l_quantity") - 10, F.col("l_suppkey") - 50
-    return t("lineitem").where("l_orderkey < 1000").select("l_orderkey", "l_linenumber", "l_partkey", F.floor(F.sqrt(dx * dx + dy * dy) * 1e6 + 0.5).alias("residual"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.floor(F.sqrt(dx * dx + dy * dy) * 1e6 + 0.5).alias("residual"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_discount > 0.05 AND l_quantity < 30 AS edge, l_tax >= 0.04 AS robust, CASE WHEN l_tax <> 0 THEN 'rotate' ELSE 'keep' END AS rotation FROM lineitem WHERE l_quantity > 16")
@@ -426,10 +427,10 @@ def ignore_list_mask(t: Tables) -> DataFrame:
     return flow.select("z", F.when(~ignored, F.col("flow")).alias("flow"), F.when(ignored, "skipped").otherwise("done").alias("state"))
 
 
-@query("SELECT o_orderkey, floor(ln(o_totalprice) * 1e6)::BIGINT AS log, floor(o_totalprice)::BIGINT AS low, ceil(o_totalprice)::BIGINT AS high, trunc(-o_totalprice)::BIGINT AS cut, least(greatest(o_totalprice, 50000), 200000) AS clipped, abs(o_totalprice - 100000) AS gap, sign(o_totalprice - 100000)::INT AS side FROM orders WHERE o_orderkey % 5 = 0")
+@query("SELECT o_orderkey, floor(ln(o_totalprice) * 1e6)::BIGINT AS log, floor(o_totalprice)::BIGINT AS low, ceil(o_totalprice)::BIGINT AS high, trunc(-o_totalprice)::BIGINT AS cut, least(greatest(o_totalprice, 50000), 200000) AS clipped, abs(o_totalprice - 100000) AS gap, sign(o_totalprice - 100000)::INT AS side FROM orders")
 def math_scalars(t: Tables) -> DataFrame:
     p = F.col("o_totalprice")
-    return t("orders").where("o_orderkey % 5 = 0").select("o_orderkey", F.floor(F.log(p) * 1e6).alias("log"), F.floor(p).alias("low"), F.ceil(p).alias("high"), (-p).cast("bigint").alias("cut"), F.least(F.greatest(p, F.lit(50000.0)), F.lit(200000.0)).alias("clipped"), F.abs(p - 100000).alias("gap"), F.signum(p - 100000).cast("int").alias("side"))
+    return t("orders").select("o_orderkey", F.floor(F.log(p) * 1e6).alias("log"), F.floor(p).alias("low"), F.ceil(p).alias("high"), (-p).cast("bigint").alias("cut"), F.least(F.greatest(p, F.lit(50000.0)), F.lit(200000.0)).alias("clipped"), F.abs(p - 100000).alias("gap"), F.signum(p - 100000).cast("int").alias("side"))
 
 
 @query("SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' UNION SELECT p_partkey FROM part WHERE p_size < 5")

@@ -36,16 +36,20 @@ def sessions(stream: DataFrame, at: str, by: str, gap: str = "30 minutes", delay
 def process(stream: DataFrame, work: Callable[[DataFrame], DataFrame], output: str, log_path: str, step: str, checkpoint: str) -> StreamingQuery:
     """work() on each batch of slices (dataset, z, ...), written and logged; a batch that comes again does nothing twice.
 
-    What the log has is left out, so a batch replayed after a failure between
-    writing and logging rewrites its own folder and nothing else.
+    Log entries name their batch. Slices that other batches have logged are left
+    out, so a batch replayed after a failure, wherever that was, works on the
+    same slices again, rewrites its own folder with the same content, and logs
+    what it hadn't logged.
     """
 
     def one(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        done = progress.read(spark, log_path).where(F.col("step_name") == step).select(F.col("collection").alias("dataset"), F.col("local_slice").alias("z")).distinct()
-        rest = progress.pending(batch, done, ["dataset", "z"])
+        own = F.get_json_object("metadata", "$.batch") == str(number)
+        log = progress.read(spark, log_path).where(F.col("step_name") == step).select(F.col("collection").alias("dataset"), F.col("local_slice").alias("z"), F.coalesce(own, F.lit(False)).alias("own"))
+        rest = progress.pending(batch, log.where("not own").select("dataset", "z").distinct(), ["dataset", "z"])
         work(rest).write.mode("overwrite").parquet(f"{output}/batch={number}")
-        rows = rest.select("dataset", "z").distinct()
-        progress.append(rows.select(F.col("dataset").alias("collection"), F.lit(step).alias("step_name"), F.col("z").alias("global_slice"), F.col("z").alias("local_slice"), F.current_timestamp().alias("ts"), F.lit("{}").alias("metadata")), log_path)
+        rows = progress.pending(rest.select("dataset", "z").distinct(), log.where("own").select("dataset", "z"), ["dataset", "z"])
+        meta = F.to_json(F.struct(F.lit(number).alias("batch")))
+        progress.append(rows.select(F.col("dataset").alias("collection"), F.lit(step).alias("step_name"), F.col("z").alias("global_slice"), F.col("z").alias("local_slice"), F.current_timestamp().alias("ts"), meta.alias("metadata")), log_path)
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
