@@ -84,3 +84,35 @@ def rotated_bounds(h: Column, w: Column, degrees: Column) -> tuple[Column, Colum
     """Height and width of the canvas that holds a rotated image."""
     s, c = F.abs(F.sin(F.radians(degrees))), F.abs(F.cos(F.radians(degrees)))
     return F.floor(h * c + w * s + 1e-9).cast("int"), F.floor(h * s + w * c + 1e-9).cast("int")
+
+
+def overlap_left(search: Column, dx: Column, dy: Column) -> Column:
+    """How far two tiles still overlap if they were sought within ``search`` pixels and found at an offset; at least 0."""
+    return F.greatest(search - F.greatest(F.abs(dx), F.abs(dy)), F.lit(0))
+
+
+def runs_down(dx: Column, dy: Column) -> Column:
+    """Whether an offset is rather between rows than between columns."""
+    return F.abs(dx) <= F.abs(dy)
+
+
+def equal_shapes(tiles: DataFrame, *keys: str) -> DataFrame:
+    """tiles (keys, tx, ty, h, w) with the pads (top, bottom, l, r) that make all of a group the largest's shape.
+
+    Lines are added below in the last row and above elsewhere, columns on the
+    left in the last column and on the right elsewhere, so that the sides that
+    face a neighbour stay where they are.
+    """
+    top = tiles.groupBy(*keys).agg(F.max("h").alias("mh"), F.max("w").alias("mw"), F.max("tx").alias("mx"), F.max("ty").alias("my"))
+    y, x = F.col("mh") - F.col("h"), F.col("mw") - F.col("w")
+    down, left = F.col("ty") == F.col("my"), F.col("tx") == F.col("mx")
+    pads = {"top": F.when(down, 0).otherwise(y), "bottom": F.when(down, y).otherwise(0), "l": F.when(left, x).otherwise(0), "r": F.when(left, 0).otherwise(x)}
+    return tiles.join(top, list(keys)).select(*tiles.columns, *[v.alias(k) for k, v in pads.items()])
+
+
+def scale_ratio(resolution: Column, target: Column, least: float | None = None) -> Column:
+    """The factor that brings an image of one resolution to another; below ``least`` it is an error."""
+    ratio = resolution.cast("double") / target
+    if least is None:
+        return ratio
+    return F.when(ratio >= least, ratio).otherwise(F.raise_error(F.concat(F.lit("resolution is finer than the target's: "), ratio.cast("string"))).cast("double"))

@@ -87,3 +87,9 @@ def running_offset(groups: DataFrame, order: str, extent: str, name: str = "offs
     """Sum of the extents of the groups before each, in order."""
     before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)  # one row for a group of datasets
     return groups.withColumn(name, F.coalesce(F.sum(extent).over(before), F.lit(0)))
+
+
+def tail(name: Column, separator: str) -> Column:
+    """What follows the first separator; the whole name if there is none."""
+    at = F.instr(name, separator)
+    return F.when(at > 0, F.substring(name, at + len(separator), F.length(name))).otherwise(name)

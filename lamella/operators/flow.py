@@ -66,3 +66,9 @@ def largest_patch(mask: DataFrame) -> DataFrame:
     """(z, patch, n) of the largest 4-connected part of each slice of mask (z, gy, gx); ties go to the first."""
     sizes = patches(mask).groupBy("z", "patch").agg(F.count("*").alias("n"))
     return sizes.groupBy("z").agg(F.max_by("patch", F.struct("n", -F.col("patch"))).alias("patch"), F.max("n").alias("n"))
+
+
+def finite(flow: DataFrame, columns: tuple[str, ...] = ("dx", "dy")) -> DataFrame:
+    """flow with NaN and infinite values null: what a correlation gives where nothing was measured."""
+    bad = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
+    return flow.withColumns({c: F.when(~bad(c), F.col(c)) for c in columns})

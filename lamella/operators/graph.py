@@ -13,12 +13,17 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.geometry import runs_down
+
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Written to spark.checkpoint.dir; a temporary folder only where that is unset."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lamella-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and (not sc.master.startswith("local") or "cluster" in sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lamella-"))
     return df.checkpoint()
 
 
@@ -136,3 +141,31 @@ def root_dataset(groups: DataFrame) -> DataFrame:
     """(root, island): the first dataset that is alone in its group."""
     alone = groups.where(F.size("members") == 1)
     return alone.agg(F.min_by(F.get("members", F.lit(0)), "island").alias("root"), F.min("island").alias("island"))
+
+
+def tile_map(matches: DataFrame, threshold: float) -> DataFrame:
+    """(node, component, tx, ty) of tiles from pairwise matches (u, v, dx, dy, score), v at (dx, dy) of u.
+
+    Matches under the threshold don't count. An offset that is rather downward
+    puts v in the next row (or the one before), any other in the next column.
+    Each connected part has a grid of its own, from 0; unmatched tiles stand alone.
+    """
+    nodes = matches.select(F.col("u").alias("node")).union(matches.select("v")).distinct()
+    good = matches.where(F.col("score") >= threshold)
+    down = runs_down(F.col("dx"), F.col("dy"))
+    step = lambda c, along: F.when(along, F.signum(c)).otherwise(0).cast("bigint")
+    edges = good.select("u", "v", step(F.col("dx"), ~down).alias("dx"), step(F.col("dy"), down).alias("dy"))
+    back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), (-F.col("dx")).alias("dx"), (-F.col("dy")).alias("dy"))
+    directed = checkpoint(edges.unionByName(back).where("u <> v"))
+    parts = checkpoint(components(nodes, edges.select("u", "v")))
+    placed = frontier = parts.where("node = component").select("node", F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"))
+    for _ in _rounds(None, "tile_map"):
+        near = frontier.join(directed, F.col("node") == F.col("u")).select(F.col("v").alias("to"), "u", (F.col("x") + F.col("dx")).alias("nx"), (F.col("y") + F.col("dy")).alias("ny"))
+        near = near.groupBy("to").agg(F.min(F.struct("u", "nx", "ny")).alias("s")).select(F.col("to").alias("node"), F.col("s.nx").alias("x"), F.col("s.ny").alias("y"))
+        frontier = checkpoint(near.join(placed, "node", "left_anti"))
+        if frontier.isEmpty():
+            break
+        placed = checkpoint(placed.unionByName(frontier))
+    at = placed.join(parts, "node")
+    low = at.groupBy("component").agg(F.min("x").alias("lx"), F.min("y").alias("ly"))
+    return at.join(low, "component").select("node", "component", (F.col("x") - F.col("lx")).alias("tx"), (F.col("y") - F.col("ly")).alias("ty"))

@@ -118,3 +118,16 @@ def robustness(matches: DataFrame, group: str, tolerance: float = 20.0) -> DataF
     strong = (n >= 10) & (inliers >= 6) & (mean <= 3 * tolerance)
     index = F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total * F.when(strong, 1.0).otherwise(PENALTY))), F.lit(0.0))
     return both.withColumn("index", index).withColumn("robust", F.col("index") >= ROBUST)
+
+
+def ranked(two: DataFrame, by: Column, ratio: float = 0.7) -> DataFrame:
+    """The good matches of each pass with their rank by distance, nearest first, ties by query."""
+    good = ratio_test(two, ratio).where("good").withColumn("pass", by)
+    return good.withColumn("rank", F.row_number().over(Window.partitionBy("pass").orderBy("d1", "q"))).drop("good")
+
+
+def worst(df: DataFrame, group: str, value: str, keep: float = 0.75) -> DataFrame:
+    """The rows that trimmed() leaves out."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(value))
+    n = F.count("*").over(Window.partitionBy(group))
+    return df.withColumn("__rank", rank).withColumn("__n", n).where(F.col("__rank") > F.floor(F.col("__n") * keep)).drop("__rank", "__n")

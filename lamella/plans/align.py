@@ -164,3 +164,34 @@ def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(),
     meta = F.to_json(F.struct("matches", "robust"))
     progress.append(log_rows.select(F.col("dataset").alias("collection"), F.lit("align").alias("step_name"), F.col("z").alias("global_slice"), F.col("z").alias("local_slice"), F.current_timestamp().alias("ts"), meta.alias("metadata")), f"{output}/progress")
     return progress.read(spark, f"{output}/progress")
+
+
+def is_done(spark: SparkSession, output: str, images: DataFrame | None = None) -> bool:
+    """Whether a store is flagged as aligned and, if images are given, the log has all of their slices."""
+    if not store.read_attributes(spark, output).get("z_aligned"):
+        return False
+    if images is None:
+        return True
+    log = progress.read(spark, f"{output}/progress").where("step_name = 'align'")
+    return progress.pending(images, log.select(F.col("collection").alias("dataset"), F.col("local_slice").alias("z")), ["dataset", "z"]).isEmpty()
+
+
+def dataset_configs(plans: DataFrame, datasets: DataFrame, p: Align = Align()) -> DataFrame:
+    """A document for each dataset that a plan's paths name, once, from the first path that names it.
+
+    plans: (paths, reverse_order, dataset_local_bounds, destination_path);
+    datasets: (name, path, z0). first_slice is the slice that the walk begins
+    with: the last of a reversed dataset.
+    """
+    paths = plans.select("destination_path", "dataset_local_bounds", F.posexplode(F.arrays_zip("paths", "reverse_order")).alias("number", "p"))
+    named = paths.select("destination_path", "dataset_local_bounds", "number", F.col("p.reverse_order").alias("reverse_order"), F.posexplode("p.paths").alias("place", "name"))
+    first = named.groupBy("destination_path", "name").agg(F.min_by(F.struct("reverse_order", "dataset_local_bounds"), F.struct("number", "place")).alias("f"))
+    own = first.join(datasets, "name")
+    bounds = F.element_at("f.dataset_local_bounds", F.col("name"))
+    start = F.when(F.col("f.reverse_order"), F.get(bounds, F.lit(1)) - 1).otherwise(F.get(bounds, F.lit(0)))
+    flow = F.struct(F.lit(p.patch).alias("patch"), F.lit(p.stride).alias("stride"), F.lit(float(p.max_size)).alias("max_size"), F.lit(float(p.max_deviation)).alias("max_deviation"))
+    mesh = F.struct(F.lit(p.mesh.dt).alias("dt"), F.lit(p.mesh.pull).alias("pull"), F.lit(p.mesh.spring).alias("spring"), F.lit(p.mesh.most).alias("most"))
+    return own.select(
+        F.col("name").alias("dataset_name"), F.col("path").alias("dataset_path"), start.cast("int").alias("first_slice"), F.col("z0").cast("int").alias("z_offset"),
+        F.col("f.reverse_order").alias("reverse_order"), flow.alias("flow"), mesh.alias("mesh"), F.lit(p.scale).alias("scale"), F.concat_ws("/", "destination_path", "name").alias("output_path"),
+    )

@@ -42,7 +42,7 @@ def stacks(catalogue: DataFrame) -> DataFrame:
     return out.select("island", name.alias("stack"), "z_start", "z_end", "members", (F.size("members") > 1).alias("combined"))
 
 
-def prepare(spark: SparkSession, main_dir: str, resolution: tuple[int, int], patterns: list[str], invert: dict[str, bool], output: str, kind: str = "tiles") -> DataFrame:
+def prepare(spark: SparkSession, main_dir: str, resolution: tuple[int, int], patterns: list[str], invert: dict[str, bool], output: str, kind: str = "tiles", thickness: int = 50, offset: tuple[int, int, int] = (0, 0, 0)) -> DataFrame:
     """Find tilesets, form stacks, write their documents under output/config; the stacks.
 
     invert says for each tileset whether its tiles are inverted; one without an
@@ -59,9 +59,18 @@ def prepare(spark: SparkSession, main_dir: str, resolution: tuple[int, int], pat
     docs = by_slice.groupBy("stack", "z_start", "z_end").agg(F.map_from_entries(F.collect_list(F.struct(F.col("z").cast("string"), "tiles"))).alias("tile_maps"), F.first("inverts").alias("tile_maps_invert"))
     docs = docs.join(s.select("stack", "combined"), "stack").select("stack", "combined", "z_start", "z_end", "tile_maps", "tile_maps_invert")
     docs.write.mode("overwrite").json(f"{output}/config/stacks")
+    main = spark.createDataFrame([(main_dir, [thickness, *resolution], list(offset), output)], "main_dir string, resolution array<int>, offset array<int>, output_path string")
+    main.write.mode("overwrite").json(f"{output}/config/main")
     return s
 
 
+def geometry_of(spark: SparkSession, output: str) -> dict:
+    """Attributes of the stores below output, from the main document: offset in voxels and in nanometres, and resolution, in order z, y, x."""
+    found = store.exists(spark, f"{output}/config/main") and spark.read.schema(configs.MAIN).json(f"{output}/config/main").first()
+    resolution, offset = (found.resolution, found.offset) if found else ([50, 10, 10], [0, 0, 0])
+    return {"voxel_offset": offset, "resolution": resolution, "offset": [a * b for a, b in zip(offset, resolution, strict=True)]}
+
+
 def stitch_slice(images: dict[tuple[int, int], np.ndarray], p: Stitch) -> tuple[np.ndarray, np.ndarray, float | None]:
     """One slice from its tiles by (x, y): image, mask, and the median score of its seams."""
     offsets, scores = {}, []
@@ -117,6 +126,7 @@ def run(spark: SparkSession, output: str, p: Stitch = Stitch(), start_over: bool
     files = wanted.join(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tif").load(_folder(wanted)).select("path", "content"), "path") if not wanted.isEmpty() else None
     if files is None:
         return
+    attributes = geometry_of(spark, output)
     whole = stitch(tiles.load(files, p.scheme), p)
     names_of = [r.stack for r in docs.select("stack").distinct().collect()]  # stacks, as many as there are documents
     slices = f"{output}/slices"
@@ -125,7 +135,7 @@ def run(spark: SparkSession, output: str, p: Stitch = Stitch(), start_over: bool
     for name in names_of:
         own = written.where(F.col("stack") == name)
         store.write_chunks(store.cut(own), f"{output}/{name}", "r+")
-        store.write_attributes(spark, f"{output}/{name}", {"voxel_offset": [0, 0, 0], "resolution": [50, 10, 10]})
+        store.write_attributes(spark, f"{output}/{name}", attributes)
     log_rows = written.select(F.col("stack"), F.col("z").alias("global_slice"), F.col("z").alias("local_slice"), "score")
     entry = log_rows.select(F.col("stack").alias("collection"), F.lit("stitch").alias("step_name"), "global_slice", "local_slice", F.current_timestamp().alias("ts"), F.to_json(F.struct("score")).alias("metadata"))
     progress.append(entry, log_path)
@@ -151,6 +161,14 @@ def fuse_groups(spans: DataFrame, matched: DataFrame | None = None) -> DataFrame
     return graph.components(s.select(F.col("stack").alias("node")), pairs).select(F.col("node").alias("stack"), "component")
 
 
+def fuse_configs(spans: DataFrame, groups: DataFrame) -> DataFrame:
+    """(component, dataset_paths, z_offsets, zmin, zmax) of each group of several stacks (stack, path, z_start, z_end); zmax is exclusive."""
+    own = spans.join(groups, "stack")
+    rows = F.array_sort(F.collect_list(F.struct("path", "z_start")))
+    found = own.groupBy("component").agg(rows.alias("r"), F.min("z_start").alias("zmin"), (F.max("z_end") + 1).alias("zmax")).where(F.size("r") > 1)
+    return found.select("component", F.transform("r", lambda x: x["path"]).alias("dataset_paths"), F.transform("r", lambda x: x["z_start"]).alias("z_offsets"), "zmin", "zmax")
+
+
 def fuse(images: DataFrame, quality=None) -> DataFrame:
     """(z, h, w, px, mask) of one canvas from overlapping slices (stack, z, h, w, px, mask).
 

@@ -6,7 +6,10 @@ message), so that a caller can list all that is wrong at once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import inspect
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STACK = "combined boolean, z_start int, z_end int, tile_maps map<string, map<string, string>>, tile_maps_invert map<string, boolean>"
@@ -53,3 +56,9 @@ def check_plan(plan: DataFrame, datasets: DataFrame, version: str = "1.0") -> Da
 def merged(defaults: dict, given: dict) -> dict:
     """Defaults overridden by what is given, group by group."""
     return {k: merged(v, given.get(k) or {}) if isinstance(v, dict) else given.get(k, v) for k, v in defaults.items()} | {k: v for k, v in given.items() if k not in defaults}
+
+
+def accepted(fields: Column, function: Callable) -> Column:
+    """A map of parameters cut down to those that function takes by name."""
+    names = [F.lit(n) for n in inspect.signature(function).parameters]
+    return F.map_filter(fields, lambda k, _: k.isin(*names))

@@ -9,8 +9,11 @@ Parquet statistics.
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Iterator
+import tempfile
+import uuid
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 
 import numpy as np
@@ -135,6 +138,47 @@ def pyramid_path(path: str, factor: int) -> str:
     return f"{head}/{int(factor)}x_{tail}"
 
 
+def reduced(images: DataFrame, factor: int) -> DataFrame:
+    """Slices (z, h, w, px) with every factor-th pixel of every factor-th line."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for r in batch.to_dict("records"):
+                own = np.frombuffer(r["px"], np.uint8).reshape(r["h"], r["w"])[::factor, ::factor]
+                out.append((r["z"], *own.shape, own.tobytes()))
+            yield pd.DataFrame(out, columns=["z", "h", "w", "px"])
+
+    return images.select("z", "h", "w", "px").mapInPandas(run, "z int, h int, w int, px binary")
+
+
+def write_pyramid(spark: SparkSession, path: str, factor: int, size: int = CHUNK) -> str:
+    """Write the reduced copy of a store for inspection, slices that are there already replaced; its path."""
+    whole = open_chunks(spark, path)
+    target = pyramid_path(path, factor)
+    write_chunks(cut(reduced(read_window(whole, (0, 1 << 30), size=size), factor), size), target, "r+")
+    return target
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in spark.checkpoint.dir, which all executors share; a local one only where that is unset and Spark is one process."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="lamella-")
+    return f"{shared}/lamella-{uuid.uuid4().hex}"
+
+
+def cached(spark: SparkSession, folder: str, parameters: dict, build: Callable[[], DataFrame]) -> DataFrame:
+    """What build gives for these parameters, written the first time and read afterwards; other parameters have a place of their own."""
+    key = hashlib.sha256(json.dumps(parameters, sort_keys=True, default=str).encode()).hexdigest()[:16]
+    path = f"{folder}/cache-{key}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_attributes(spark: SparkSession, path: str, values: dict) -> None:
     """Set attributes; those already there and not named stay."""
     old = read_attributes(spark, path)
