@@ -10,16 +10,16 @@ a minimum length on, and the limit is wider the fewer characters or words there
 are.
 
 The texts are read once: what is kept of a document is its counts, its character
-classes and its distinct words with their counts.
+classes and hashes of its distinct words with their counts.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +29,8 @@ MIN_WORDS, MOST_REPEATED = 50, 50  # base rules: words at least, per cent of rep
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other")
 #: Common words are the COMMON most frequent ones; they are ranked in BUCKETS first, so that no task ranks all words of a language.
 COMMON, BUCKETS = 48, 64
-#: A word of more bytes is kept as its digest.
-LONG_WORD = 64
+#: Words are told apart by a hash of 40 bits, so that what is kept of a document is small whatever its words.
+WORD_BITS = 40
 #: A distance is judged from FROM characters or words on, against LIMIT + SPREAD / sqrt(length).
 CHARS_FROM, CHARS_LIMIT, CHARS_SPREAD = 100, 0.24, 1.0
 WORDS_FROM, WORDS_LIMIT, WORDS_SPREAD = 50, 0.12, 3.0
@@ -56,8 +56,8 @@ def char_classes(text: str) -> np.ndarray:
     return np.bincount(_CLASS[np.minimum(points, 0xFFFF)], minlength=len(CLASSES))
 
 
-def measure(text: str | None) -> tuple[int, int, int, int, int, list[int], list[str], list[int]]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, character classes, distinct words, their counts."""
+def measure(text: str | None) -> tuple[int, int, int, int, int, list[int], list[int], list[int]]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, character classes, hashes of the distinct words, their counts."""
     if not text:
         return 0, 0, 0, 0, 0, [0] * len(CLASSES), [], []
     raw = text.encode("utf-8", "surrogatepass")
@@ -82,15 +82,15 @@ def measure(text: str | None) -> tuple[int, int, int, int, int, list[int], list[
                 hit[at + k] = True
         repeated = int(hit.sum())
     times = np.bincount(ids, minlength=len(number)).tolist()
-    return n, chars, sum(map(raw.count, _CODES)), len(lines) - len(set(lines)), repeated, char_classes(text).tolist(), list(map(_named, number)), times
+    return n, chars, sum(map(raw.count, _CODES)), len(lines) - len(set(lines)), repeated, char_classes(text).tolist(), list(map(word_hash, number)), times
 
 
-def _named(word: bytes) -> str:
-    return word.decode("utf-8", "replace") if len(word) <= LONG_WORD else hashlib.md5(word).hexdigest()
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) >> (64 - WORD_BITS)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-FEATURES = ", ".join(f"{c} long" for c in COUNTS) + ", classes array<long>, words array<string>, times array<long>"
+FEATURES = ", ".join(f"{c} long" for c in COUNTS) + ", classes array<long>, words array<long>, times array<long>"
 
 
 def features(rows: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def features(rows: DataFrame) -> DataFrame:
     return materialize(rows.mapInPandas(run, f"{ROW} long, id {rows.schema['id'].dataType.simpleString()}, lang string, {FEATURES}").withColumn("base_failed", failed))
 
 
-Reference = tuple[np.ndarray, dict[str, int], np.ndarray]
+Reference = tuple[np.ndarray, dict[int, int], np.ndarray]
 
 
 def references(found: DataFrame) -> dict[str, Reference]:
@@ -124,7 +124,7 @@ def references(found: DataFrame) -> dict[str, Reference]:
     totals = by_lang.where("lang is not null and n > 0").unionByName(everything).collect()
     counts = materialize(good.select("lang", F.explode(F.arrays_zip("words", "times")).alias("w")).groupBy("lang", "w.words").agg(F.sum("w.times").alias("n")))
     counts = counts.where("lang is not null").unionByName(counts.groupBy("words").agg(F.sum("n").alias("n")).withColumn("lang", F.lit("")))
-    bucket = F.pmod(F.xxhash64("words"), F.lit(BUCKETS))
+    bucket = F.pmod("words", F.lit(BUCKETS))
     for by in (["lang", bucket], ["lang"]):
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "words"))
         counts = counts.withColumn("rank", rank).where(F.col("rank") <= COMMON)
@@ -153,7 +153,7 @@ class Judge:
 
     def __init__(self, refs: dict[str, Reference]):
         self.row = {g: i for i, g in enumerate(refs)}
-        self.place: dict[str, int] = {}
+        self.place: dict[int, int] = {}
         for _, words, _ in refs.values():
             for w in words:
                 self.place.setdefault(w, len(self.place))
