@@ -2,9 +2,9 @@
 
 quality rules -> SimHash near-dedup -> substring dedup -> mixing to target
 weights -> best-fit packing. A stage takes (spark, docs, sf_dir) and returns a
-DataFrame; it is written as Parquet and read again for the next. All but the
-last return the columns of `documents`; the last returns the pieces of the
-packed sequences.
+DataFrame; it is written as Parquet and read again for the next, which deletes
+what the one before wrote for itself. All but the last return the columns of
+`documents`; the last returns the pieces of the packed sequences.
 """
 
 from __future__ import annotations
@@ -13,29 +13,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamella.llm import debruijn, mixing, packing, rules, similar
-from lamella.llm.common import materialize, table
+from lamella.llm.common import Stages, materialize, table
 
+stage = Stages()
 
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
     return rules.keep(docs)
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by five-word similarities of 0.8 or more, one stays."""
+    """Of documents connected by five-word similarities of 0.8 or more, one stays: SimHash links, completed to all."""
     return similar.keep_first(docs)
 
 
+@stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated windows of 35 words are cut out; no document goes."""
     return debruijn.clean(docs)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed(docs)
 
 
+@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their place in sequences of at most 1024 tokens."""
     found = packing.pack(docs)
@@ -51,6 +58,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of the whole table."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+    for _, apply in STAGES[:-1]:
+        docs = materialize(apply(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, tidy
 
 #: tool -> argument -> (JSON type, required)
 Schemas = dict[str, dict[str, tuple[str, bool]]]
@@ -146,6 +146,7 @@ def order(calls: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, placed)
 
 
+@tidy
 def link(rows: DataFrame, schemas: Schemas) -> DataFrame:
     """(conv_id, anchor, step, depth, turn, role, kind, call_id, status, line) for rows of parse() or dialogue().
 

@@ -8,9 +8,11 @@ lost executor costs only the tasks it ran.
 from __future__ import annotations
 
 import atexit
+import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,15 +51,65 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Folders of tables written by the operators that are running, innermost last.
+_made: list[list[str]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it again; cuts the lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lamella-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_delete, spark, path)
+    if _made:
+        _made[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The operator, without the tables it wrote that its result doesn't read: those are deleted when it returns."""
+
+    @functools.wraps(operator)
+    def run(*args, **options) -> DataFrame:
+        _made.append([])
+        try:
+            out = operator(*args, **options)
+        finally:
+            made = _made.pop()
+        used = {f.split("/")[-2] for f in out.inputFiles()}
+        for path in made:
+            if path.rpartition("/")[2] not in used:
+                _delete(out.sparkSession, path)
+            elif _made:
+                _made[-1].append(path)
+        return out
+
+    return run
+
+
+class Stages:
+    """Runs pipeline stages one after the other: the tables behind a stage's result go when the next stage begins.
+
+    By then the result has been written, as the contract of a stage says.
+    """
+
+    def __init__(self) -> None:
+        self.behind: list[str] = []
+
+    def __call__(self, stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(stage)
+        def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            for path in self.behind:
+                _delete(spark, path)
+            _made.append([])
+            try:
+                return tidy(stage)(spark, docs, sf_dir)
+            finally:
+                self.behind = _made.pop()
+
+        return run
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by materialize() that nothing reads any more."""
     for f in df.inputFiles()[:1]:

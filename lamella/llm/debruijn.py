@@ -30,13 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, discard, doc, materialize, numbered, small_batches
+from .common import ROW, discard, doc, materialize, numbered, small_batches, tidy
 from .hashing import distinct, grams, grouped, mix
 from .packed import CHUNKS, SENT, Words, answers, bounds, codes, each_chunk, elsewhere, encode, decode, exchange, flags, pack, send, tasks
 
 WINDOW, SEED = 35, 7
 #: Bytes of text in a chunk (a single longer word excepted); hashes that one task compares at once, about.
-CHUNK, BUCKET = 1 << 21, 1 << 21
+CHUNK, BUCKET = 1 << 20, 1 << 21
 #: Bits of the short hash beyond those that number the edges: one edge in 2**SPARE stays by mistake and leaves in the second exchange.
 SPARE = 11
 #: One node in so many is a cut, besides those that branch.
@@ -253,6 +253,7 @@ def _dedup(rows: DataFrame, id_col: str, text_col: str, window: int, seed: int =
     return out.unionByName(texts.join(materialize(long), ROW).mapInPandas(_cut_long(window), schema).select(*columns))
 
 
+@tidy
 def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(__row, id, n_units, n_removed, spans, kept): words outside any repeated window, joined by a space.
 
@@ -266,6 +267,7 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _dedup(numbered(docs), id_col, text_col, window, seed)
 
 
+@tidy
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """docs with repeated spans cut out of the texts; a text without any stays as it was.
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD_PATTERN, materialize, whole, with_row
+from .common import ROW, WORD_PATTERN, materialize, tidy, whole, with_row
 
 WEIGHTS, MOST, SEED = (1.0, 2.0, 3.0), 3, 20
 #: Documents that one range of keys holds, about.
@@ -156,6 +156,7 @@ def _taken(sized: DataFrame, cuts: DataFrame) -> DataFrame:
     return sized.join(cuts, F.col("source").eqNullSafe(F.col("of"))).withColumn("times", F.col("epochs") + (_selected() | fills).cast("int"))
 
 
+@tidy
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight_col: str | None = None, seed: int = SEED, **options) -> DataFrame:
     """(id, source, size, source_size, target, times) for each row of docs.
 
@@ -169,6 +170,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return _taken(sized, plan(sized, **options)).select("id", "source", "size", "source_size", "target", "times")
 
 
+@tidy
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight_col: str | None = None, seed: int = SEED, **options) -> DataFrame:
     """docs, each row as often as the mix takes it."""
     sized = sizes(_rows(docs, id_col, text_col, source_col, weight_col, whole(docs)), seed)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, small_batches, with_row
+from .common import ROW, materialize, small_batches, tidy, with_row
 
 CAPACITY, END, OPEN, RUN, GROUP = 1024, 2, 4096, 8192, 100_000
 
@@ -164,6 +164,7 @@ def _pack(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.assign(sequence_id=2 * number + 1, offset=np.array(offsets, np.int64)).drop(columns=["deal", "group"])
 
 
+@tidy
 def pack(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(__row, id, piece, start, length, ids_crc32, [ids,] sequence_id, offset): a row for each piece of each document.
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, doc, materialize, numbered, small_batches, with_row
+from .common import ROW, doc, materialize, numbered, small_batches, tidy, with_row
 
 MIN_WORDS, MOST_REPEATED = 50, 50  # base rules: words at least, per cent of repeated words at most
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other")
@@ -209,6 +209,7 @@ def _judge(refs: dict[str, Reference]):
     return run
 
 
+@tidy
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(__row, id, the five counts, base_failed, char_distance, word_distance, kept) for each row of docs.
 
@@ -227,6 +228,7 @@ def _judged(rows: DataFrame) -> DataFrame:
     return found.mapInPandas(_judge(references(found)), f"{ROW} long, id {found.schema['id'].dataType.simpleString()}, {out}, base_failed boolean, char_distance double, word_distance double, kept boolean")
 
 
+@tidy
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """docs without the rows that judge() rejects, all columns as they were."""
     rows = numbered(docs)

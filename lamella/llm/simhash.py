@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import ROW, components, doc, materialize, numbered, small_batches, with_row
+from .common import ROW, components, doc, materialize, numbered, small_batches, tidy, with_row
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 LONG_LIST = 32
@@ -112,6 +112,7 @@ def _classes(prints: DataFrame) -> DataFrame:
     return prints.join(by_class, "fp").select("doc_id", "fp", "component_id", ROW, "root")
 
 
+@tidy
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id, __row, root) for every row of docs.
 
@@ -125,6 +126,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _classes(materialize(with_row(docs, F.col(id_col).alias("doc_id"), _fingerprints(F.col(text_col)).alias("fp"))))
 
 
+@tidy
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without all but one row of each near-duplicate group.
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from . import simhash
-from .common import ROW, components, discard, doc, materialize, numbered, small_batches
+from .common import ROW, components, discard, doc, materialize, numbered, small_batches, tidy
 from .hashing import grouped
 from .packed import CHUNKS, SENT, Words, answers, each_chunk, elsewhere, exchange, flags, normal, pack, send, tasks
 
@@ -42,7 +42,7 @@ HUB_ROUNDS, FEW = 4, 32
 #: Shingles moved to the end of the order: at most so many, seen so often in one of SAMPLE documents.
 FREQUENT, SEEN, SAMPLE = 1 << 16, 4, 8
 #: Bytes of a chunk, hashes that a task compares, bits of a hash.
-CHUNK, BUCKET, BITS = 1 << 21, 1 << 21, 48
+CHUNK, BUCKET, BITS = 1 << 20, 1 << 21, 48
 
 
 def shingles(words: bytes) -> np.ndarray:
@@ -205,6 +205,7 @@ def links(sets: DataFrame) -> DataFrame:
     return materialize(edges.unionByName(verified(left, sets)))
 
 
+@tidy
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without all but one row of each group that is connected by similar pairs.
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches
+from .common import materialize, small_batches, tidy
 
 #: Labelled documents the regression is fitted on; words it may use; documents a word must be in; its least z-score and log odds ratio.
 SAMPLE, WORDS, LEAST, SURE, FAR = 20_000, 4000, 5, 2.5, 1.5
@@ -183,6 +183,7 @@ def sites(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[str, floa
     return out.select(F.col("host").alias("of"), F.col("path").alias("at"), "n", *[f"path_{t}" for t in TARGETS]), rates
 
 
+@tidy
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", sample: int = SAMPLE) -> DataFrame:
     """(id, quality_score, toxic_score, kept) for each row of docs; labels: doc_id, quality, toxic.
 

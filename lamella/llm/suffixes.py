@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, discard, doc, materialize, numbered, small_batches
+from .common import ROW, discard, doc, materialize, numbered, small_batches, tidy
 from .hashing import byte_hashes, grams, mix
 
 WINDOW, GRAMS = 200, (32, 150, 190)
@@ -294,6 +294,7 @@ def _cut_out(depth: Depth):
     return run
 
 
+@tidy
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(__row, id, n_units, n_removed, spans, kept): UTF-8 bytes outside any repeated window.
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, small_batches, with_row
+from .common import ROW, materialize, small_batches, tidy, with_row
 
 K, SCALE, EVERY = 10, 1024, 100
 #: Rows of a candidate block, of a query block, of a chunk; rows the rotation is fitted on.
@@ -146,6 +146,7 @@ def _arrays(block, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(block["rows"], np.int64), np.frombuffer(block["ids"], np.int64), np.frombuffer(block["vectors"]).reshape(-1, width)
 
 
+@tidy
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every``, the k highest scores over all other rows.
 
