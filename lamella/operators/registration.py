@@ -138,21 +138,39 @@ def fold(images: DataFrame, group: str, step: Callable[[np.ndarray | None, np.nd
     """A serial walk over z in each group: step(previous result, image) -> (result, values for the output).
 
     Empty and ignored slices leave the state as it was and have no output. A
-    group is one task, and holds its images in memory: groups are chunks of z of
-    a dataset or whole short datasets.
+    group is walked by one task, which holds the slice at hand and the state.
     """
+    columns = [c.split()[0] for c in schema.split(", ")]
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        state, out = None, []
-        for r in frame.sort_values("z").to_dict("records"):
-            current = image(r["h"], r["w"], r["px"])
-            if r["z"] in ignore or not current.any():
-                continue
-            state, values = step(state, current)
-            out.append({group: r[group], "z": r["z"], **values})
-        return pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
-
-    return images.groupBy(group).applyInPandas(run, schema)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, state = None, None
+        for batch in batches:
+            out = []
+            for r in batch.to_dict("records"):
+                if r[group] != at:
+                    at, state = r[group], None
+                current = image(r["h"], r["w"], r["px"])
+                if r["z"] in ignore or not current.any():
+                    continue
+                state, values = step(state, current)
+                out.append({group: r[group], "z": r["z"], **values})
+            yield pd.DataFrame(out, columns=columns)
+
+    return images.select(group, "z", "h", "w", "px").repartition(group).sortWithinPartitions(group, "z").mapInPandas(run, schema)
+
+
+def rescale(images: DataFrame, ratio: str) -> DataFrame:
+    """images (z, h, w, px, ...) scaled by each row's ratio, so that datasets of unlike resolution match; other columns are kept."""
+    others = [c for c in images.columns if c not in ("h", "w", "px")]
+    kinds = ", ".join(f"{c} {images.schema[c].dataType.simpleString()}" for c in others)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [resample.resample(image(h, w, px), float(k)) for h, w, px, k in zip(*[batch[c] for c in ("h", "w", "px", ratio)], strict=True)]
+            sizes = pd.DataFrame([(*i.shape, i.tobytes()) for i in out], columns=["h", "w", "px"])
+            yield pd.concat([batch[others].reset_index(drop=True), sizes], axis=1)
+
+    return images.mapInPandas(run, f"{kinds}, h int, w int, px binary")
 
 
 def quality(images: DataFrame, score: Callable[[np.ndarray, np.ndarray | None], float]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
@@ -10,30 +11,36 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..kernels import register, resample
+from ..kernels import elastic, register, resample
 from ..operators import graph, islands, progress
 from ..sources import configs, store
 
-ALIGNED = "dataset string, z int, h int, w int, px binary, mask binary, reference int, matches int, robust boolean, energy double"
+ALIGNED = "dataset string, z int, h int, w int, px binary, mask binary, reference int, matches int, robust boolean, energy double, steps int, gy int, gx int, mesh binary"
 
 
 @dataclass(frozen=True)
 class Align:
-    """Parameters along z."""
+    """Parameters along z. most: pixels searched at full scale, None for half a patch; coarse: the second, smaller scale, 0 for none."""
 
     scale: float = 1.0
     patch: int = 32
     stride: int = 16
-    most: int = 8
+    most: int | None = None
+    coarse: float = 0.5
     min_ratio: float = 1.1
     min_sharp: float = 1.0
     max_size: float = 0
     max_deviation: float = 4
-    mesh: register.Mesh = field(default_factory=lambda: register.Mesh(most=2000))
+    min_patch: int = 2
+    mesh: register.Mesh = field(default_factory=lambda: register.Mesh(most=100_000))
     affine: bool = True
     ignore: tuple[int, ...] = ()
 
 
+#: What a walk carries from slice to slice: the aligned image and its mesh (2, gy, gx), None before the first.
+State = tuple[np.ndarray, np.ndarray | None] | None
+
+
 def membership_edges(datasets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, edges) of datasets (name, z0, z1): runs of z with the same members, and links between members of runs that follow each other.
 
@@ -85,59 +92,157 @@ def read_plan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(configs.PLAN).json(path)
 
 
-def align_slice(state: np.ndarray | None, own: np.ndarray, p: Align) -> tuple[np.ndarray, dict]:
-    """The slice moved onto the aligned slice before it: first by a similarity, then by a relaxed correlation flow."""
-    facts = {"matches": None, "robust": None, "energy": None}
+def flow_at(reference: np.ndarray, moving: np.ndarray, p: Align, scale: float = 1.0) -> np.ndarray:
+    """(2, gy, gx) of trusted vectors at one scale, in its pixels; its node (0, 0) lies at the middle of the first patch."""
+    a, b = (resample.resample(i, scale) for i in (reference, moving))
+    patch = min(p.patch, *a.shape)
+    most = patch // 2 if p.most is None else p.most
+    raw = register.flow(a, b, patch, p.stride, most, a > 0, b > 0)
+    return register.clean(raw, p.min_ratio, p.min_sharp, p.max_size, p.max_deviation)
+
+
+def flow_of(reference: np.ndarray, moving: np.ndarray, p: Align) -> np.ndarray:
+    """Flow at full scale, completed by that of a smaller scale, which reaches further: a coarse vector stands where the fine one isn't trusted."""
+    fine = flow_at(reference, moving, p)
+    small = min(reference.shape) * p.coarse
+    if not p.coarse or p.coarse >= 1 or small < 8:
+        return register.drop_small(fine, p.min_patch)
+    rough = flow_at(reference, moving, p, p.coarse)
+    # Places of the fine nodes in the coarse grid; values grow with the scale.
+    half, wide = min(p.patch, *reference.shape) / 2, min(p.patch, round(small)) / 2
+    at = [np.clip(((np.arange(n) * p.stride + half) * p.coarse - wide) / p.stride, 0, m - 1) for n, m in zip(fine.shape[1:], rough.shape[1:], strict=True)]
+    upsampled = np.stack([resample.sample(c, *np.meshgrid(*at, indexing="ij")) for c in rough]) / p.coarse
+    return register.reconcile([fine, upsampled], 0, p.min_patch)
+
+
+def align_slice(state: State, own: np.ndarray, p: Align) -> tuple[State, dict]:
+    """The slice moved onto the aligned slice before it: by a similarity, then by a relaxed mesh.
+
+    The slice is first seen through the mesh of the slice before; the flow that
+    is left is composed with that mesh, and the mesh relaxes from it.
+    """
+    facts: dict = {"matches": None, "robust": None, "energy": None, "steps": None}
     if state is None:
-        return own, facts
+        return (own, None), facts
+    before, solved = state
     if p.affine:
-        e = register.estimate(state, own, p.scale)
+        e = register.estimate(before, own, p.scale)
         facts |= {"matches": e.matches, "robust": e.robust}
         if e.matrix is not None and e.robust:
-            own = resample.warp_affine(own, e.matrix, state.shape)
-    h, w = state.shape
+            own = resample.warp_affine(own, e.matrix, before.shape)
+    h, w = before.shape
     own = np.pad(own, ((0, max(0, h - own.shape[0])), (0, max(0, w - own.shape[1]))))[:h, :w]
-    raw = register.flow(state, own, min(p.patch, h, w), p.stride, p.most, state > 0, own > 0)
-    trusted = register.clean(raw, p.min_ratio, p.min_sharp, p.max_size, p.max_deviation)
-    if np.isnan(trusted).all():
-        return own, facts
-    mesh, _ = register.relax(trusted, p.mesh)
-    facts["energy"] = register.energy(mesh, trusted, p.mesh)
-    full = resample.upsample_field(mesh, own.shape, 1) if mesh.shape[1] > 1 and mesh.shape[2] > 1 else np.broadcast_to(mesh.mean(axis=(1, 2))[:, None, None], (2, *own.shape))
-    return resample.warp(own, full), facts
+    first = min(p.patch, h, w) / 2
+    seen = own if solved is None else elastic.warp(own, solved, p.stride, first=first)
+    left = flow_of(before, seen, p)
+    if np.isnan(left).all():
+        return (seen, solved), facts
+    if solved is None or solved.shape != left.shape:
+        solved = np.zeros_like(left)
+    target = resample.compose(solved / p.stride, left / p.stride) * p.stride
+    mesh, steps = register.relax(target, p.mesh, solved)
+    facts |= {"energy": register.energy(mesh, target, p.mesh), "steps": steps}
+    return (elastic.warp(own, mesh, p.stride, first=first), mesh), facts
 
 
 def align(images: DataFrame, p: Align = Align(), reverse: bool = False, first: DataFrame | None = None) -> DataFrame:
-    """Aligned slices of datasets (dataset, z, h, w, px): each follows the last one with content, in order of z or against it.
+    """Aligned slices of datasets (dataset, z, h, w, px[, reverse]): each follows the last one with content, in order of z or against it.
 
-    The walk is serial within a dataset and parallel over datasets. first
-    (dataset, px, h, w) gives the aligned slice that a dataset is continued from.
+    A dataset's own column reverse, if there, says so for it. The walk is serial
+    within a dataset and parallel over datasets; a task holds the slice at hand
+    and the one before. first (dataset, h, w, px[, gy, gx, mesh]) gives the
+    aligned slice that a dataset is continued from. Steps at the limit of the
+    mesh mean that it didn't come to rest.
     """
     columns = [c.split()[0] for c in ALIGNED.split(", ")]
-
-    def walk(frame: pd.DataFrame, start: pd.DataFrame | None) -> pd.DataFrame:
-        state, reference, out = None, None, []
-        if start is not None and len(start):
-            s = start.iloc[0]
-            state = np.frombuffer(s["px"], np.uint8).reshape(s["h"], s["w"])
-        for r in frame.sort_values("z", ascending=not reverse).to_dict("records"):
-            own = np.frombuffer(r["px"], np.uint8).reshape(r["h"], r["w"])
-            if r["z"] in p.ignore or not own.any():
+    against = F.col("reverse") if "reverse" in images.columns else F.lit(reverse)
+    rows = images.select("dataset", F.lit(1).alias("kind"), F.when(against, -F.col("z")).otherwise(F.col("z")).alias("place"), "z", "h", "w", "px")
+    if first is not None:
+        has = set(first.columns)
+        more = [(F.col(c) if c in has else F.lit(None)).cast(t).alias(c) for c, t in (("gy", "int"), ("gx", "int"), ("mesh", "binary"))]
+        start = first.select("dataset", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("place"), F.lit(None).cast("int").alias("z"), "h", "w", "px", *more)
+        rows = start.unionByName(rows, allowMissingColumns=True)
+    else:
+        rows = rows.select("*", F.lit(None).cast("int").alias("gy"), F.lit(None).cast("int").alias("gx"), F.lit(None).cast("binary").alias("mesh"))
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        dataset, state, reference = None, None, None
+        for batch in batches:
+            for r in batch.to_dict("records"):
+                own = np.frombuffer(r["px"], np.uint8).reshape(int(r["h"]), int(r["w"]))
+                if r["dataset"] != dataset:
+                    dataset, state, reference = r["dataset"], None, None
+                if not r["kind"]:
+                    mesh = None if r["mesh"] is None else np.frombuffer(r["mesh"], np.float64).reshape(2, int(r["gy"]), int(r["gx"]))
+                    state = own, mesh
+                    continue
+                z = int(r["z"])
+                if z in p.ignore or not own.any():
+                    continue
+                state, facts = align_slice(state, own, p)
+                image, mesh = state
+                kept = (None, None, None) if mesh is None else (*mesh.shape[1:], mesh.tobytes())
+                out = pd.DataFrame([(dataset, z, *image.shape, image.tobytes(), (image > 0).tobytes(), reference, *facts.values(), *kept)], columns=columns)
+                yield out.astype({"reference": "Int64", "matches": "Int64", "robust": "boolean", "steps": "Int64", "gy": "Int64", "gx": "Int64"})
+                reference = z
+
+    # Two key columns, so that no step is left out by an order that only looks right: a dataset's first slice, then its places.
+    return rows.repartition("dataset").sortWithinPartitions("dataset", "kind", "place").mapInPandas(walk, ALIGNED)
+
+
+def schedule(plan: dict) -> list[list[tuple[str, str | None, bool]]]:
+    """Rounds of (dataset, the dataset it is continued from, whether it is walked against z) that follow a plan's paths.
+
+    A dataset comes a round after the one before it on its path; the first of a
+    path is the last of another, or the root. One that several paths name is
+    aligned on the first.
+    """
+    rounds: list[list[tuple[str, str | None, bool]]] = []
+    at: dict[str, int] = {}
+    waiting = list(zip(plan["paths"], plan["reverse_order"], strict=True))
+    waiting.sort(key=lambda x: x[0][0] != plan["root_stack"])
+    while waiting:
+        path, turned = next((x for x in waiting if x[0][0] in at or x[0][0] == plan["root_stack"]), waiting[0])
+        waiting.remove((path, turned))
+        for before, name in zip([None, *path], path, strict=False):
+            if name in at:
                 continue
-            state, facts = align_slice(state, own, p)
-            out.append((r["dataset"], r["z"], *state.shape, state.tobytes(), (state > 0).tobytes(), reference, *facts.values()))
-            reference = r["z"]
-        return pd.DataFrame(out, columns=columns).astype({"reference": "Int64", "matches": "Int64", "robust": "boolean"})
+            at[name] = 0 if before is None else at[before] + 1
+            while len(rounds) <= at[name]:
+                rounds.append([])
+            rounds[at[name]].append((name, before, bool(turned)))
+    return rounds
 
-    pick = images.select("dataset", "z", "h", "w", "px")
-    if first is None:
-        return pick.groupBy("dataset").applyInPandas(lambda f: walk(f, None), ALIGNED)
-    return pick.groupBy("dataset").cogroup(first.select("dataset", "h", "w", "px").groupBy("dataset")).applyInPandas(lambda f, s: walk(f, s), ALIGNED)
 
+def run_plan(spark: SparkSession, images: DataFrame, plan: dict, output: str, p: Align = Align()) -> DataFrame:
+    """Align all datasets of a plan, each continued from the one before it on its path; the log.
 
-def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(), reverse: bool = False) -> DataFrame:
+    images: (dataset, z, h, w, px) with z in the volume. Datasets of a round are
+    aligned at once. A dataset walked upward is continued from the highest slice
+    of the other that lies below its own first one (or its lowest), one walked
+    downward the other way round.
+    """
+    log = progress.read(spark, f"{output}/progress")
+    for entries in schedule(plan):
+        table = spark.createDataFrame(entries, "dataset string, before string, reverse boolean")
+        own = images.join(F.broadcast(table), "dataset")  # a row for each dataset of a plan
+        done = store.read(spark, f"{output}/aligned", ALIGNED, missing_ok=True)
+        start = own.groupBy("dataset", "before", "reverse").agg(F.min("z").alias("lo"), F.max("z").alias("hi"))
+        near = start.join(done.select(F.col("dataset").alias("before"), "z", "h", "w", "px", "gy", "gx", "mesh"), "before")
+        # The slice of the other dataset nearest to where this one begins, on the side that it comes from.
+        ahead = F.when(F.col("reverse"), F.col("z") >= F.col("hi")).otherwise(F.col("z") <= F.col("lo"))
+        gap = F.abs(F.col("z") - F.when(F.col("reverse"), F.col("hi")).otherwise(F.col("lo")))
+        first = near.groupBy("dataset").agg(F.min_by(F.struct("h", "w", "px", "gy", "gx", "mesh"), F.struct(~ahead, gap)).alias("s")).select("dataset", "s.*")
+        log = run(spark, own.drop("before"), output, p, first=first)
+    return log
+
+
+def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(), reverse: bool = False, first: DataFrame | None = None) -> DataFrame:
     """Align what the log hasn't got yet, write it and log it; the log.
 
+    first gives the slice that a dataset without any aligned one is continued
+    from.
+
     A dataset is taken up from its last aligned slice; parameters other than
     those of the first run are an error, as the results would not fit together.
     What has been written counts as done whether it was logged or not, so a run
@@ -155,9 +260,13 @@ def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(),
     old = store.read(spark, f"{output}/aligned", ALIGNED, missing_ok=True)
     rest = progress.pending(unlogged, old.select("dataset", "z").distinct(), ["dataset", "z"])
     if not rest.isEmpty():
-        pick = F.max_by if not reverse else F.min_by
-        first = old.groupBy("dataset").agg(pick(F.struct("h", "w", "px"), "z").alias("s")).select("dataset", "s.*")
-        align(rest, p, reverse, first).write.mode("append").partitionBy("dataset").parquet(f"{output}/aligned")
+        against = F.col("reverse") if "reverse" in images.columns else F.lit(reverse)
+        turned = images.groupBy("dataset").agg(F.first(against).alias("reverse"))
+        mine = old.join(turned, "dataset")
+        last = mine.groupBy("dataset").agg(F.max_by(F.struct("h", "w", "px", "gy", "gx", "mesh"), F.when(F.col("reverse"), -F.col("z")).otherwise(F.col("z"))).alias("s")).select("dataset", "s.*")
+        if first is not None:
+            last = last.unionByName(first.join(last, "dataset", "left_anti"))
+        align(rest, p, reverse, last).write.mode("append").partitionBy("dataset").parquet(f"{output}/aligned")
     store.write_attributes(spark, output, {"parameters": key, "z_aligned": True})
     written = spark.read.schema(ALIGNED).parquet(f"{output}/aligned").select("dataset", "z", "matches", "robust")
     log_rows = unlogged.select("dataset", "z").join(written, ["dataset", "z"], "left")

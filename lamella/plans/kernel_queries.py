@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..kernels import masks, register, resample
 from ..operators import registration as reg
-from .image_queries import rows
+from .image_queries import LAP, SOBEL, rows
 from .registry import Tables, query
 
 
@@ -58,7 +58,12 @@ def similarity_transform(t: Tables) -> DataFrame:
     return reg.transforms(slices(t))
 
 
-@query()
+FOLD = """D AS (SELECT z, y, x, v, z // 4 AS dataset, dense_rank() OVER (PARTITION BY z // 4 ORDER BY z) AS k FROM V WHERE z <> 5),
+R AS (SELECT dataset, k, z, y, x, v::DOUBLE AS s, NULL::DOUBLE AS p FROM D WHERE k = 1
+    UNION ALL SELECT D.dataset, D.k, D.z, D.y, D.x, 0.5 * coalesce(R.s, 0) + 0.5 * D.v, coalesce(R.s, 0) FROM D JOIN (SELECT dataset, max(k) AS k FROM R GROUP BY dataset) L ON D.dataset = L.dataset AND D.k = L.k + 1 LEFT JOIN R ON R.dataset = D.dataset AND R.k = L.k AND R.y = D.y AND R.x = D.x)"""
+
+
+@query("WITH RECURSIVE {V}, " + FOLD + " SELECT dataset::INT AS dataset, z, sum(s) / count(*) AS mean, sum(abs(s - p)) / count(p) AS change FROM R GROUP BY dataset, z")
 def stateful_fold_z(t: Tables) -> DataFrame:
     """Each slice blended with the result for the slice before, along z."""
 
@@ -72,9 +77,11 @@ def stateful_fold_z(t: Tables) -> DataFrame:
     return reg.fold(images, "dataset", step, "dataset int, z int, mean double, change double", ignore=(5,))
 
 
-@query()
+@query(f"WITH {SOBEL}, {LAP}, G AS (SELECT z, y, x, CASE WHEN lag(v) OVER r IS NULL THEN 2 * (lead(v) OVER r - v) WHEN lead(v) OVER r IS NULL THEN 2 * (v - lag(v) OVER r) ELSE lead(v) OVER r - lag(v) OVER r END AS gx, CASE WHEN lag(v) OVER c IS NULL THEN 2 * (lead(v) OVER c - v) WHEN lead(v) OVER c IS NULL THEN 2 * (v - lag(v) OVER c) ELSE lead(v) OVER c - lag(v) OVER c END AS gy FROM V WINDOW r AS (PARTITION BY z, y ORDER BY x), c AS (PARTITION BY z, x ORDER BY y)), GM AS (SELECT z, avg(sqrt((gx * gx + gy * gy)::DOUBLE) / 2) AS m FROM G GROUP BY z), SM AS (SELECT z, avg(sqrt((GX.v * GX.v + GY.v * GY.v)::DOUBLE)) AS m FROM GX JOIN GY USING (z, y, x) GROUP BY z) SELECT z, floor((0.5 * var + SM.m + 100 * GM.m) * 1000 + 0.5)::BIGINT AS quality FROM LV JOIN SM USING (z) JOIN GM USING (z)")
 def image_quality_udf(t: Tables) -> DataFrame:
-    return reg.quality(slices(t), lambda image, mask: masks.sharpness(image, mask)["quality"])
+    """The composite sharpness by a function of the caller's, in thousandths."""
+    q = reg.quality(slices(t), lambda image, mask: masks.sharpness(image, mask)["quality"])
+    return q.select("z", F.floor(F.col("quality") * 1000 + 0.5).alias("quality"))
 
 
 @query()

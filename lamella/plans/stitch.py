@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..kernels import masks, register, resample
+from ..kernels import elastic, masks, register, resample
 from ..operators import graph, islands, progress
 from ..sources import configs, store, tiles
 
@@ -24,9 +24,11 @@ class Stitch:
     overlap: int = 16
     ladder: tuple[float, ...] = (1.0, 2.0)  # search range, in overlaps, until the edges are trusted
     scheme: dict = field(default_factory=dict)
-    mesh: register.Mesh | None = None
+    mesh: register.Mesh | None = register.Mesh()  # None: tiles are placed, not deformed
     patch: int = 16
-    margin: int = 2
+    stride: int = 8
+    margin: int = 2  # cut off tiles on the sides that face a neighbour
+    work: int = 1024  # pixels of a work tile's side when warping
 
 
 def stacks(catalogue: DataFrame) -> DataFrame:
@@ -72,28 +74,37 @@ def geometry_of(spark: SparkSession, output: str) -> dict:
 
 
 def stitch_slice(images: dict[tuple[int, int], np.ndarray], p: Stitch) -> tuple[np.ndarray, np.ndarray, float | None]:
-    """One slice from its tiles by (x, y): image, mask, and the median score of its seams."""
+    """One slice from its tiles by (x, y): image, mask, and the median score of its seams.
+
+    Tiles are placed by coarse offsets, then deformed until their seams agree.
+    """
     offsets, scores = {}, []
     for wide in p.ladder:
         offsets = register.coarse_offsets(images, p.overlap, int(max(2, p.overlap * wide / 2)))
         if all(np.hypot(*o) < p.overlap for o in offsets.values()):
             break
     at = register.place({k: v.shape for k, v in images.items()}, offsets, p.overlap)
-    spots = {k: (round(y), round(x)) for k, (x, y) in at.items()}
-    h, w = (max(spots[k][a] + images[k].shape[a] for k in images) for a in (0, 1))
-    out, mask = np.zeros((h, w), np.uint8), np.zeros((h, w), bool)
-    for k in sorted(images, reverse=True):  # the first tile is painted last
-        y, x = spots[k]
-        own = images[k]
-        box = np.s_[y : y + own.shape[0], x : x + own.shape[1]]
-        out[box], mask[box] = own, True
-    for a, b in offsets:
+    keys = sorted(images)
+    spots = [(round(at[k][1]), round(at[k][0])) for k in keys]
+    tiles_of = [images[k] for k in keys]
+    pairs = [(keys.index(a), keys.index(b)) for a, b in offsets]
+    seams = elastic.Seams(p.patch, p.stride)
+    meshes = np.zeros((2, len(keys), *np.max([elastic.nodes_of(i.shape, p.stride) for i in tiles_of], axis=0)))
+    if p.mesh is not None and pairs:
+        meshes, _ = elastic.relax(tiles_of, spots, pairs, seams, p.mesh)
+    edge = lambda x, y: p.margin * int((x, y) in images)
+    margins = [(edge(x, y - 1), edge(x, y + 1), edge(x - 1, y), edge(x + 1, y)) for x, y in keys]
+    out, mask, warped = elastic.render(tiles_of, spots, meshes, p.stride, margins, p.work)
+    for a, b in pairs:
         (ya, xa), (yb, xb) = spots[a], spots[b]
         y0, x0 = max(ya, yb), max(xa, xb)
-        y1, x1 = (min(ya + images[a].shape[0], yb + images[b].shape[0]), min(xa + images[a].shape[1], xb + images[b].shape[1]))
+        y1, x1 = (min(spots[a][k] + tiles_of[a].shape[k], spots[b][k] + tiles_of[b].shape[k]) for k in (0, 1))
         if y1 - y0 > 2 and x1 - x0 > 2:
-            va, vb = (masks.sharpness(images[k][y0 - y : y1 - y, x0 - x : x1 - x])["laplacian"] for k, (y, x) in ((a, spots[a]), (b, spots[b])))
+            va, vb = (masks.sharpness(warped[k][0][y0 - y : y1 - y, x0 - x : x1 - x])["laplacian"] for k, (y, x) in ((a, spots[a]), (b, spots[b])))
             scores.append(1.0 if max(va, vb) == 0 else 1 - abs(va - vb) / max(va, vb))
+    ys, xs = np.nonzero(mask)
+    box = np.s_[ys.min() : ys.max() + 1, xs.min() : xs.max() + 1]
+    out, mask = out[box], mask[box]
     return out, mask, float(np.median(scores)) if scores else None
 
 
@@ -169,12 +180,13 @@ def fuse_configs(spans: DataFrame, groups: DataFrame) -> DataFrame:
     return found.select("component", F.transform("r", lambda x: x["path"]).alias("dataset_paths"), F.transform("r", lambda x: x["z_start"]).alias("z_offsets"), "zmin", "zmax")
 
 
-def fuse(images: DataFrame, quality=None) -> DataFrame:
+def fuse(images: DataFrame, quality=None, seams: elastic.Seams = elastic.Seams(), mesh: register.Mesh | None = register.Mesh()) -> DataFrame:
     """(z, h, w, px, mask) of one canvas from overlapping slices (stack, z, h, w, px, mask).
 
     In each z the stacks are taken one after the other: each is aligned to the
-    canvas so far, and where both have pixels the sharper one goes on top. Slices
-    are independent of each other; a task holds those of one z.
+    canvas so far by a similarity, deformed where both have pixels (unless mesh
+    is None), and there the sharper one goes on top. Slices are independent of
+    each other; a task holds those of one z.
     """
     quality = quality or (lambda image, mask: masks.sharpness(image, mask)["quality"])
 
@@ -198,6 +210,9 @@ def fuse(images: DataFrame, quality=None) -> DataFrame:
             grow = lambda a, y, x, h=h, w=w: np.pad(a, ((y, h - y - a.shape[0]), (x, w - x - a.shape[1])))
             canvas, mask, own, have = grow(canvas, dy, dx), grow(mask, dy, dx), grow(own, 0, 0), grow(have, 0, 0)
             both = mask & have
+            if mesh is not None and both.any() and e.matrix is not None and e.robust:
+                own, have = elastic.onto(canvas, mask, own, have, seams, mesh)
+                both = mask & have
             on_top = have if not both.any() or quality(own, both) > quality(canvas, both) else have & ~mask
             canvas = np.where(on_top, own, canvas)
             mask |= have
