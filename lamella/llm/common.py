@@ -14,7 +14,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Column names that the operators use inside; inputs are projected first, so
@@ -172,8 +172,10 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        now = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        seen = Observation()  # counted while it is written; a repeated task could only cost one more round
+        new = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        new = materialize(new.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")))
+        now = seen.get
         discard(e)
         e = new
         if now == before:

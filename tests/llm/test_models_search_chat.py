@@ -348,3 +348,51 @@ def test_shrinkage(spark):
     site, _ = sitebayes.sites(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     p = {(x.of, x.at): x.path_quality for x in site.collect()}
     assert p["h", "a"] > 0.95 and p["h", "b"] < 0.05 and 0.3 < p["h", "rare"] < 0.9
+
+
+def test_posteriors_are_the_plain_ones(spark):
+    """Host and path rates against the formulas worked out in plain Python; null sites are sites."""
+    r = random.Random(11)
+    docs = [(i, "", r.choice(["a", "b", "c", None]), r.choice(["x", "y", None])) for i in range(700)]
+    label = {i: (int(r.random() < (0.9 if h == "a" else 0.4)), int(r.random() < (0.5 if p == "y" else 0.1))) for i, _, h, p in docs if r.random() < 0.6}
+    d = spark.createDataFrame(docs, "id long, text string, host string, path string")
+    got, rates = sitebayes.sites(d, spark.createDataFrame([(i, *v) for i, v in label.items()], "doc_id long, quality int, toxic int"))
+
+    def strength(sites, rate):
+        """sites: (n, positives, prior) of each."""
+        sites = [s for s in sites if s[0]]
+        noise, n = rate * (1 - rate), sum(s[0] for s in sites)
+        if len(sites) < 2:
+            return sitebayes.STRONG
+        spread = sum(s[0] * (s[1] / s[0] - s[2]) ** 2 for s in sites)
+        between = (spread - len(sites) * noise) / (n - sum(s[0] ** 2 for s in sites) / n)
+        return sitebayes.STRONG if between <= noise / (sitebayes.STRONG + 1) else min(max(noise / between - 1, sitebayes.WEAK), sitebayes.STRONG)
+
+    for k, target in enumerate(sitebayes.TARGETS):
+        count = lambda keep, k=k: (sum(keep(x) for x in docs if x[0] in label), sum(label[x[0]][k] for x in docs if x[0] in label and keep(x)))
+        n, yes = count(lambda x: True)
+        rate = (yes + 1) / (n + 2)
+        assert rates[target] == pytest.approx(rate)
+        hosts = {h: count(lambda x, h=h: x[2] == h) for h in {x[2] for x in docs}}
+        m = strength([(*v, rate) for v in hosts.values()], rate)
+        host = {h: (y + m * rate) / (c + m) for h, (c, y) in hosts.items()}
+        paths = {(h, p): count(lambda x, h=h, p=p: x[2] == h and x[3] == p) for h, p in {x[2:] for x in docs}}
+        m = strength([(*v, host[at[0]]) for at, v in paths.items()], rate)
+        want = {at: (y + m * host[at[0]]) / (c + m) for at, (c, y) in paths.items()}
+        found = {(x.of, x.at): x[f"path_{target}"] for x in got.collect()}
+        assert set(found) == set(want) and all(found[at] == pytest.approx(want[at]) for at in want)
+
+
+def test_clashing_names(spark):
+    """Columns with the names used inside, for the operators that keep or read columns of the caller."""
+    r, stems, rows = _docs()
+    docs = spark.createDataFrame([(i, t, g, float(i), 0) for i, t, g in rows[:40]], "id long, text string, lang string, score double, place int")
+    got = langid.identify(docs, langid.fit(docs, "id"), "id")
+    assert got.count() == 40 and got.columns == ["id", "lang_pred", "score", "rejected"]
+    vectors = spark.createDataFrame([(0, [1.0, 2.0], 5, "x"), (1, [2.0, 0.5], 6, "y")], "vec_id long, embedding array<double>, score int, `row` string")
+    assert [tuple(x) for x in topk.top_k(vectors).collect()] == [(0, 1, 1, 3 * 1024 * 1024)]
+    t = spark.createDataFrame([(1, 0, "user", "hi", 9, "z"), (1, 1, "assistant", "yo", 8, "z")], "conv_id long, turn long, role string, text string, anchor int, called string")
+    assert {x.status for x in chat.link(chat.parse(t), {}).collect()} == {"ok"}
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1)], "doc_id long, quality int, toxic int")
+    clash = docs.select("id", "text", "lang", docs.score.alias("quality"), docs.place.alias("of"))
+    assert sitebayes.classify(clash, labels, "id", "text", "lang", "lang").count() == 40
