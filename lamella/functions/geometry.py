@@ -18,6 +18,14 @@ def bbox(px: DataFrame, *keys: str) -> DataFrame:
     return px.groupBy(*keys).agg(F.min(y).alias("y0"), (F.max(y) + 1).alias("y1"), F.min(x).alias("x0"), (F.max(x) + 1).alias("x1"))
 
 
+def mask_bbox(lines: DataFrame, *keys: str) -> DataFrame:
+    """Half-open box of the true pixels of lines (keys, y, mask: array); null where there are none."""
+    at = F.filter(F.sequence(F.lit(0), F.size("mask") - 1), lambda i: F.get("mask", i))
+    found = lines.select(*keys, "y", F.array_min(at).alias("low"), F.array_max(at).alias("high"))
+    y = F.when(F.col("low").isNotNull(), F.col("y"))
+    return found.groupBy(*keys).agg(F.min(y).alias("y0"), (F.max(y) + 1).alias("y1"), F.min("low").alias("x0"), (F.max("high") + 1).alias("x1"))
+
+
 def pad_before(offset: Column) -> Column:
     return F.greatest(-offset, F.lit(0))
 
@@ -35,9 +43,12 @@ def pad_lines(rows: DataFrame, height: int, width: int, value: int = 0) -> DataF
 
 
 def overlap(first: DataFrame, second: DataFrame, dx: int, dy: int) -> DataFrame:
-    """Pixels that two images (z, y, x, v) share if the second lies at (dx, dy) of the first; places are those in the second."""
-    a = first.select("z", (F.col("y") - dy).alias("y"), (F.col("x") - dx).alias("x"), F.col("v").alias("v1"))
-    return a.join(second.select("z", "y", "x", F.col("v").alias("v2")), ["z", "y", "x"])
+    """Lines (z, y, px1, px2) that two images (z, y, px) share if the second lies at (dx, dy) of the first; places are those in the second."""
+    right, left = max(0, dx), max(0, -dx)
+    a = first.select("z", (F.col("y") - dy).alias("y"), F.col("px").alias("a"))
+    both = a.join(second.select("z", "y", F.col("px").alias("b")), ["z", "y"])
+    width = F.least(F.size("a") - right, F.size("b") - left)
+    return both.where(width > 0).select("z", "y", F.slice("a", right + 1, width).alias("px1"), F.slice("b", left + 1, width).alias("px2"))
 
 
 def margins(tiles: DataFrame, inner: int, outer: int) -> DataFrame:

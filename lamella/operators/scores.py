@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block of the smaller side that is held against the whole other side.
-BLOCK = 4096
+#: Rows of a block; lanes that blocks are dealt to, for each core of the cluster, if there are as many blocks.
+BLOCK, LANES = 4096, 2
 
 
 def nearest_two(queries: DataFrame, train: DataFrame, same: bool = False) -> DataFrame:
@@ -22,7 +22,7 @@ def nearest_two(queries: DataFrame, train: DataFrame, same: bool = False) -> Dat
     own neighbour.
     """
     q, t = _blocks(queries).select(F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs")), _blocks(train)
-    lanes = 32
+    lanes = LANES * queries.sparkSession.sparkContext.defaultParallelism
     t = t.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)))
     q = q.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
 
@@ -60,11 +60,20 @@ def _two(qi: np.ndarray, qv: np.ndarray, ti: np.ndarray, tv: np.ndarray, same: b
 
 
 def _blocks(vectors: DataFrame) -> DataFrame:
+    """(ids, vecs): vectors packed by BLOCK, whatever the size of the batches that they come in."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest: pd.DataFrame | None = None
         for batch in batches:
-            for at in range(0, len(batch), BLOCK):
-                part = batch.iloc[at : at + BLOCK]
-                yield pd.DataFrame({"ids": [part["id"].to_numpy(np.int64).tobytes()], "vecs": [np.array(part["vec"].tolist(), float).tobytes()]})
+            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            while len(rest) >= BLOCK:
+                yield pack(rest.iloc[:BLOCK])
+                rest = rest.iloc[BLOCK:]
+        if rest is not None and len(rest):
+            yield pack(rest)
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"ids": [part["id"].to_numpy(np.int64).tobytes()], "vecs": [np.array(part["vec"].tolist(), float).tobytes()]})
 
     return vectors.select(F.col("id").cast("long"), "vec").mapInPandas(run, "ids binary, vecs binary")
 

@@ -60,16 +60,24 @@ def nonempty(rows: DataFrame) -> DataFrame:
 
 
 def masked_merge(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Pixels (z, y, x, v) of old, replaced where new (z, y, x, v, mask) has a true mask; 0 where neither has one."""
-    o, n = old.select("z", "y", "x", F.col("v").alias("ov")), new.select("z", "y", "x", F.col("v").alias("nv"), "mask")
-    v = F.when(F.col("mask"), F.col("nv")).otherwise(F.coalesce("ov", F.lit(0)))
-    return o.join(n, ["z", "y", "x"], "full").select("z", "y", "x", v.alias("v"))
+    """Lines (z, y, px) of old, replaced where new (z, y, px, mask) has a true mask; 0 where neither has a pixel. Lines meet, not pixels."""
+    o, n = old.select("z", "y", F.col("px").alias("opx")), new.select("z", "y", F.col("px").alias("npx"), "mask")
+    width = F.greatest(F.coalesce(F.size("opx"), F.lit(0)), F.coalesce(F.size("npx"), F.lit(0)))
+    pixel = lambda i: F.when(F.get("mask", i), F.get("npx", i)).otherwise(F.coalesce(F.get("opx", i), F.lit(0)))
+    return o.join(n, ["z", "y"], "full").select("z", "y", F.transform(F.slice(F.sequence(F.lit(0), width), 1, width), pixel).alias("px"))
 
 
 def paint(layers: DataFrame, *keys: str) -> DataFrame:
-    """One value per pixel: of the layer with the highest priority whose mask is true there; 0 where none is."""
-    keys = keys or ("z", "y", "x")
-    return layers.groupBy(*keys).agg(F.coalesce(F.max_by("v", F.when(F.col("mask"), F.col("priority"))), F.lit(0)).alias("v"))
+    """One line (keys, px) from layers (keys, priority, px, mask): each pixel of the layer with the highest priority whose mask is true there; 0 where none is.
+
+    A group holds the layers of one line.
+    """
+    keys = keys or ("z", "y")
+    top = F.sort_array(F.collect_list(F.struct("priority", "px", "mask")), asc=False)
+    found = layers.groupBy(*keys).agg(top.alias("layers"), F.max(F.size("px")).alias("width"))
+    seen = lambda i: F.filter("layers", lambda k: F.coalesce(F.get(k["mask"], i), F.lit(False)))
+    pixel = lambda i: F.coalesce(F.get(F.get(seen(i), F.lit(0))["px"], i), F.lit(0))
+    return found.select(*keys, F.transform(F.slice(F.sequence(F.lit(0), F.col("width")), 1, F.col("width")), pixel).alias("px"))
 
 
 def tile(px: DataFrame, height: int, width: int) -> DataFrame:

@@ -83,9 +83,9 @@ def bilinear_half(t: Tables) -> DataFrame:
 @query("WITH {V}, o AS (SELECT * FROM V WHERE x < 48), n AS (SELECT z - 1 AS z, y, x, v, v > 140 AS m FROM V WHERE z > 0) SELECT z::INT AS z, y, x, CASE WHEN m THEN n.v ELSE coalesce(o.v, 0) END AS v FROM o FULL JOIN n USING (z, y, x)")
 def masked_merge(t: Tables) -> DataFrame:
     """Each slice overwritten by the next where that is bright."""
-    p = px(t)
-    new = p.where("z > 0").select((F.col("z") - 1).alias("z"), "y", "x", "v", (F.col("v") > 140).alias("mask"))
-    return volume.masked_merge(p.where("x < 48"), new)
+    r = rows(t)
+    new = r.where("z > 0").select((F.col("z") - 1).alias("z"), "y", "px", F.transform("px", lambda v: v > 140).alias("mask"))
+    return volume.pixels(volume.masked_merge(r.withColumn("px", F.slice("px", 1, 48)), new))
 
 
 @query("WITH {V} SELECT max(z) + 1 AS depth, max(y) + 1 AS height, max(x) + 1 AS width, min(z) AS zmin FROM V")
@@ -169,7 +169,7 @@ def quality_on_top(t: Tables) -> DataFrame:
 
 @query("WITH {V} SELECT z, min(y) FILTER (v > 150) AS y0, max(y) FILTER (v > 150) + 1 AS y1, min(x) FILTER (v > 150) AS x0, max(x) FILTER (v > 150) + 1 AS x1 FROM V GROUP BY z")
 def mask_bbox(t: Tables) -> DataFrame:
-    return geometry.bbox(px(t).withColumn("mask", F.col("v") > 150), "z")
+    return geometry.mask_bbox(rows(t).select("z", "y", F.transform("px", lambda v: v > 150).alias("mask")), "z")
 
 
 @query("WITH {V}, T AS (SELECT z, max(y) + 1 AS h, max(x) + 1 - z AS w FROM V GROUP BY z) SELECT max(h) AS h, max(w) AS w, min(h) AS min_h, min(w) AS min_w FROM T")
@@ -220,16 +220,18 @@ def morph_close(t: Tables) -> DataFrame:
 @query("WITH {V} SELECT a.z, a.y, (a.x - 44)::INT AS x, a.v AS v1, b.v AS v2 FROM V a JOIN V b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x - 44 WHERE a.x >= 44")
 def crop_overlap(t: Tables) -> DataFrame:
     """The common part of a slice and the next, placed 44 pixels to the right of it."""
-    p = px(t)
-    return geometry.overlap(p, p.withColumn("z", F.col("z") - 1), 44, 0).select("z", "y", "x", "v1", "v2")
+    r = rows(t)
+    both = geometry.overlap(r, r.withColumn("z", F.col("z") - 1), 44, 0)
+    return both.select("z", "y", F.posexplode(F.arrays_zip("px1", "px2")).alias("x", "v")).select("z", "y", "x", F.col("v.px1").alias("v1"), F.col("v.px2").alias("v2"))
 
 
 @query("WITH {V}, O AS (SELECT a.z, a.y, a.x FROM V a JOIN V b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x WHERE a.v > 150 AND b.v > 150) SELECT z, min(y) AS y0, max(y) + 1 AS y1, min(x) AS x0, max(x) + 1 AS x1 FROM O GROUP BY z")
 def overlap_mask_bbox(t: Tables) -> DataFrame:
     """Box of where two adjacent slices both have a mask."""
-    m = px(t).where("v > 150").select("z", "y", "x")
-    both = m.join(m.withColumn("z", F.col("z") - 1), ["z", "y", "x"])
-    return geometry.bbox(both.withColumn("mask", F.lit(True)), "z")
+    r = rows(t)
+    both = geometry.overlap(r, r.withColumn("z", F.col("z") - 1), 0, 0)
+    mask = F.zip_with("px1", "px2", lambda a, b: (a > 150) & (b > 150))
+    return geometry.mask_bbox(both.select("z", "y", mask.alias("mask")), "z").where("y0 is not null")
 
 
 @query("SELECT o AS offset_px, greatest(-o, 0) AS pad_before, greatest(o, 0) AS pad_after FROM (SELECT DISTINCT (l_quantity - 25)::BIGINT AS o FROM lineitem)")
@@ -271,5 +273,5 @@ def stitch_scores(t: Tables) -> DataFrame:
 @query("WITH {V}, L AS (SELECT z // 3 AS g, z % 3 AS priority, y, x, v, v > 120 AS m FROM V) SELECT g::INT AS g, y, x, coalesce(arg_max(v, CASE WHEN m THEN priority END) FILTER (m), 0) AS v FROM L GROUP BY g, y, x")
 def paint_order_composite(t: Tables) -> DataFrame:
     """Three slices painted over each other; the mask lets lower ones through."""
-    layers = px(t).select(F.floor(F.col("z") / 3).cast("int").alias("g"), (F.col("z") % 3).alias("priority"), "y", "x", "v", (F.col("v") > 120).alias("mask"))
-    return volume.paint(layers, "g", "y", "x")
+    layers = rows(t).select(F.floor(F.col("z") / 3).cast("int").alias("g"), (F.col("z") % 3).alias("priority"), "y", "px", F.transform("px", lambda v: v > 120).alias("mask"))
+    return volume.pixels(volume.paint(layers, "g", "y"))
