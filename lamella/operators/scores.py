@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import robustness as formula
+
 #: Rows of a block; lanes that blocks are dealt to, for each core of the cluster, if there are as many blocks.
 BLOCK, LANES = 4096, 2
 
@@ -90,27 +92,6 @@ def trimmed(df: DataFrame, group: str, value: str, keep: float = 0.75) -> DataFr
     return df.withColumn("__rank", rank).withColumn("__n", n).where(F.col("__rank") <= F.floor(F.col("__n") * keep)).drop("__rank", "__n")
 
 
-# Fixed values of the robustness index: weights of its four parts, and its penalty.
-PARTS, PENALTY, ROBUST = (0.25, 0.15, 0.35, 0.25), 0.3, 0.45
-
-
-def quantity_part(n: Column) -> Column:
-    n = n.cast("double")
-    return F.when(n <= 5, n / 10).when(n <= 20, 0.5 + (n - 5) / 30).otherwise(0.8 + 0.2 * F.least(F.lit(1.0), F.log(n - 19) / F.log(F.lit(50.0))))
-
-
-def proportion_part(r: Column) -> Column:
-    return F.when(r >= 0.7, 1.0).when(r >= 0.4, 0.6 + 0.4 * (r - 0.4) / 0.3).when(r >= 0.2, 0.3 + 0.3 * (r - 0.2) / 0.2).otherwise(0.3 * r / 0.2)
-
-
-def quality_part(m: Column, t: float) -> Column:
-    return F.when(m <= 0.5 * t, 1.0).when(m <= t, 0.8 - 0.3 * (m - 0.5 * t) / (0.5 * t)).when(m <= 2 * t, 0.5 - 0.3 * (m - t) / t).otherwise(F.greatest(F.lit(0.1), 0.2 - 0.1 * (m - 2 * t) / t))
-
-
-def consistency_part(c: Column) -> Column:
-    return F.when(c >= 0.9, 1.0).when(c >= 0.7, 0.8 + 0.2 * (c - 0.7) / 0.2).when(c >= 0.5, 0.5 + 0.3 * (c - 0.5) / 0.2).otherwise(0.5 * c / 0.5)
-
-
 def robustness(matches: DataFrame, group: str, tolerance: float = 20.0) -> DataFrame:
     """(group, n, inliers, mean, share, index, robust) of matches (group, residual, inlier).
 
@@ -121,12 +102,9 @@ def robustness(matches: DataFrame, group: str, tolerance: float = 20.0) -> DataF
     kept = trimmed(matches.where("inlier"), group, "residual")
     stats = kept.groupBy(group).agg(F.avg("residual").alias("mean"), (F.count_if(F.col("residual") <= tolerance) / F.count("*")).alias("share"))
     both = counts.join(stats, group, "left")
-    n, inliers, mean = F.col("n"), F.col("inliers"), F.col("mean")
-    q, p, m, c = PARTS
-    total = q * quantity_part(n) + p * proportion_part(inliers / n) + m * quality_part(mean, tolerance) + c * consistency_part(F.col("share"))
-    strong = (n >= 10) & (inliers >= 6) & (mean <= 3 * tolerance)
-    index = F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total * F.when(strong, 1.0).otherwise(PENALTY))), F.lit(0.0))
-    return both.withColumn("index", index).withColumn("robust", F.col("index") >= ROBUST)
+    n, inliers = F.col("n").cast("double"), F.col("inliers").cast("double")
+    index = F.coalesce(formula.index(n, inliers, F.col("mean"), F.col("share"), tolerance, formula.Columns), F.lit(0.0))
+    return both.withColumn("index", index).withColumn("robust", F.col("index") >= formula.ROBUST)
 
 
 def ranked(two: DataFrame, by: Column, ratio: float = 0.7) -> DataFrame:
