@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamella.llm import debruijn, mixing, packing, rules, similar
-from lamella.llm.common import Stages, materialize, table
+from lamella.llm.common import Stages, discard, materialize, table
 
 stage = Stages()
 
@@ -57,7 +57,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of the whole table."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, apply in STAGES[:-1]:
         docs = materialize(apply(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
