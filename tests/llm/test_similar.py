@@ -46,7 +46,7 @@ def _groups(rows):
     return root
 
 
-@pytest.mark.parametrize("sizes", [{}, {"HUB_ROUNDS": 0, "SEEN": 1}, {"FEW": 0, "SEEN": 1}, {"CHUNK": 300, "BUCKET": 100}])
+@pytest.mark.parametrize("sizes", [{}, {"HUBS": 0, "SEEN": 1}, {"HUBS": 1, "FREQUENT": 3}, {"CHUNK": 300, "BUCKET": 100}])
 def test_near_copies_go(spark, monkeypatch, tmp_path, sizes):
     for name, value in sizes.items():
         monkeypatch.setattr(similar, name, value)
