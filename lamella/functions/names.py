@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,6 +73,21 @@ def resolution(lines: DataFrame, key: str) -> DataFrame:
     return best.select(key, F.get(v, F.lit(0)).alias("res_y"), F.get(v, F.lit(1)).alias("res_x"))
 
 
+def text_resolution(text: Column, words: list[str], line: int = 5) -> Column:
+    """resolution() of a whole text as struct<y,x>, without a row for each line: null if it has none.
+
+    words: what a line must speak of, in lower case; line: the number of the one
+    that counts otherwise, from 0. Numbers that an int can't hold are null.
+    """
+    said = "|".join(map(re.escape, words))
+    read = lambda c: F.struct(F.lower(c).rlike(said).alias("said"), F.regexp_extract_all(c, F.lit(r"(\d+)"), 1).alias("v"))
+    lines = F.transform(F.split(text, "\n"), read)
+    first = F.get(F.filter(lines, lambda p: p["said"] & (F.size(p["v"]) >= 2)), F.lit(0))["v"]
+    other = F.get(lines, F.lit(line))["v"]
+    v = F.coalesce(first, F.when(F.size(other) >= 2, other))
+    return F.when(v.isNotNull(), F.struct(v[0].try_cast("int").alias("y"), v[1].try_cast("int").alias("x")))
+
+
 def volume_type(dtype: Column, top: Column) -> Column:
     """How a viewer shows a volume: labels as segmentation, everything else as image."""
     labels = dtype.isin("bool", "uint64") | ((dtype == "uint8") & (top <= 1))

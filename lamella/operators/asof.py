@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,16 +31,24 @@ def _carry(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by: l
     return found.select("__l.*", *[F.col("__f")[c].alias(c) for c in (right_on, *carry)])
 
 
-def banded(left: DataFrame, right: DataFrame, left_on: str, right_on: str, band: float, back: bool = True) -> DataFrame:
-    """As-of join without a group key, for large sides: bands of the axis are sorted apart.
+def banded(left: DataFrame, right: DataFrame, left_on: str, right_on: str, band: float, back: bool = True, by: list[str] | None = None, carry: list[str] | None = None) -> DataFrame:
+    """As-of join for large sides, or groups that may hold most rows: bands of the axis are sorted apart.
 
     Each band also gets, from a table with one row a band, the nearest row of
-    right in the bands before (or after) it.
+    right in the bands before (or after) it. A null left_on finds nothing.
     """
+    by, carry, join = by or [], carry or [], backward if back else forward
     cut = lambda c: F.floor(F.col(c).cast("double") / band)
-    r = right.where(F.col(right_on).isNotNull()).select(cut(right_on).alias("__band"), right_on)
-    edge = r.groupBy("__band").agg((F.max if back else F.min)(right_on).alias("__edge"))
-    bands = left.select(cut(left_on).alias("__band")).distinct()
-    outer = (backward if back else forward)(bands.select("__band", (F.col("__band") + (-1 if back else 1)).alias("__near")), edge.withColumnRenamed("__band", "__of"), "__near", "__of", carry=["__edge"]).select("__band", "__edge")
-    near = (backward if back else forward)(left.withColumn("__band", cut(left_on)), r, left_on, right_on, by=["__band"])
-    return near.join(outer, "__band", "left").withColumn(right_on, F.coalesce(right_on, "__edge")).drop("__band", "__edge")
+    r = right.where(F.col(right_on).isNotNull()).select(*by, cut(right_on).alias("__band"), right_on, *carry)
+    found = [right_on, *carry]
+    edge = r.groupBy(*by, "__band").agg((F.max_by if back else F.min_by)(F.struct(*found), right_on).alias("__edge"))
+    bands = left.select(*by, cut(left_on).alias("__band")).distinct()
+    near = bands.select(*by, "__band", (F.col("__band") + (-1 if back else 1)).alias("__near"))
+    keys = [*by, "__band"]
+    outer = join(near, edge.withColumnRenamed("__band", "__of"), "__near", "__of", by=by, carry=["__edge"])
+    outer = outer.select(*[F.col(k).alias(f"__of_{k}") for k in keys], "__edge")
+    inner = join(left.withColumn("__band", cut(left_on)), r, left_on, right_on, by=keys, carry=carry)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    here, some = F.col(right_on).isNotNull(), F.col(left_on).isNotNull()
+    values = [F.when(some, F.when(here, F.col(c)).otherwise(F.col("__edge")[c])).alias(c) for c in found]
+    return inner.join(outer, same, "left").select(*left.columns, *values)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,32 @@ def islands(df: DataFrame, order: str, value: Column, by: list[str] | None = Non
     return df.withColumn("__new", changed).withColumn(name, F.sum("__new").over(w)).drop("__new")
 
 
+def banded(df: DataFrame, order: str, value: Column, by: list[str], band: float, name: str = "island") -> DataFrame:
+    """islands() where one group may hold most rows: the axis, a number that is unique in a group, is sorted in bands.
+
+    A band's rows are numbered from its first; what a band starts with comes from
+    a table with one row for each band, which holds the values at its ends. A
+    null key is a group; rows with a null order come first, as one band.
+    """
+    d = df.withColumns({"__band": F.floor(F.col(order).cast("double") / band), "__value": value})
+    within = Window.partitionBy(*by, "__band").orderBy(order)
+    new = F.when(F.row_number().over(within) == 1, 0).when(~F.col("__value").eqNullSafe(F.lag("__value").over(within)), 1).otherwise(0)
+    d = d.withColumn("__new", new).withColumn(name, F.sum("__new").over(within))
+    ends = d.groupBy(*by, "__band").agg(
+        F.coalesce(F.min_by(F.struct("__value"), order), F.first(F.struct("__value"))).alias("__first"),
+        F.coalesce(F.max_by(F.struct("__value"), order), F.first(F.struct("__value"))).alias("__last"),
+        F.sum("__new").alias("__inside"),
+    )
+    across = Window.partitionBy(*by).orderBy("__band")
+    starts = F.when(F.row_number().over(across) == 1, 1).when(~F.col("__first").eqNullSafe(F.lag("__last").over(across)), 1).otherwise(0)
+    ends = ends.withColumn("__starts", starts).withColumn("__upto", F.sum(F.col("__starts") + F.col("__inside")).over(across))
+    keys = [*by, "__band"]
+    ends = ends.select(*[F.col(k).alias(f"__of_{k}") for k in keys], (F.col("__upto") - F.col("__inside")).alias("__start"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    found = d.join(ends, same).withColumn(name, F.col(name) + F.col("__start"))
+    return found.drop("__value", "__new", "__start", "__band", *[f"__of_{k}" for k in keys])
+
+
 def membership(points: DataFrame, at: str, member: str) -> DataFrame:
     """(at, members): the sorted set of members present at each point."""
     return points.groupBy(at).agg(F.array_sort(F.collect_set(member)).alias("members"))
