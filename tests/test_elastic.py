@@ -86,11 +86,11 @@ def test_two_nearest_in_blocks(monkeypatch):
     assert (at == d.argmin(axis=1)).all() and np.allclose(first, order[:, 0]) and np.allclose(second, order[:, 1])
 
 
-def test_masks_limit_the_corners():
+def test_masks_limit_the_features():
     image = texture((120, 120), 6, 3)
     mask = np.zeros(image.shape, bool)
     mask[:, 60:] = True
-    places, _ = register.keypoints(image, 1000, mask=mask)
+    places, _ = register.features(image, 1000, mask=mask)
     assert len(places) and (places[:, 0] >= 60).all()
     moved = np.roll(image, (4, 3), (0, 1))
     e = register.estimate(image, moved, reference_mask=mask, moving_mask=mask)
