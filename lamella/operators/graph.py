@@ -155,17 +155,25 @@ def tile_map(matches: DataFrame, threshold: float) -> DataFrame:
     down = runs_down(F.col("dx"), F.col("dy"))
     step = lambda c, along: F.when(along, F.signum(c)).otherwise(0).cast("bigint")
     edges = good.select("u", "v", step(F.col("dx"), ~down).alias("dx"), step(F.col("dy"), down).alias("dy"))
+    return placed(nodes, edges)
+
+
+def placed(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component, tx, ty): places of nodes (node) by whole steps (u, v, dx, dy: long), v at (dx, dy) of u.
+
+    Each connected part starts from 0; a node without edges stands alone.
+    """
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), (-F.col("dx")).alias("dx"), (-F.col("dy")).alias("dy"))
-    directed = checkpoint(edges.unionByName(back).where("u <> v"))
+    directed = checkpoint(edges.select("u", "v", "dx", "dy").unionByName(back).where("u <> v"))
     parts = checkpoint(components(nodes, edges.select("u", "v")))
-    placed = frontier = parts.where("node = component").select("node", F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"))
-    for _ in _rounds(None, "tile_map"):
+    found = frontier = parts.where("node = component").select("node", F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"))
+    for _ in _rounds(None, "placed"):
         near = frontier.join(directed, F.col("node") == F.col("u")).select(F.col("v").alias("to"), "u", (F.col("x") + F.col("dx")).alias("nx"), (F.col("y") + F.col("dy")).alias("ny"))
         near = near.groupBy("to").agg(F.min(F.struct("u", "nx", "ny")).alias("s")).select(F.col("to").alias("node"), F.col("s.nx").alias("x"), F.col("s.ny").alias("y"))
-        frontier = checkpoint(near.join(placed, "node", "left_anti"))
+        frontier = checkpoint(near.join(found, "node", "left_anti"))
         if frontier.isEmpty():
             break
-        placed = checkpoint(placed.unionByName(frontier))
-    at = placed.join(parts, "node")
+        found = checkpoint(found.unionByName(frontier))
+    at = found.join(parts, "node")
     low = at.groupBy("component").agg(F.min("x").alias("lx"), F.min("y").alias("ly"))
     return at.join(low, "component").select("node", "component", (F.col("x") - F.col("lx")).alias("tx"), (F.col("y") - F.col("ly")).alias("ty"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..kernels import elastic, masks, register, resample
-from ..operators import graph, islands, progress
+from ..operators import graph, islands, progress, tilemaps
 from ..sources import configs, store, tiles
 
 SLICE = "stack string, z int, h int, w int, px binary, mask binary, score double"
@@ -44,18 +44,24 @@ def stacks(catalogue: DataFrame) -> DataFrame:
     return out.select("island", name.alias("stack"), "z_start", "z_end", "members", (F.size("members") > 1).alias("combined"))
 
 
-def prepare(spark: SparkSession, main_dir: str, resolution: tuple[int, int], patterns: list[str], invert: dict[str, bool], output: str, kind: str = "tiles", thickness: int = 50, offset: tuple[int, int, int] = (0, 0, 0)) -> DataFrame:
+def prepare(spark: SparkSession, main_dir: str, resolution: tuple[int, int], patterns: list[str], invert: dict[str, bool], output: str, kind: str = "tiles", thickness: int = 50, offset: tuple[int, int, int] = (0, 0, 0), **matching) -> DataFrame:
     """Find tilesets, form stacks, write their documents under output/config; the stacks.
 
     invert says for each tileset whether its tiles are inverted; one without an
-    entry is an error.
+    entry is an error. Tilesets of a combined stack are put on one grid by their
+    images, matching has the parameters for that (see combine()).
     """
     sets = tiles.tilesets(spark, main_dir, resolution, patterns, kind).select("tileset").distinct()
     found = tiles.catalogue(spark, main_dir, kind).join(sets, "tileset", "left_semi")
     flags = spark.createDataFrame(sorted(invert.items()), "tileset string, invert boolean")
     found = found.join(F.broadcast(flags), "tileset", "left").withColumn("invert", F.coalesce("invert", F.raise_error(F.concat(F.lit("no invert flag for "), "tileset")).cast("boolean")))
     s = stacks(found)
-    own = found.join(s.select("stack", "z_start", "z_end", F.explode("members").alias("tileset")), "tileset").where("z between z_start and z_end")
+    named = s.select("stack", "combined", "z_start", "z_end", F.explode("members").alias("tileset"))
+    own = found.join(named, "tileset").where("z between z_start and z_end")
+    if not s.where("combined").isEmpty():
+        own = graph.checkpoint(own.where("not combined").unionByName(combine(own.where("combined"), **matching)))
+        s = own.groupBy("stack").agg(F.min("z_start").alias("z_start"), F.max("z_end").alias("z_end"), F.array_sort(F.collect_set("tileset")).alias("members"), F.first("combined").alias("combined"))
+        s = s.select(F.split("stack", "_")[0].cast("long").alias("island"), "stack", "z_start", "z_end", "members", "combined")
     key = F.format_string("(%d, %d)", "tx", "ty")
     by_slice = own.groupBy("stack", "z_start", "z_end", "z").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key.alias("k"), "path")))).alias("tiles"), F.map_from_entries(F.array_distinct(F.collect_list(F.struct(key.alias("k"), "invert")))).alias("inverts"))
     docs = by_slice.groupBy("stack", "z_start", "z_end").agg(F.map_from_entries(F.collect_list(F.struct(F.col("z").cast("string"), "tiles"))).alias("tile_maps"), F.first("inverts").alias("tile_maps_invert"))
@@ -66,6 +72,37 @@ def prepare(spark: SparkSession, main_dir: str, resolution: tuple[int, int], pat
     return s
 
 
+def combine(own: DataFrame, scheme: dict | None = None, **options) -> DataFrame:
+    """Tiles of combined stacks (stack, tileset, z_start, z, tx, ty, path, invert, combined, ...) on the grid that their images show.
+
+    The first slice of a stack decides, its tiles processed by scheme; for
+    options see ``tilemaps.grids``. Tilesets whose tiles match are one stack, by
+    the names of all of them; one that matches no other is a stack of its own.
+    """
+    spark = own.sparkSession
+    first = own.where("z = z_start")
+    # The files of one slice of each combined stack, fewer than Spark's own listing holds.
+    paths = [r.path for r in first.select("path").distinct().collect()]
+    content = spark.read.format("binaryFile").load(paths).select("path", "content")
+    node = F.format_string("%s/%s/%d-%d", "stack", "tileset", "tx", "ty").alias("node")
+    files = first.select(F.col("stack").alias("grp"), "tileset", "tx", "ty", "invert", "path", node).join(content, "path")
+    loaded = graph.checkpoint(tiles.load(files, scheme))
+    found = graph.checkpoint(tilemaps.grids(loaded, **options))
+    names_of = found.groupBy("grp", "component").agg(F.array_sort(F.collect_set("tileset")).alias("members"))
+    moved = own.join(found.withColumnRenamed("grp", "stack"), ["stack", "tileset"])
+    moved = moved.join(names_of.withColumnRenamed("grp", "stack"), ["stack", "component"])
+    moved = moved.withColumns({"tx": F.col("tx") + F.col("ox"), "ty": F.col("ty") + F.col("oy")})
+    low = moved.groupBy("stack", "component").agg(F.min("tx").alias("lx"), F.min("ty").alias("ly"))
+    name = F.concat_ws("_", F.split("stack", "_")[0], F.array_join("members", "_"))
+    return moved.join(low, ["stack", "component"]).select(
+        *[c for c in own.columns if c not in ("stack", "tx", "ty", "combined")],
+        name.alias("stack"),
+        (F.col("tx") - F.col("lx")).cast("int").alias("tx"),
+        (F.col("ty") - F.col("ly")).cast("int").alias("ty"),
+        (F.size("members") > 1).alias("combined"),
+    )
+
+
 def geometry_of(spark: SparkSession, output: str) -> dict:
     """Attributes of the stores below output, from the main document: offset in voxels and in nanometres, and resolution, in order z, y, x."""
     found = store.exists(spark, f"{output}/config/main") and spark.read.schema(configs.MAIN).json(f"{output}/config/main").first()
