@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry
 from ..kernels import register, resample
 from . import islands
 
@@ -173,6 +174,16 @@ def rescale(images: DataFrame, ratio: str) -> DataFrame:
     return images.mapInPandas(run, f"{kinds}, h int, w int, px binary")
 
 
+def at_resolution(images: DataFrame, target: float) -> DataFrame:
+    """images (resolution, h, w, px, ...) scaled to the target resolution, which is theirs from now on.
+
+    Resolutions are pixel sizes: an image of finer pixels than the target's is
+    an error, as scaling it would lose some.
+    """
+    ratio = geometry.scale_ratio(F.col("resolution"), F.lit(float(target)), 1.0)
+    return rescale(images.withColumn("__ratio", ratio), "__ratio").drop("__ratio").withColumn("resolution", F.lit(float(target)))
+
+
 def quality(images: DataFrame, score: Callable[[np.ndarray, np.ndarray | None], float]) -> DataFrame:
     """(z, quality) by a function of the caller's: the slice that scores higher goes on top."""
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..kernels import elastic, register, resample
-from ..operators import graph, islands, progress
+from ..operators import graph, islands, progress, registration
 from ..sources import configs, store
 
 ALIGNED = "dataset string, z int, h int, w int, px binary, mask binary, reference int, matches int, robust boolean, energy double, steps int, gy int, gx int, mesh binary"
@@ -55,7 +55,9 @@ def membership_edges(datasets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def plan(spark: SparkSession, datasets: DataFrame, matched: DataFrame | None = None) -> dict:
-    """Root, paths, directions and bounds for datasets (name, z0, z1): a document that holds a name for each dataset.
+    """Root, paths, directions and bounds for datasets (name, z0, z1[, resolution]): a document that holds a name for each dataset.
+
+    The target resolution is that of the finest pixels, null where none is known.
 
     matched (u, v), if given, keeps only links whose images were found to match.
     Datasets that can't be reached from the root are an error.
@@ -78,8 +80,9 @@ def plan(spark: SparkSession, datasets: DataFrame, matched: DataFrame | None = N
     bounds = {r.name: [r.lo, r.hi] for r in groups.select(F.explode("members").alias("name"), "z0", "z1").groupBy("name").agg(F.min("z0").alias("lo"), (F.max("z1") + 1).alias("hi")).collect()}
     low = {r.name: r.z0 for r in numbered.collect()}
     paths = [[names[n] for n in r.path] for r in found] or [[root.root]]
+    target = datasets.agg(F.min("resolution")).first()[0] if "resolution" in datasets.columns else None
     return store.stamped({
-        "root_stack": root.root, "paths": paths, "reverse_order": [low[p[0]] > low[p[-1]] for p in paths], "root_offset": [0, 0], "pad_offset": [0, 0],
+        "root_stack": root.root, "paths": paths, "reverse_order": [low[p[0]] > low[p[-1]] for p in paths], "root_offset": [0, 0], "pad_offset": [0, 0], "yx_target_resolution": target and [target, target],
         "dataset_local_bounds": {k: [a - low[k], b - low[k]] for k, (a, b) in bounds.items()},
     })
 
@@ -217,12 +220,17 @@ def schedule(plan: dict) -> list[list[tuple[str, str | None, bool]]]:
 def run_plan(spark: SparkSession, images: DataFrame, plan: dict, output: str, p: Align = Align()) -> DataFrame:
     """Align all datasets of a plan, each continued from the one before it on its path; the log.
 
-    images: (dataset, z, h, w, px) with z in the volume. Datasets of a round are
+    images: (dataset, z, h, w, px[, resolution]) with z in the volume; if the plan
+    has a target resolution, they are scaled to it. The store is flagged as
+    aligned once all rounds are written and logged. Datasets of a round are
     aligned at once. A dataset walked upward is continued from the highest slice
     of the other that lies below its own first one (or its lowest), one walked
     downward the other way round.
     """
-    log = progress.read(spark, f"{output}/progress")
+    log, target = progress.read(spark, f"{output}/progress"), plan.get("yx_target_resolution")
+    if target:
+        images = registration.at_resolution(images, target[-1]).drop("resolution")
+        store.write_attributes(spark, output, {"resolution": target})
     for entries in schedule(plan):
         table = spark.createDataFrame(entries, "dataset string, before string, reverse boolean")
         own = images.join(F.broadcast(table), "dataset")  # a row for each dataset of a plan
@@ -233,15 +241,17 @@ def run_plan(spark: SparkSession, images: DataFrame, plan: dict, output: str, p:
         ahead = F.when(F.col("reverse"), F.col("z") >= F.col("hi")).otherwise(F.col("z") <= F.col("lo"))
         gap = F.abs(F.col("z") - F.when(F.col("reverse"), F.col("hi")).otherwise(F.col("lo")))
         first = near.groupBy("dataset").agg(F.min_by(F.struct("h", "w", "px", "gy", "gx", "mesh"), F.struct(~ahead, gap)).alias("s")).select("dataset", "s.*")
-        log = run(spark, own.drop("before"), output, p, first=first)
+        log = run(spark, own.drop("before"), output, p, first=first, last=False)
+    store.write_attributes(spark, output, {"z_aligned": True})
     return log
 
 
-def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(), reverse: bool = False, first: DataFrame | None = None) -> DataFrame:
+def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(), reverse: bool = False, first: DataFrame | None = None, last: bool = True) -> DataFrame:
     """Align what the log hasn't got yet, write it and log it; the log.
 
     first gives the slice that a dataset without any aligned one is continued
-    from.
+    from. The store is flagged as aligned after the log has all of it, unless
+    this isn't the last run on it; while slices are missing, it isn't flagged.
 
     A dataset is taken up from its last aligned slice; parameters other than
     those of the first run are an error, as the results would not fit together.
@@ -256,22 +266,26 @@ def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(),
     done = log.where("step_name = 'align'").select(F.col("collection").alias("dataset"), F.col("local_slice").alias("z")).distinct()
     unlogged = progress.pending(images, done, ["dataset", "z"])
     if unlogged.isEmpty():
+        if last and not had.get("z_aligned"):
+            store.write_attributes(spark, output, {"z_aligned": True})
         return log
+    store.write_attributes(spark, output, {"parameters": key, "z_aligned": False})
     old = store.read(spark, f"{output}/aligned", ALIGNED, missing_ok=True)
     rest = progress.pending(unlogged, old.select("dataset", "z").distinct(), ["dataset", "z"])
     if not rest.isEmpty():
         against = F.col("reverse") if "reverse" in images.columns else F.lit(reverse)
         turned = images.groupBy("dataset").agg(F.first(against).alias("reverse"))
         mine = old.join(turned, "dataset")
-        last = mine.groupBy("dataset").agg(F.max_by(F.struct("h", "w", "px", "gy", "gx", "mesh"), F.when(F.col("reverse"), -F.col("z")).otherwise(F.col("z"))).alias("s")).select("dataset", "s.*")
+        latest = mine.groupBy("dataset").agg(F.max_by(F.struct("h", "w", "px", "gy", "gx", "mesh"), F.when(F.col("reverse"), -F.col("z")).otherwise(F.col("z"))).alias("s")).select("dataset", "s.*")
         if first is not None:
-            last = last.unionByName(first.join(last, "dataset", "left_anti"))
-        align(rest, p, reverse, last).write.mode("append").partitionBy("dataset").parquet(f"{output}/aligned")
-    store.write_attributes(spark, output, {"parameters": key, "z_aligned": True})
+            latest = latest.unionByName(first.join(latest, "dataset", "left_anti"))
+        align(rest, p, reverse, latest).write.mode("append").partitionBy("dataset").parquet(f"{output}/aligned")
     written = spark.read.schema(ALIGNED).parquet(f"{output}/aligned").select("dataset", "z", "matches", "robust")
     log_rows = unlogged.select("dataset", "z").join(written, ["dataset", "z"], "left")
     meta = F.to_json(F.struct("matches", "robust"))
     progress.append(log_rows.select(F.col("dataset").alias("collection"), F.lit("align").alias("step_name"), F.col("z").alias("global_slice"), F.col("z").alias("local_slice"), F.current_timestamp().alias("ts"), meta.alias("metadata")), f"{output}/progress")
+    if last:
+        store.write_attributes(spark, output, {"z_aligned": True})
     return progress.read(spark, f"{output}/progress")
 
 

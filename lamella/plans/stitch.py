@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..kernels import elastic, masks, register, resample
-from ..operators import graph, islands, progress, tilemaps
+from ..operators import graph, islands, progress, registration, tilemaps
 from ..sources import configs, store, tiles
 
 SLICE = "stack string, z int, h int, w int, px binary, mask binary, score double"
@@ -162,8 +162,11 @@ def stitch(tile_images: DataFrame, p: Stitch = Stitch()) -> DataFrame:
     return tile_images.select("stack", "z", "tx", "ty", "h", "w", "px").groupBy("stack", "z").applyInPandas(run, SLICE)
 
 
-def run(spark: SparkSession, output: str, p: Stitch = Stitch(), start_over: bool = False) -> None:
-    """Stitch the slices of all prepared stacks that the log doesn't have yet, into a store for each stack."""
+def run(spark: SparkSession, output: str, p: Stitch = Stitch(), start_over: bool = False, inspect: int = 0) -> None:
+    """Stitch the slices of all prepared stacks that the log doesn't have yet, into a store for each stack.
+
+    inspect, if not 0, is the factor of a reduced copy beside each store.
+    """
     docs = spark.read.schema("stack string, " + configs.STACK).json(f"{output}/config/stacks").withColumn("_file", F.col("stack"))
     log_path = f"{output}/progress"
     log = progress.read(spark, log_path)
@@ -184,6 +187,8 @@ def run(spark: SparkSession, output: str, p: Stitch = Stitch(), start_over: bool
         own = written.where(F.col("stack") == name)
         store.write_chunks(store.cut(own), f"{output}/{name}", "r+")
         store.write_attributes(spark, f"{output}/{name}", attributes)
+        if inspect:
+            store.write_pyramid(spark, f"{output}/{name}", inspect)
     log_rows = written.select(F.col("stack"), F.col("z").alias("global_slice"), F.col("z").alias("local_slice"), "score")
     entry = log_rows.select(F.col("stack").alias("collection"), F.lit("stitch").alias("step_name"), "global_slice", "local_slice", F.current_timestamp().alias("ts"), F.to_json(F.struct("score")).alias("metadata"))
     progress.append(entry, log_path)
@@ -217,8 +222,11 @@ def fuse_configs(spans: DataFrame, groups: DataFrame) -> DataFrame:
     return found.select("component", F.transform("r", lambda x: x["path"]).alias("dataset_paths"), F.transform("r", lambda x: x["z_start"]).alias("z_offsets"), "zmin", "zmax")
 
 
-def fuse(images: DataFrame, quality=None, seams: elastic.Seams = elastic.Seams(), mesh: register.Mesh | None = register.Mesh()) -> DataFrame:
-    """(z, h, w, px, mask) of one canvas from overlapping slices (stack, z, h, w, px, mask).
+def fuse(images: DataFrame, quality=None, seams: elastic.Seams = elastic.Seams(), mesh: register.Mesh | None = register.Mesh(), target: float | None = None) -> DataFrame:
+    """(z, h, w, px, mask) of one canvas from overlapping slices (stack, z, h, w, px, mask[, resolution]).
+
+    With a target resolution, slices are scaled to it first; their masks must
+    then be null, which is where pixels are 0.
 
     In each z the stacks are taken one after the other: each is aligned to the
     canvas so far by a similarity, deformed where both have pixels (unless mesh
@@ -226,6 +234,8 @@ def fuse(images: DataFrame, quality=None, seams: elastic.Seams = elastic.Seams()
     each other; a task holds those of one z.
     """
     quality = quality or (lambda image, mask: masks.sharpness(image, mask)["quality"])
+    if target is not None:
+        images = registration.at_resolution(images, target)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         canvas = mask = None
