@@ -6,7 +6,9 @@ parsing stay in one scan; file contents are pruned from a listing.
 
 from __future__ import annotations
 
+import io
 import struct
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -19,6 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import names
 from ..kernels import masks, resample
+from . import tiff
 
 IMAGE = "path string, h int, w int, px binary"
 
@@ -66,78 +69,47 @@ def tilesets(spark: SparkSession, folder: str, resolution: tuple[int, int], patt
 
 
 def decode(content: bytes) -> np.ndarray:
-    """A grey image from an uncompressed baseline TIFF (8 or 16 bits, strips) or an NPY array; 16 bits are cut to 8."""
+    """A grey image from a TIFF (see ``tiff``) or an NPY array; 16 bits are cut to 8."""
     if content[:6] == b"\x93NUMPY":
-        import io
-
         out = np.load(io.BytesIO(content), allow_pickle=False)
     else:
-        out = _tiff(content)
+        out = tiff.read(content)
     return (out >> 8).astype(np.uint8) if out.dtype == np.uint16 else out.astype(np.uint8)
 
 
-# Fixed values of the TIFF format: tags, and bytes and codes of field types.
-_WIDTH, _HEIGHT, _BITS, _PACKED, _STRIPS, _SAMPLES, _SIZES = 256, 257, 258, 259, 273, 277, 279
-_FIELDS = {1: (1, "B"), 3: (2, "H"), 4: (4, "I")}
-
-
-def _tiff(content: bytes) -> np.ndarray:
-    order = {b"II": "<", b"MM": ">"}.get(content[:2])
-    if not order or struct.unpack(order + "H", content[2:4])[0] != 42:
-        raise ValueError("neither TIFF nor NPY")
-    at = struct.unpack(order + "I", content[4:8])[0]
-    tags = {}
-    for k in range(struct.unpack_from(order + "H", content, at)[0]):
-        place = at + 2 + 12 * k
-        tag, kind, n = struct.unpack_from(order + "HHI", content, place)
-        if kind in _FIELDS:
-            size, code = _FIELDS[kind]
-            start = place + 8 if n * size <= 4 else struct.unpack_from(order + "I", content, place + 8)[0]
-            tags[tag] = struct.unpack_from(order + code * n, content, start)
-    if tags.get(_PACKED, (1,))[0] != 1 or tags.get(_SAMPLES, (1,))[0] != 1:
-        raise ValueError("only uncompressed grey images can be read")
-    bits = tags.get(_BITS, (1,))[0]
-    if bits not in (8, 16):
-        raise ValueError(f"{bits} bits a sample can't be read")
-    data = b"".join(content[a : a + n] for a, n in zip(tags[_STRIPS], tags[_SIZES], strict=True))
-    kind = np.uint8 if bits == 8 else np.dtype(order + "u2")
-    return np.frombuffer(data, kind).reshape(tags[_HEIGHT][0], tags[_WIDTH][0]).astype(np.uint8 if bits == 8 else np.uint16)
-
-
 def encode(image: np.ndarray) -> bytes:
     """A baseline TIFF of one strip."""
-    h, w = image.shape
-    fields = [(_WIDTH, 4, w), (_HEIGHT, 4, h), (_BITS, 3, 8), (_PACKED, 3, 1), (262, 3, 1), (_STRIPS, 4, 8), (_SAMPLES, 3, 1), (278, 4, h), (_SIZES, 4, h * w)]
-    data = image.astype(np.uint8).tobytes()
-    data += b"\0" * (len(data) % 2)
-    head = struct.pack("<2sHI", b"II", 42, 8 + len(data)) + data + struct.pack("<H", len(fields))
-    return head + b"".join(struct.pack("<HHII", t, k, 1, v) for t, k, v in sorted(fields)) + struct.pack("<I", 0)
+    return tiff.write(image.astype(np.uint8))
 
 
-def load(files: DataFrame, scheme: dict[str, dict] | None = None, scale: float = 1.0) -> DataFrame:
+def load(files: DataFrame, scheme: dict[str, dict] | None = None, scale: float = 1.0, background: int | None = None) -> DataFrame:
     """files (path, content, ...) with h, w, px decoded, processed by scheme and scaled; null where a file can't be read.
 
     A column `invert` (boolean), if there, says which tiles are inverted first.
+    With a background value, a column mask tells the specimen from what is no
+    brighter than that, in the shape of px (see ``masks.foreground``).
     """
-    scheme = scheme or {}
+    scheme, mask = scheme or {}, background is not None
     others = [c for c in files.columns if c != "content"]
-    schema = StructType([*files.select(*others).schema.fields, StructField("h", IntegerType()), StructField("w", IntegerType()), StructField("px", BinaryType())])
+    schema = StructType([*files.select(*others).schema.fields, StructField("h", IntegerType()), StructField("w", IntegerType()), StructField("px", BinaryType()), *[StructField("mask", BinaryType())] * mask])
+    names_of = ["h", "w", "px", *["mask"] * mask]
 
     def one(content: bytes | None, invert: bool) -> tuple:
         try:
             image = decode(content) if content is not None else None
-        except (ValueError, KeyError, struct.error):
+        except (ValueError, KeyError, struct.error, zlib.error):
             image = None
         if image is None:
-            return None, None, None
+            return (None,) * len(names_of)
         image = masks.process(image, ({"invert": {}} if invert else {}) | scheme)
+        have = [resample.resample(masks.foreground(image, background), scale).tobytes()] if mask else []
         image = resample.resample(image, scale)
-        return (*image.shape, image.tobytes())
+        return (*image.shape, image.tobytes(), *have)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             invert = batch["invert"].fillna(False).astype(bool) if "invert" in batch else [False] * len(batch)
-            got = pd.DataFrame([one(c, i) for c, i in zip(batch["content"], invert, strict=True)], columns=["h", "w", "px"], dtype=object)
+            got = pd.DataFrame([one(c, i) for c, i in zip(batch["content"], invert, strict=True)], columns=names_of, dtype=object)
             yield pd.concat([batch[others].reset_index(drop=True), got.astype({"h": "Int64", "w": "Int64"})], axis=1)
 
     return files.mapInPandas(run, schema)
