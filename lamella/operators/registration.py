@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry
@@ -38,9 +38,14 @@ def image(h: int, w: int, px: bytes) -> np.ndarray:
     return np.frombuffer(px, np.uint8).reshape(h, w)
 
 
+def has_content(px: Column) -> Column:
+    """Whether an image has a pixel that isn't 0."""
+    return F.length(F.trim(px.cast("string"), F.lit("\0"))) > 0
+
+
 def pairs(images: DataFrame) -> DataFrame:
     """Each slice with the slice before it that has content: columns of both, the reference's with prefix r."""
-    filled = images.select("z", (F.length(F.regexp_replace(F.hex("px"), "0", "")) > 0).alias("any"))
+    filled = images.select("z", has_content(F.col("px")).alias("any"))
     ref = islands.last_valid(filled, "z", F.col("any")).where("any and reference is not null").select("z", "reference")  # one row for a slice
     r = images.select(F.col("z").alias("reference"), F.col("h").alias("rh"), F.col("w").alias("rw"), F.col("px").alias("rpx"))
     return images.join(ref, "z").join(r, "reference")

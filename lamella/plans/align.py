@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..kernels import elastic, register, resample
-from ..operators import graph, islands, progress, registration
+from ..operators import graph, islands, progress, registration, worktiles
 from ..sources import configs, store
 
 ALIGNED = "dataset string, z int, h int, w int, px binary, mask binary, reference int, matches int, robust boolean, energy double, steps int, gy int, gx int, mesh binary"
@@ -289,6 +289,37 @@ def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(),
     return progress.read(spark, f"{output}/progress")
 
 
+def run_large(spark: SparkSession, source: str, output: str, p: Align = Align(affine=False), size: int = 1024) -> None:
+    """Align the slices of one store into another, each by many tasks: for slices that no task can hold.
+
+    Slices are one after the other, as each follows the one before that has
+    content; within a slice, flow and warp go by work tiles of size x size pixels
+    and only the mesh is one task's. They must lie within half a patch of each
+    other already, as there is no similarity and one scale. What output has is
+    not done again, so a run that broke off is taken up where it ended.
+    """
+    if p.affine:
+        raise ValueError("large slices are aligned without a similarity")
+    chunks = store.open_chunks(spark, source)
+    done = store.open_chunks(spark, output, missing_ok=True).select("z").distinct()
+    clean = {"min_ratio": p.min_ratio, "min_sharp": p.min_sharp, "max_size": p.max_size, "max_deviation": p.max_deviation}
+    have = [r.z for r in done.orderBy("z").collect()]  # a number for each slice
+    before = have[-1] if have else None
+    for r in chunks.select("z").distinct().join(done, "z", "left_anti").orderBy("z").collect():
+        own = chunks.where(F.col("z") == r.z)
+        if r.z in p.ignore or own.where(registration.has_content(F.col("px"))).isEmpty():
+            continue
+        if before is None:
+            new = worktiles.warp(own, spark.createDataFrame([], "z int, gy int, gx int, dx double, dy double"), p.stride, size)
+        else:
+            reference = store.open_chunks(spark, output).where(F.col("z") == before).withColumn("z", F.lit(r.z))
+            field = worktiles.flow(reference, own, p.patch, p.stride, p.patch // 2 if p.most is None else p.most, size)
+            mesh = graph.checkpoint(worktiles.trusted(field, p.mesh, clean, p.min_patch))
+            new = worktiles.warp(own, mesh, p.stride, size, p.patch / 2)
+        store.write_chunks(graph.checkpoint(new), output, "r+")
+        before = r.z
+
+
 def is_done(spark: SparkSession, output: str, images: DataFrame | None = None) -> bool:
     """Whether a store is flagged as aligned and, if images are given, the log has all of their slices."""
     if not store.read_attributes(spark, output).get("z_aligned"):
