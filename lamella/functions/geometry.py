@@ -86,6 +86,13 @@ def affine(x: Column, y: Column, m: tuple[float, ...]) -> tuple[Column, Column]:
     return a * x + b * y + tx, c * x + d * y + ty
 
 
+def moved_by_slice(points: DataFrame, transforms: DataFrame, at: str = "z") -> DataFrame:
+    """points (at, x, ...) moved along x by the transform (at, a, tx) of their slice, with ``identity`` where it has none and they stay."""
+    found = points.join(transforms.select(at, "a", "tx"), at, "left")
+    x = F.coalesce("a", F.lit(1.0)) * F.col("x") + F.coalesce("tx", F.lit(0.0))
+    return found.withColumns({"x": x, "identity": F.col("a").isNull()}).drop("a", "tx")
+
+
 def scaled(m: Column, ratio: Column) -> Column:
     """A transform struct (a, b, tx, c, d, ty) for an image scaled by ratio."""
     return F.struct(m["a"].alias("a"), m["b"].alias("b"), (m["tx"] * ratio).alias("tx"), m["c"].alias("c"), m["d"].alias("d"), (m["ty"] * ratio).alias("ty"))

@@ -72,7 +72,29 @@ def last_valid(df: DataFrame, order: str, valid: Column, by: list[str] | None =
 
 def fill_missing(df: DataFrame, order: str, value: str, by: list[str]) -> DataFrame:
     """df with value taken from the row before, else the row after, where it is null; `filled_from` says which."""
-    w = Window.partitionBy(*by).orderBy(order)
-    before, after = F.lag(value).over(w), F.lead(value).over(w)
+    before, after = beside(order, value, by)
     origin = F.when(F.col(value).isNotNull(), "own").when(before.isNotNull(), "previous").when(after.isNotNull(), "next")
     return df.select(*[c for c in df.columns if c != value], F.coalesce(F.col(value), before, after).alias(value), origin.alias("filled_from"))
+
+
+def beside(order: str, value: str, by: list[str]) -> tuple[Column, Column]:
+    """The value of the row before and of the row after, null at the ends."""
+    w = Window.partitionBy(*by).orderBy(order)
+    return F.lag(value).over(w), F.lead(value).over(w)
+
+
+def ordered(df: DataFrame, by: list[str], offset: Column, name: str, place: str = "place") -> DataFrame:
+    """df with each dataset's place (from 1) in its group: by its offset along z, then by name."""
+    return df.withColumn(place, F.row_number().over(Window.partitionBy(*by).orderBy(offset, name)))
+
+
+def first_of(df: DataFrame, by: list[str], fits: Column, at: str, value: str, order: Column) -> DataFrame:
+    """(by, first, value) of the rows that fit: the least ``at``, and the value of the row that comes first by the order."""
+    return df.where(fits).groupBy(*by).agg(F.min(at).alias("first"), F.min_by(value, order).alias(value))
+
+
+def clipped(df: DataFrame, by: list[str], at: str, reach: int) -> DataFrame:
+    """df with [lo, hi): the window around each row's place, clipped to what its group covers."""
+    ends = df.groupBy(*by).agg(F.min(at).alias("__lo"), (F.max(at) + 1).alias("__hi"))
+    found = df.join(ends, by).withColumns({"lo": F.greatest(F.col(at) - reach, "__lo"), "hi": F.least(F.col(at) + reach, "__hi")})
+    return found.drop("__lo", "__hi")

@@ -8,6 +8,8 @@ joins and reports. An absent pixel and a pixel of value 0 are background.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,3 +115,26 @@ def neighbours(rows: DataFrame) -> DataFrame:
     w = Window.partitionBy("z").orderBy("y")
     up, down = F.lag("px").over(w), F.lead("px").over(w)
     return rows.select("z", "y", "px", F.coalesce(up, down, "px").alias("up"), F.coalesce(down, up, "px").alias("down"))
+
+
+def with_mask(images: DataFrame, masks: DataFrame) -> DataFrame:
+    """Lines of images (z, y, px) with those of their masks (z, y, mask); a line without a mask has none, which counts as true everywhere."""
+    return images.join(masks.select("z", "y", "mask"), ["z", "y"], "left")
+
+
+def masked(lines: DataFrame) -> DataFrame:
+    """Lines of with_mask() with only the pixels whose mask is true."""
+    inside = F.transform(F.filter(F.arrays_zip("px", "mask"), lambda p: p["mask"]), lambda p: p["px"])
+    return lines.withColumn("px", F.when(F.col("mask").isNull(), F.col("px")).otherwise(inside))
+
+
+def holds(test: Callable[[Column], Column], name: str) -> list[Column]:
+    """Aggregates over a slice's lines: whether test is true of any pixel (any_name), and of all (all_name)."""
+    return [F.bool_or(F.exists("px", test)).alias(f"any_{name}"), F.bool_and(F.forall("px", test)).alias(f"all_{name}")]
+
+
+def transposed(rows: DataFrame) -> DataFrame:
+    """Slices with lines and columns exchanged; a slice is one row meanwhile, as an array of arrays."""
+    lines = rows.groupBy("z").agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "px"))), lambda r: r["px"]).alias("lines"))
+    turned = F.transform(F.sequence(F.lit(0), F.size(F.get("lines", F.lit(0))) - 1), lambda x: F.transform("lines", lambda line: F.get(line, x)))
+    return lines.select("z", F.posexplode(turned).alias("y", "px"))

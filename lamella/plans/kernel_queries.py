@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 
 from ..kernels import masks, register, resample
 from ..operators import registration as reg
+from ..operators import volume
 from .image_queries import LAP, SOBEL, rows
 from .registry import Tables, query
 
 
-def smooth_field(t: Tables, size: int = 16) -> DataFrame:
-    """A small smooth field for each slice."""
-    spark = rows(t).sparkSession
-    z = rows(t).select("z").distinct()
-    grid = spark.range(size * size).select(F.expr(f"cast(id div {size} as int)").alias("gy"), F.expr(f"cast(id % {size} as int)").alias("gx"))
-    wave = lambda c, k: F.sin(F.col(c) * 6.283185307179586 / size + F.col("z") * k)
-    return z.crossJoin(F.broadcast(grid)).select("z", "gy", "gx", wave("gy", 1).alias("dx"), wave("gx", 2).alias("dy"))  # size * size rows
+def smooth_field(t: Tables, step: int = 4) -> DataFrame:
+    """A smooth field for each slice, a node for each square of pixels: how bright it is, and how bright the square opposite is."""
+    node = lambda c: F.floor(F.col(c) / step).cast("int")
+    light = volume.pixels(rows(t)).groupBy("z", node("y").alias("gy"), node("x").alias("gx")).agg(((F.avg("v") - 127) / 32).alias("dx"))
+    other = light.select("z", F.col("gy").alias("gx"), F.col("gx").alias("gy"), F.col("dx").alias("dy"))
+    return light.join(other, ["z", "gy", "gx"], "left").withColumn("dy", F.coalesce("dy", F.lit(0.0)))
 
 
 def slices(t: Tables) -> DataFrame:

@@ -54,7 +54,7 @@ def prepare(spark: SparkSession, main_dir: str, resolution: tuple[int, int], pat
     sets = tiles.tilesets(spark, main_dir, resolution, patterns, kind).select("tileset").distinct()
     found = tiles.catalogue(spark, main_dir, kind).join(sets, "tileset", "left_semi")
     flags = spark.createDataFrame(sorted(invert.items()), "tileset string, invert boolean")
-    found = found.join(F.broadcast(flags), "tileset", "left").withColumn("invert", F.coalesce("invert", F.raise_error(F.concat(F.lit("no invert flag for "), "tileset")).cast("boolean")))
+    found = tiles.with_invert(found, F.broadcast(flags), "tileset")
     s = stacks(found)
     named = s.select("stack", "combined", "z_start", "z_end", F.explode("members").alias("tileset"))
     own = found.join(named, "tileset").where("z between z_start and z_end")

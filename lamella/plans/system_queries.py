@@ -152,18 +152,19 @@ def backend_names(t: Tables) -> DataFrame:
 
 @query("SELECT p_partkey, '1.0' AS version, true AS created, p_size AS stride FROM part")
 def config_stamp(t: Tables) -> DataFrame:
-    """Documents with a version and the time of their making in ISO form."""
-    stamp = json.dumps(store.stamped({}))
-    doc = F.from_json(F.lit(stamp), "_config_version string, _created_at string")
-    now = F.to_timestamp(doc["_created_at"])
-    return t("part").select("p_partkey", doc["_config_version"].alias("version"), (now <= F.current_timestamp()).alias("created"), F.col("p_size").alias("stride"))
+    """Documents of a table with the form's version and the time of their making."""
+    p = configs.stamped(t("part").select("p_partkey", F.col("p_size").alias("stride")))
+    made = F.to_timestamp("_created_at").between(F.current_timestamp() - F.expr("interval 1 hour"), F.current_timestamp())
+    return p.select("p_partkey", F.col("_config_version").alias("version"), made.alias("created"), "stride")
 
 
-@query("SELECT p_partkey, list_filter(['most', 'patch', 'stride'], lambda k: k <> 'patch' OR p_size % 2 = 0) AS kept FROM part")
+@query("SELECT p_partkey, concat('most=', p_size + 8, CASE WHEN p_size % 2 = 0 THEN ',patch=' || p_size * 2 ELSE '' END, ',stride=', p_size) AS kept FROM part")
 def accepted_fields(t: Tables) -> DataFrame:
-    """Of a document's parameters those that a function takes."""
-    given = F.map_filter(F.create_map(*[F.lit(x) for x in ("stride", "16", "patch", "32", "project", "x", "most", "8", "threads", "4")]), lambda k, v: (k != "patch") | (F.col("p_size") % 2 == 0))
-    return t("part").select("p_partkey", F.array_sort(F.map_keys(configs.accepted(given, register.flow))).alias("kept"))
+    """Of each document's parameters those that a function takes, with their values."""
+    size = F.col("p_size")
+    given = F.create_map(F.lit("stride"), size, F.lit("patch"), F.when(size % 2 == 0, size * 2), F.lit("project"), F.length("p_name"), F.lit("most"), size + 8, F.lit("threads"), F.lit(4))
+    kept = configs.accepted(F.map_filter(given, lambda _, v: v.isNotNull()), register.flow)
+    return t("part").select("p_partkey", F.array_join(F.transform(F.array_sort(F.map_entries(kept)), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("kept"))
 
 
 @query("SELECT l_orderkey, count(*) AS n, count(CASE WHEN l_linenumber % 4 > 1 THEN 1 END) AS valid, sum(CASE WHEN l_linenumber % 4 > 1 THEN l_quantity END) AS total, count(CASE WHEN l_linenumber % 4 > 1 THEN 1 END) = 0 AS none FROM lineitem GROUP BY 1")
@@ -177,11 +178,11 @@ def finite_flow(t: Tables) -> DataFrame:
 
 @query("WITH {V} SELECT a.z, count(*) FILTER (b.v > 127) AS n, coalesce(sum(a.v) FILTER (b.v > 127), 0)::BIGINT AS total FROM V a JOIN V b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x GROUP BY a.z")
 def image_with_mask(t: Tables) -> DataFrame:
-    """Images joined with the masks of another store, line by line: pixels are met inside the arrays."""
+    """Images with the masks of another store, line by line: what the mask leaves of each slice."""
     r = rows(t)
     mask = r.select((F.col("z") - 1).alias("z"), "y", F.transform("px", lambda v: v > 127).alias("mask"))
-    both = r.join(mask, ["z", "y"]).select("z", F.filter(F.arrays_zip("px", "mask"), lambda p: p["mask"]).alias("p"))
-    return both.groupBy("z").agg(F.sum(F.size("p")).cast("bigint").alias("n"), F.sum(F.aggregate("p", F.lit(0).cast("bigint"), lambda a, p: a + p["px"])).alias("total"))
+    both = volume.masked(volume.with_mask(r, mask).where("mask is not null"))
+    return both.groupBy("z").agg(F.sum(F.size("px")).cast("bigint").alias("n"), F.sum(F.aggregate("px", F.lit(0).cast("bigint"), lambda a, v: a + v)).alias("total"))
 
 
 @query("WITH M AS (SELECT n_nationkey AS z, 1.0 + n_nationkey / 8 AS a, n_nationkey * 2.0 AS tx FROM nation WHERE n_nationkey % 3 <> 0) SELECT s_suppkey, s_nationkey AS z, (coalesce(a, 1) * s_suppkey + coalesce(tx, 0))::DOUBLE AS x, a IS NULL AS identity FROM supplier LEFT JOIN M ON z = s_nationkey")
@@ -189,32 +190,30 @@ def transform_by_slice(t: Tables) -> DataFrame:
     """Points moved by the transform of their slice; a slice without one leaves them where they are."""
     k = F.col("n_nationkey")
     m = t("nation").where(k % 3 != 0).select(k.alias("z"), (1 + k / 8).alias("a"), (k * 2.0).alias("tx"))
-    p = t("supplier").select("s_suppkey", F.col("s_nationkey").alias("z")).join(m, "z", "left")
-    return p.select("s_suppkey", "z", (F.coalesce("a", F.lit(1.0)) * F.col("s_suppkey") + F.coalesce("tx", F.lit(0.0))).alias("x"), F.col("a").isNull().alias("identity"))
+    p = t("supplier").select("s_suppkey", F.col("s_nationkey").alias("z"), F.col("s_suppkey").alias("x"))
+    return geometry.moved_by_slice(p, m).select("s_suppkey", "z", "x", "identity")
 
 
 @query("SELECT c_custkey, c_nationkey % 2 = 0 AS invert, CASE WHEN c_nationkey % 2 = 0 THEN 255 - c_custkey % 256 ELSE c_custkey % 256 END AS v FROM customer")
 def invert_lookup(t: Tables) -> DataFrame:
     """Each tile with its set's instruction to invert; a set without one is an error."""
     flags = t("nation").select(F.col("n_nationkey").alias("c_nationkey"), (F.col("n_nationkey") % 2 == 0).alias("invert"))
-    found = t("customer").join(flags, "c_nationkey", "left")
-    invert = F.coalesce("invert", F.raise_error(F.concat(F.lit("no invert flag for "), F.col("c_nationkey").cast("string"))).cast("boolean"))
     v = F.col("c_custkey") % 256
-    return found.select("c_custkey", invert.alias("invert"), v.alias("v")).select("c_custkey", "invert", F.when(F.col("invert"), 255 - F.col("v")).otherwise(F.col("v")).alias("v"))
+    found = tiles.with_invert(t("customer"), flags, "c_nationkey").select("c_custkey", "invert", v.alias("v"))
+    return found.withColumn("v", F.when(F.col("invert"), 255 - F.col("v")).otherwise(F.col("v")))
 
 
 @query("WITH {V} SELECT z, bool_or(v > 175) AS any_bright, bool_and(v > 70) AS all_filled, bool_or(v = 0) AS any_empty FROM V GROUP BY z")
 def any_all(t: Tables) -> DataFrame:
-    r = rows(t).select("z", F.exists("px", lambda v: v > 175).alias("a"), F.forall("px", lambda v: v > 70).alias("b"), F.exists("px", lambda v: v == 0).alias("c"))
-    return r.groupBy("z").agg(F.bool_or("a").alias("any_bright"), F.bool_and("b").alias("all_filled"), F.bool_or("c").alias("any_empty"))
+    found = rows(t).groupBy("z").agg(*volume.holds(lambda v: v > 175, "bright"), *volume.holds(lambda v: v > 70, "filled"), *volume.holds(lambda v: v == 0, "empty"))
+    return found.select("z", "any_bright", "all_filled", "any_empty")
 
 
 @query("SELECT l_orderkey, l_linenumber, lag(l_linenumber) OVER w AS before, lead(l_linenumber) OVER w AS after FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)")
 def adjacent_slices(t: Tables) -> DataFrame:
     """The slices before and after each; none at the ends."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
-    s = t("lineitem").select("l_orderkey", "l_linenumber").distinct()
-    return s.withColumn("before", F.lag("l_linenumber").over(w)).withColumn("after", F.lead("l_linenumber").over(w))
+    before, after = islands.beside("l_linenumber", "l_linenumber", ["l_orderkey"])
+    return t("lineitem").select("l_orderkey", "l_linenumber").distinct().withColumns({"before": before, "after": after})
 
 
 @query(f"WITH {KNN}, G AS (SELECT *, q % 7 AS pass FROM K WHERE d1 < 0.97 * d2) SELECT q, t1, pass, row_number() OVER (PARTITION BY pass ORDER BY d1, q)::INT AS rank FROM G")
@@ -233,15 +232,16 @@ def worst_quarter(t: Tables) -> DataFrame:
 @query("SELECT n_name AS name, n_regionkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey * 7 % 5, n_name)::INT AS place FROM nation")
 def dataset_order(t: Tables) -> DataFrame:
     """Datasets by their offset along z, ties by name."""
-    w = Window.partitionBy("n_regionkey").orderBy(F.col("n_nationkey") * 7 % 5, "n_name")
-    return t("nation").select(F.col("n_name").alias("name"), "n_regionkey", F.row_number().over(w).alias("place"))
+    n = t("nation").select(F.col("n_name").alias("name"), "n_regionkey", (F.col("n_nationkey") * 7 % 5).alias("offset"))
+    return islands.ordered(n, ["n_regionkey"], F.col("offset"), "name").drop("offset")
 
 
 @query("SELECT l_suppkey, min(l_orderkey) AS first, arg_min(l_partkey, l_orderkey * 1000 + l_linenumber * 100000000 + l_partkey) AS part FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1")
 def first_match(t: Tables) -> DataFrame:
     """The first slice that fits, and the first match by a given order."""
     order = F.col("l_orderkey") * 1000 + F.col("l_linenumber") * 100000000 + F.col("l_partkey")
-    return t("lineitem").where("l_returnflag = 'R'").groupBy("l_suppkey").agg(F.min("l_orderkey").alias("first"), F.min_by("l_partkey", order).alias("part"))
+    found = islands.first_of(t("lineitem"), ["l_suppkey"], F.col("l_returnflag") == "R", "l_orderkey", "l_partkey", order)
+    return found.withColumnRenamed("l_partkey", "part")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN abs(l_quantity - 25) <= abs(l_suppkey % 60 - 30) THEN 'y' ELSE 'x' END AS axis, sign(l_quantity - 25)::INT AS side FROM lineitem")
@@ -274,17 +274,13 @@ def tile_keys(t: Tables) -> DataFrame:
 @query("SELECT o_custkey, o_orderkey, greatest(o_orderkey - 300, min(o_orderkey) OVER w) AS lo, least(o_orderkey + 300, max(o_orderkey) OVER w + 1) AS hi FROM orders WINDOW w AS (PARTITION BY o_custkey)")
 def clipped_bounds(t: Tables) -> DataFrame:
     """A window around each slice, clipped to its dataset."""
-    w = Window.partitionBy("o_custkey")
-    k = F.col("o_orderkey")
-    return t("orders").select("o_custkey", "o_orderkey", F.greatest(k - 300, F.min(k).over(w)).alias("lo"), F.least(k + 300, F.max(k).over(w) + 1).alias("hi"))
+    return islands.clipped(t("orders").select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey", 300)
 
 
 @query("WITH {V} SELECT z, x AS y, y AS x, v FROM V")
 def transposed(t: Tables) -> DataFrame:
-    """Slices with lines and columns exchanged: an array of arrays turned inside a slice."""
-    lines = rows(t).groupBy("z").agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "px"))), lambda r: r["px"]).alias("lines"))  # one slice a row
-    turned = F.transform(F.sequence(F.lit(0), F.size(F.get("lines", F.lit(0))) - 1), lambda x: F.transform("lines", lambda line: F.get(line, x)))
-    return volume.pixels(lines.select("z", F.posexplode(turned).alias("y", "px")))
+    """Slices with lines and columns exchanged."""
+    return volume.pixels(volume.transposed(rows(t)))
 
 
 @query(f"WITH {VOLUME}, {LAP} SELECT z, y, x, l AS v FROM L")
@@ -353,11 +349,11 @@ def fuse_configs(t: Tables) -> DataFrame:
     return stitch.fuse_configs(s.withColumn("path", F.concat("stack", F.lit(".zarr"))), stitch.fuse_groups(s))
 
 
-@query("SELECT n_name AS dataset_name, concat('out', n_regionkey, '/', n_name) AS output_path, n_nationkey % 2 = 0 AS reverse_order, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey % 7 + 9 ELSE n_nationkey % 7 END AS first_slice, n_nationkey * 3 AS z_offset, 32 AS patch FROM nation WHERE n_regionkey < 4")
+@query("SELECT n_name AS dataset_name, concat('out', n_regionkey, '/', n_name) AS output_path, n_nationkey % 2 = 0 AS reverse_order, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey % 7 + 9 ELSE n_nationkey % 7 END AS first_slice, n_nationkey * 3 AS z_offset, 32 AS patch FROM nation")
 def dataset_configs(t: Tables) -> DataFrame:
     """A document for each dataset on a plan's paths; one that several paths name is in the first."""
     k = F.col("n_nationkey")
-    n = t("nation").where("n_regionkey < 4")
+    n = t("nation")
     one = F.struct(k.alias("k"), F.array("n_name").alias("path"), (k % 2 == 0).alias("turned"))
     entry = F.struct("n_name", F.array((k % 7).cast("int"), (k % 7 + 10).cast("int")))
     p = n.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(one)).alias("p"), F.map_from_entries(F.collect_list(entry)).alias("dataset_local_bounds"))

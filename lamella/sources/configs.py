@@ -62,3 +62,9 @@ def accepted(fields: Column, function: Callable) -> Column:
     """A map of parameters cut down to those that function takes by name."""
     names = [F.lit(n) for n in inspect.signature(function).parameters]
     return F.map_filter(fields, lambda k, _: k.isin(*names))
+
+
+def stamped(docs: DataFrame, version: str = "1.0") -> DataFrame:
+    """Documents with the version of their form and the time of their making, ISO 8601 in UTC."""
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    return docs.withColumns({"_config_version": F.lit(version), "_created_at": now})

@@ -68,6 +68,12 @@ def tilesets(spark: SparkSession, folder: str, resolution: tuple[int, int], patt
     return sets.where(F.col("tileset").contains(F.col("pattern"))).orderBy("tileset", "pattern")
 
 
+def with_invert(found: DataFrame, flags: DataFrame, key: str) -> DataFrame:
+    """Tiles with their set's instruction to invert (key, invert); a set without one is an error."""
+    missing = F.raise_error(F.concat(F.lit("no invert flag for "), F.col(key).cast("string"))).cast("boolean")
+    return found.join(flags, key, "left").withColumn("invert", F.coalesce("invert", missing))
+
+
 def decode(content: bytes) -> np.ndarray:
     """A grey image from a TIFF (see ``tiff``) or an NPY array; 16 bits are cut to 8."""
     if content[:6] == b"\x93NUMPY":
