@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..kernels import masks, register, resample
+from ..operators import graph, tilemaps, volume
 from ..operators import registration as reg
-from ..operators import volume
 from .image_queries import LAP, SOBEL, rows
 from .registry import Tables, query
 
@@ -94,10 +97,31 @@ def foreground_mask(t: Tables) -> DataFrame:
 @query()
 def rotated_slices(t: Tables) -> DataFrame:
     """Mean of each slice after a turn by its number times ten degrees."""
-    import pandas as pd
 
     def run(batches):
         for batch in batches:
             yield pd.DataFrame([(r["z"], *(out := resample.rotate(reg.image(r["h"], r["w"], r["px"]), 10.0 * r["z"])).shape, float(out.mean())) for r in batch.to_dict("records")], columns=["z", "h", "w", "mean"])
 
     return slices(t).mapInPandas(run, "z int, h int, w int, mean double")
+
+
+#: Side and distance of the overlapping tiles that a slice is cut into, and their places in the order of their tilesets' names.
+TILE, STEP, PLACES = 44, 20, ((1, 0), (0, 1), (1, 1), (0, 0))
+
+
+@query(f"WITH N AS (SELECT vec_id // 64 AS z FROM embeddings GROUP BY 1 HAVING count(*) = 64) SELECT z::VARCHAR AS grp, 'set' || k AS tileset, [{', '.join(str(x) for x, _ in PLACES)}][k + 1]::BIGINT AS ox, [{', '.join(str(y) for _, y in PLACES)}][k + 1]::BIGINT AS oy FROM N, range(4) r(k)")
+def tile_grid_from_images(t: Tables) -> DataFrame:
+    """Each whole slice cut into four overlapping tiles of tilesets named in no order: their images give back the grid."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for r in batch.to_dict("records"):
+                image = masks.equalize(masks.gaussian(reg.image(r["h"], r["w"], r["px"])))
+                for k, (x, y) in enumerate(PLACES):
+                    part = image[y * STEP : y * STEP + TILE, x * STEP : x * STEP + TILE]
+                    out.append((str(r["z"]), f"{r['z']}/{k}", f"set{k}", 0, 0, *part.shape, part.tobytes()))
+            yield pd.DataFrame(out, columns=["grp", "node", "tileset", "tx", "ty", "h", "w", "px"])
+
+    tiles = slices(t).where("h = 64").mapInPandas(cut, "grp string, node string, tileset string, tx int, ty int, h int, w int, px binary")
+    return tilemaps.grids(graph.checkpoint(tiles), scales=(1.0,)).select("grp", "tileset", "ox", "oy")
