@@ -184,3 +184,21 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     else:
         raise RuntimeError("components: no fixed point")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def rooted(nodes: DataFrame, roots: DataFrame | None, node: str = "node", root: str = "root") -> DataFrame:
+    """nodes with the root of one of their columns; a node without one is its own."""
+    if roots is None:
+        return nodes.withColumn(root, F.col(node))
+    named = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    return nodes.join(named, node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def extended(roots: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """(node, root): components() of what roots has already connected and of more edges (u, v); only roots are worked on again."""
+    if roots is None:
+        return components(edges)
+    between = rooted(rooted(edges, roots, "u", "a"), roots, "v", "b").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    new = materialize(components(between))
+    moved = roots.join(new.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return materialize(moved.unionByName(new.join(roots.select("node"), "node", "left_anti")))

@@ -12,16 +12,17 @@ meeting is kept only if the pair can still be similar by
 A pair is similar only if these hold where its first common shingle meets, so
 each pair with such a meeting is verified, once, on the whole sets.
 
-Equal sets are one class and are joined as one. Shingles that no other class has
+Equal sets are one class and are joined as one. Shingles that no other text has
 are the rarest. They are found before any list is made: chunks of texts exchange
 packed hashes (see ``packed``), and a class with as many of them as its prefix
 holds has no partner. Of the others, the shingles that are shared become rows,
-get their exact counts, and are put in order.
+get their exact counts among classes, and are put in order.
 
-A long list doesn't become all its pairs. Each class is first verified with the
-hubs of the lists it is in; then only meetings of different components are left,
-and of those only the ones that involve a member outside the component that has
-most of the list. No list, partner or candidate is capped.
+A long list doesn't become all its pairs. In two rounds its members are verified
+with a few hubs, first any of them, then members of the component that has most
+of the list. Then only meetings of different components are left, and of those
+the ones that involve a member outside the largest. All of these are verified: no
+list, partner or candidate is capped.
 
 Shingles are told apart by 64 bits of a hash.
 """
@@ -37,15 +38,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, components, discard, materialize, small_batches, tidy, with_row
+from .common import ROW, discard, extended, materialize, rooted, small_batches, tidy, with_row
 from .hashing import byte_hashes, grams, grouped, mix, run_hashes
 from .packed import SENT, answers, each_chunk, elsewhere, exchange, flags, normal, send, tasks
 
 SHINGLE, SEED = 5, 12
 #: The least similarity, as a fraction.
 LEAST = (4, 5)
-#: Hubs of a list.
-HUBS = 3
+#: Hubs of a list in a round, and rounds; what they miss is found by all that is left.
+HUBS, ROUNDS = 8, 2
 #: Parts of the hash range in which the suffix filter counts, as a power of two.
 EIGHTHS = 3
 #: Bytes of a chunk of texts, hashes that a task compares, bits of a hash beyond those that count all of them.
@@ -56,43 +57,29 @@ STEP = 1 << 20
 TEXTS = "rows binary, ids array<string>, counts binary, raw binary, n_words long"
 
 
-def packer(size: int):
-    """A function that joins (row, id, words, number of words) into chunks of about size bytes; a long text is a chunk of its own."""
+def chunked(texts: DataFrame, size: int) -> DataFrame:
+    """Chunks of about size bytes of texts (__row, id: string, text), with a number each; a long text is a chunk of its own; written."""
 
-    def run(texts: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, held_bytes = [], 0
 
         def flush() -> pd.DataFrame:
-            rows, ids, raws, counts = zip(*held, strict=True)
+            rows, ids, raws = zip(*held, strict=True)
+            counts = [x.count(b" ") + bool(x) for x in raws]
             numbers = [np.array(x, np.int64).tobytes() for x in (rows, counts)]
-            raw = b" ".join(x for x in raws if x)
-            return pd.DataFrame({"rows": [numbers[0]], "ids": [list(ids)], "counts": [numbers[1]], "raw": [raw], "n_words": [sum(counts)]})
-
-        for text in texts:
-            if held and held_bytes + len(text[2]) > size:
-                yield flush()
-                held, held_bytes = [], 0
-            held.append(text)
-            # A blank text takes room too.
-            held_bytes += len(text[2]) + 64
+            return pd.DataFrame({"rows": [numbers[0]], "ids": [list(ids)], "counts": [numbers[1]], "raw": [b" ".join(filter(None, raws))], "n_words": [sum(counts)]})
+
+        for batch in batches:
+            for row, name, text in zip(batch[ROW], batch["id"], batch["text"], strict=True):
+                raw = normal(text, lower=True)
+                if held and held_bytes + len(raw) > size:
+                    yield flush()
+                    held, held_bytes = [], 0
+                held.append((row, name, raw))
+                held_bytes += len(raw) + 64  # a blank text takes room too
         if held:
             yield flush()
 
-    return run
-
-
-def chunked(texts: DataFrame, size: int) -> DataFrame:
-    """Chunks of texts (__row, id: string, text), with a number each; written."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def each() -> Iterator[tuple]:
-            for batch in batches:
-                for row, name, text in zip(batch[ROW], batch["id"], batch["text"], strict=True):
-                    raw = normal(text, lower=True)
-                    yield row, name, raw, raw.count(b" ") + bool(raw)
-
-        return packer(size)(each())
-
     return materialize(texts.mapInPandas(run, TEXTS).withColumn("chunk", F.monotonically_increasing_id()))
 
 
@@ -134,10 +121,6 @@ class Sets:
             at = end
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
-    def words_of(self, text: int) -> bytes:
-        a, n = self.first[text], self.counts[text]
-        return self.raw[self.starts[a] : self.ends[a + n - 1]] if n else b""
-
     def parts(self) -> Iterator[np.ndarray]:
         yield from np.split(self.tokens, np.cumsum(self.sizes)[:-1])
 
@@ -154,30 +137,11 @@ def measured(chunks: DataFrame) -> DataFrame:
     return materialize(chunks.mapInPandas(each_chunk(work), f"chunk long, at long, {ROW} long, id string, n long, key binary"))
 
 
-def _of_classes(chunks: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """Chunks of one text of each class; written."""
-    wanted = classes.groupBy("place.chunk").agg(F.collect_list("place.at").alias("wanted"))
+def partnered(chunks: DataFrame, classes: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(node, n, tokens) of the classes (place) whose prefix has a shingle that another text has; written.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def each() -> Iterator[tuple]:
-            for batch in batches:
-                for chunk in batch.to_dict("records"):
-                    counts, rows = (np.frombuffer(chunk[c], np.int64) for c in ("counts", "rows"))
-                    ends = np.cumsum(counts)
-                    words = chunk["raw"].split(b" ")
-                    for at in np.sort(chunk["wanted"]).tolist():
-                        yield rows[at], None, b" ".join(words[ends[at] - counts[at] : ends[at]]), counts[at]
-
-        return packer(size)(each())
-
-    some = chunks.select("chunk", "rows", "counts", "raw").join(wanted, "chunk")
-    return materialize(some.mapInPandas(run, TEXTS).withColumn("chunk", F.monotonically_increasing_id()))
-
-
-def partnered(chunks: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """(node, n, tokens) of the classes whose prefix has a shingle that another class has; written.
-
-    tokens are the shingles of the set that others have too, sorted; n counts all.
+    tokens are the shingles of the set that other texts have too, sorted; n
+    counts all. Copies of a class count as others here; they leave later.
     """
     words = chunks.agg(F.sum("n_words")).first()[0] or 0
     deal, bits = tasks(words, bucket), min(64, int(words).bit_length() + SPARE)
@@ -193,13 +157,16 @@ def partnered(chunks: DataFrame, bucket: int = BUCKET) -> DataFrame:
         found, of, times = short(s)
         other = ((answers(found, bits, deal, chunk["replies"], flags) > 0) | (times > 1))[of]
         shared = np.bincount(s.text, other, minlength=len(s.sizes)).astype(np.int64)
-        may = shared * LEAST[1] >= s.sizes * LEAST[0]
+        may = np.zeros(len(s.sizes), bool)
+        may[np.asarray(chunk["wanted"], np.int64)] = True
+        may &= shared * LEAST[1] >= s.sizes * LEAST[0]
         tokens = [t[o].view(np.int64) for t, o, m in zip(s.parts(), np.split(other, np.cumsum(s.sizes)[:-1]), may, strict=True) if m]
         yield pd.DataFrame({"node": np.frombuffer(chunk["rows"], np.int64)[may], "n": s.sizes[may], "tokens": pd.Series(tokens, dtype=object)})
 
     some = chunks.select("chunk", "rows", "counts", "raw")
-    sent = some.mapInPandas(each_chunk(keys), SENT)
-    told = some.join(exchange(sent, deal, elsewhere), "chunk", "left")
+    wanted = classes.groupBy("place.chunk").agg(F.collect_list("place.at").alias("wanted"))
+    replies = exchange(some.mapInPandas(each_chunk(keys), SENT), deal, elsewhere)
+    told = some.join(wanted, "chunk").join(replies, "chunk", "left")
     return materialize(told.mapInPandas(each_chunk(work), "node long, n long, tokens array<long>"))
 
 
@@ -212,6 +179,8 @@ def in_order(sets: DataFrame) -> DataFrame:
 
 
 COUNTS = [f"c{i}" for i in range(1 << EIGHTHS)]
+#: What a posting tells of its set.
+SECOND = ["node", "n", "rest", "root", *COUNTS]
 
 
 def prefixes(ordered: DataFrame) -> DataFrame:
@@ -248,39 +217,60 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(both.where(enough).select("u", "v"))
 
 
-def linked(sets: DataFrame) -> DataFrame:
-    """(node, root): the components of the similar pairs of sets (node, n, tokens); nodes without a partner may be left out."""
-    postings = prefixes(in_order(sets))
-    second = ["node", "n", "rest", *COUNTS]
-
-    def hubs(step: int) -> DataFrame:
-        """For each class, of the hubs of its lists, the one that it meets most often; a list's hub is the member with the least hash."""
-        least = F.struct(F.xxhash64(F.lit(step), "node"), *second)
-        hub = postings.groupBy("token").agg(F.min(least).alias("h"), F.count("*").alias("k")).where("k > 1")
-        hub = hub.select("token", *[F.col(f"h.{c}").alias(f"{c}2") for c in second])
-        met = postings.join(hub, "token").where((F.col("node") != F.col("node2")) & may_link())
-        often = met.groupBy("node", "node2").agg(F.count("*").alias("k"))
-        best = often.groupBy("node").agg(F.max_by("node2", F.struct("k", "node2")).alias("hub"))
-        return best.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v"))
-
-    first = materialize(reduce(DataFrame.unionByName, map(hubs, range(HUBS))).distinct()) if HUBS else None
-    edges = verified(first, sets) if HUBS else sets.sparkSession.createDataFrame([], "u long, v long")
-    roots = components(edges)
-    rooted = materialize(postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    discard(postings)
-    # The component with most of a list's members; lists that have no other have nothing left to tell.
-    by_root = rooted.groupBy("token", "root").agg(F.count("*").alias("k"))
-    lists = by_root.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
-    left = materialize(rooted.join(lists.select("token", "most"), "token"))
-    other = left.select("token", *[F.col(c).alias(f"{c}2") for c in (*second, "root")])
+def _mixed(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Postings with their root, of the lists that have several, and the root that most members have; written.
+
+    The others have nothing left to tell, now or later.
+    """
+    members = rooted(postings, roots)
+    by_root = members.groupBy("token", "root").agg(F.count("*").alias("k"))
+    lists = by_root.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("most"), F.count("*").alias("roots"))
+    return materialize(members.join(lists.where("roots > 1").drop("roots"), "token"))
+
+
+def _with_hubs(members: DataFrame, step: int) -> DataFrame:
+    """Pairs (u, v) of each member with the hubs of another component that it meets most often.
+
+    The hubs of a list are the members with the least of HUBS hashes, so lists
+    that are alike have the same ones; after the first step, only members of a
+    list's largest component are hubs, and the others look for one.
+    """
+    inside, outside = (members, members) if not step else (members.where("root = most"), members.where("root <> most"))
+    least = [F.min_by("node", F.xxhash64(F.lit(step * HUBS + i), "node")).alias(f"h{i}") for i in range(HUBS)]
+    hubs = inside.groupBy("token").agg(*least).select("token", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(HUBS)]))).alias("node"))
+    hubs = members.join(hubs, ["token", "node"]).select("token", *[F.col(c).alias(f"{c}2") for c in SECOND])
+    met = outside.join(hubs, "token").where((F.col("root") != F.col("root2")) & may_link())
+    often = met.groupBy("node", "node2").agg(F.count("*").alias("k"))
+    # As many as a set's prefix has lists, times HUBS.
+    best = often.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("k", "node2")), asc=False), 1, HUBS).alias("best"))
+    best = best.select("node", F.explode("best.node2").alias("hub"))
+    return best.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
+
+
+def linked(sets: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """(node, root): the components of the similar pairs of sets (node, n, tokens), and of what roots has connected before.
+
+    Nodes without a partner may be left out.
+    """
+    members = _mixed(prefixes(in_order(sets)), roots)
+    tried = None
+    for step in range(ROUNDS):
+        pairs = _with_hubs(members, step)
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        edges = verified(pairs, sets)
+        if edges.isEmpty():
+            break
+        roots = extended(roots, edges)
+        before, members = members, _mixed(members.drop("root", "most"), roots)
+        discard(before)
+    other = members.select("token", *[F.col(c).alias(f"{c}2") for c in SECOND])
     apart = (F.col("root") != F.col("root2")) & ((F.col("root2") == F.col("most")) | (F.col("node") < F.col("node2")))
-    met = left.where("root <> most").join(other, "token").where(apart & may_link())
+    met = members.where("root <> most").join(other, "token").where(apart & may_link())
     pairs = met.select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v")).distinct()
-    pairs = materialize(pairs if first is None else pairs.join(first, ["u", "v"], "left_anti"))
-    if pairs.isEmpty():
-        return roots
-    more = verified(pairs, sets)
-    return roots if more.isEmpty() else components(edges.unionByName(more))
+    pairs = materialize(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
+    edges = verified(pairs, sets)
+    return roots if roots is not None and edges.isEmpty() else extended(roots, edges)
 
 
 @tidy
@@ -303,10 +293,8 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     rows = measured(chunks).withColumn("id", F.col("id").cast(kind))
     place = F.min(F.struct("chunk", "at", ROW)).alias("place")
     classes = materialize(rows.where("n > 0").groupBy("key").agg(F.min("id").alias("first"), place))
-    unique = _of_classes(chunks, classes, chunk)
+    sets = partnered(chunks, classes, bucket)
     discard(chunks)
-    sets = partnered(unique, bucket)
-    discard(unique)
     roots = linked(sets)
     node = F.col(f"place.{ROW}")
     named = classes.select("key", "first", node.alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -9,16 +9,9 @@ copies; what it misses comes from set prefixes, so that no link is lost:
 1. A document with a partner at 0.8 shares at least 0.8 of its own shingles with
    other documents. Chunks exchange hashes of their shingles (see ``packed``),
    and only documents that share so many go on; most texts end here.
-   What a document shares with all others together also bounds what it can share
-   with any one of them.
 2. Fingerprints within two bits, equal ones included, are linked and verified.
-3. With all shingles in one order, sets as similar as that share one of the
-   first n - ceil(0.8 n) + 1 shingles of each. Any order will do, so rare
-   shingles come first: the most frequent ones of a sample are moved to the end,
-   which costs no pair. Each document is verified with the hubs that it meets in
-   most lists, and then all pairs of a list that are still in different groups
-   are, unless lengths, what is shared with others at all, or the first shingles
-   show that they can't reach 0.8. No list is capped.
+3. What these miss is completed by the join on rare-first prefixes of ``jaccard``,
+   which starts from the groups that the fingerprints have connected.
 """
 
 from __future__ import annotations
@@ -31,18 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from . import simhash
-from .common import ROW, components, discard, doc, materialize, numbered, small_batches, tidy
+from . import jaccard, simhash
+from .common import ROW, discard, doc, extended, materialize, numbered, small_batches, tidy
 from .hashing import grouped
 from .packed import CHUNKS, SENT, Words, answers, each_chunk, elsewhere, exchange, flags, normal, pack, send, tasks
 
 SHINGLE, SEED = 5, 7
 #: The least similarity, as a fraction.
 LEAST = (4, 5)
-#: Hubs of a list.
-HUBS = 3
-#: Shingles moved to the end of the order: at most so many, seen so often in one of SAMPLE documents.
-FREQUENT, SEEN, SAMPLE = 1 << 16, 4, 8
 #: Bytes of a chunk, hashes that a task compares, bits of a hash.
 CHUNK, BUCKET, BITS = 1 << 20, 1 << 21, 48
 
@@ -84,10 +73,7 @@ class Shingled(Words):
 
 
 def _partnered(deal: int):
-    """(__row, raw, most) of the texts that may have a partner; raw is null for a text that was cut into parts.
-
-    most: of its distinct shingles so many at most are in another text.
-    """
+    """(__row, raw) of the texts that may have a partner; raw is null for a text that was cut into parts."""
 
     def work(chunk: dict) -> Iterator[pd.DataFrame]:
         s = Shingled(chunk)
@@ -97,18 +83,13 @@ def _partnered(deal: int):
         may = (n == 0) | (whole == 0) | ((shared + 2) * LEAST[1] >= n * LEAST[0])
         end = s.first + s.counts
         raw = [(s.raw[s.starts[a] : s.ends[b - 1]] if b > a else b"") if w else None for a, b, w in zip(s.first[may].tolist(), end[may].tolist(), whole[may].tolist(), strict=True)]
-        yield pd.DataFrame({ROW: rows[may], "raw": pd.Series(raw, dtype=object), "most": (shared + 2).astype(np.int64)[may] + (n == 0)[may]})
+        yield pd.DataFrame({ROW: rows[may], "raw": pd.Series(raw, dtype=object)})
 
     return each_chunk(work)
 
 
 def partnered(texts: DataFrame) -> DataFrame:
-    """(__row, raw, most): of texts (__row, text) those that may have a partner, as normal() gives them; written.
-
-    most is null where nothing is known. Texts with equal words share all, so it
-    holds for the texts of a class too, if it has several; that it then bounds
-    nothing costs time only.
-    """
+    """(__row, raw): of texts (__row, text) those that may have a partner, as normal() gives them; written."""
     named = texts.select(ROW, F.lit(None).cast("string").alias("id"), "text")
     chunks = materialize(named.mapInPandas(pack(SHINGLE, CHUNK, lower=True), CHUNKS).withColumn("chunk", F.monotonically_increasing_id()))
     deal = tasks(chunks.agg(F.sum("n_words")).first()[0] or 0, BUCKET)
@@ -118,7 +99,7 @@ def partnered(texts: DataFrame) -> DataFrame:
 
     sent = chunks.select("chunk", "raw", "counts").mapInPandas(each_chunk(edges), SENT)
     told = chunks.select("chunk", "raw", "counts", "rows", "whole").join(exchange(sent, deal, elsewhere), "chunk", "left")
-    found = materialize(told.mapInPandas(_partnered(deal), f"{ROW} long, raw binary, most long"))
+    found = materialize(told.mapInPandas(_partnered(deal), f"{ROW} long, raw binary"))
     discard(chunks)
     long = found.where("raw is null").select(ROW).distinct()
     if long.isEmpty():
@@ -128,40 +109,10 @@ def partnered(texts: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({ROW: batch[ROW], "raw": [normal(t, lower=True) for t in batch["text"]]})
 
-    whole = texts.join(long, ROW).mapInPandas(words, f"{ROW} long, raw binary").withColumn("most", F.lit(None).cast("long"))
+    whole = texts.join(long, ROW).mapInPandas(words, f"{ROW} long, raw binary")
     return materialize(found.where("raw is not null").unionByName(whole))
 
 
-def frequent(sets: DataFrame) -> np.ndarray:
-    """The most frequent shingles of a sample, rarest first; what comes to the driver is bounded by FREQUENT."""
-    part = sets.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0).select(F.explode("tokens").alias("token"))
-    found = part.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= SEEN).orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
-    return found["token"].to_numpy(np.int64)[::-1]
-
-
-def prefix(tokens: np.ndarray, last: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The shingles by which a set is found; last: frequent ones, sorted; order: their place in the order."""
-    n = len(tokens)
-    if not n:
-        return tokens
-    at = np.minimum(np.searchsorted(last, tokens), max(len(last) - 1, 0))
-    late = last[at] == tokens if len(last) else np.zeros(n, bool)
-    ranked = tokens[late][np.argsort(order[at[late]], kind="stable")] if late.any() else tokens[:0]
-    return np.concatenate([tokens[~late], ranked])[: n - -(-n * LEAST[0] // LEAST[1]) + 1]
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (u, v) that are similar; written."""
-    pairs = materialize(pairs.distinct())
-    side = lambda name, tokens: sets.select(F.col("node").alias(name), F.col("tokens").alias(tokens))
-    both = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v")
-    # i / (a + b - i) >= p / q
-    enough = F.size(F.array_intersect("a", "b")) * sum(LEAST) >= LEAST[0] * (F.size("a") + F.size("b"))
-    out = materialize(both.where(enough).select("u", "v"))
-    discard(pairs)
-    return out
-
-
 def proposed(sets: DataFrame) -> DataFrame:
     """Pairs (u, v) of sets (node, fp) whose fingerprints the byte-position index links, one of each fingerprint for all of it."""
     first = materialize(sets.groupBy("fp").agg(F.min("node").alias("first")))
@@ -172,51 +123,11 @@ def proposed(sets: DataFrame) -> DataFrame:
     return across.unionByName(within)
 
 
-def links(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(edges, roots): edges (u, v) that connect the distinct sets (node, fp, tokens, most) that are similar, and their components()."""
-    late = frequent(sets)
-    order = np.argsort(late, kind="stable")
-    last = late[order]
-
-    @F.pandas_udf(ArrayType(LongType()))
-    def prefixes(tokens: pd.Series) -> pd.Series:
-        return pd.Series([prefix(np.asarray(t, np.int64), last, order) for t in tokens])
-
-    # No set can share more than most; of a pair, the smaller of both.
-    n = F.size("tokens")
-    found = sets.select("node", n.alias("n"), F.least(n, F.coalesce("most", n)).cast("int").alias("most"), prefixes("tokens").alias("p"))
-    postings = materialize(found.select("node", "n", "most", (F.col("n") - F.size("p")).alias("rest"), F.explode("p").alias("token")))
-    reach = sum(LEAST) * F.least("most", "most2") >= LEAST[0] * (F.col("n") + F.col("m"))
-    fits = (F.least("n", "m") * LEAST[1] >= F.greatest("n", "m") * LEAST[0]) & reach
-
-    def hubs(step: int) -> DataFrame:
-        """For each document the hub that it meets in most lists; a list's hub is the member with the least hash."""
-        hub = postings.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(step), "node"), F.col("node").alias("u"), F.col("n").alias("m"), F.col("most").alias("most2"))).alias("h"), F.count("*").alias("k"))
-        met = postings.join(hub.where("k > 1").select("token", "h.u", "h.m", "h.most2"), "token").where(fits & (F.col("u") != F.col("node")))
-        return met.groupBy("node", "u").agg(F.count("*").alias("k")).groupBy(F.col("node").alias("v")).agg(F.max_by("u", F.struct("k", "u")).alias("u")).select("u", "v")
-
-    candidates = proposed(sets)
-    for step in range(HUBS):
-        candidates = candidates.unionByName(hubs(step))
-    edges = verified(candidates, sets)
-    roots = components(edges)
-    rooted = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # Lists whose members are in one group by now have nothing left to tell.
-    apart = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    lists = materialize(rooted.join(apart, "token"))
-    other = lists.select("token", *[F.col(a).alias(b) for a, b in (("node", "v"), ("n", "m"), ("most", "most2"), ("rest", "rest2"), ("root", "root2"))])
-    met = lists.withColumnRenamed("node", "u").join(other, "token").where((F.col("u") < F.col("v")) & (F.col("root") != F.col("root2")) & fits)
-    met = met.groupBy("u", "v", "n", "m", "rest", "rest2").agg(F.count("*").alias("shared"))
-    # Common shingles are those met in lists, and at most what follows the prefixes.
-    common = F.col("shared") + F.greatest("rest", "rest2")
-    left = materialize(met.where(common * sum(LEAST) >= LEAST[0] * (F.col("n") + F.col("m"))).select("u", "v"))
-    if left.isEmpty():
-        return edges, roots
-    more = verified(left, sets)
-    if more.isEmpty():
-        return edges, roots
-    edges = materialize(edges.unionByName(more))
-    return edges, components(edges)
+def linked(sets: DataFrame) -> DataFrame:
+    """(node, root): the components of the distinct sets (node, fp, tokens) that are similar."""
+    sized = sets.select("node", F.size("tokens").cast("long").alias("n"), "tokens")
+    close = jaccard.verified(materialize(proposed(sets).distinct()), sized)
+    return jaccard.linked(sized, extended(None, close))
 
 
 @tidy
@@ -236,8 +147,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", ROW)).alias("k")
     classes = materialize(words.groupBy("words").agg(F.min(ROW).alias("node"), first))
     texts = near.join(classes.select(F.col("node").alias(ROW)), ROW, "left_semi")
-    sets = materialize(texts.select(F.col(ROW).alias("node"), "most", _shingles("raw").alias("tokens"), _prints("raw").alias("fp")))
-    _, roots = links(sets)
+    sets = materialize(texts.select(F.col(ROW).alias("node"), _shingles("raw").alias("tokens"), _prints("raw").alias("fp")))
+    roots = linked(sets)
     discard(sets)
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min("k").alias("k")).select(F.col(f"k.{ROW}").alias(ROW))

@@ -147,7 +147,7 @@ def _key(x):
     return tuple((v is None, v or 0) for v in x)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"HUBS": 0}, {"HUBS": 1, "EIGHTHS": 3, "STEP": 50}])
+@pytest.mark.parametrize("sizes", [{}, {"ROUNDS": 0}, {"HUBS": 1, "ROUNDS": 1, "STEP": 50}])
 @pytest.mark.parametrize("chunk", [{}, {"chunk": 500, "bucket": 100}])
 def test_join(spark, monkeypatch, sizes, chunk):
     for name, value in sizes.items():
