@@ -162,21 +162,25 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
     Alternating large-star and small-star rounds; each is a min by node joined
     back to the edges, so a hot node is a skewed join that adaptive execution
-    splits, never a group held in one task. Ends when the edges stand still.
+    splits, never a group held in one task. A node is split once what meets at it
+    is larger than spark.sql.adaptive.advisoryPartitionSizeInBytes. Ends when the
+    edges stand still.
     """
     e = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Written, as adaptive execution only splits a join of two exchanges.
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         seen = Observation()  # counted while it is written; a repeated task could only cost one more round
-        new = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        new = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         new = materialize(new.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")))
         now = seen.get
         discard(e)
+        discard(low)
         e = new
         if now == before:
             break
