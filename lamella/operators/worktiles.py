@@ -157,17 +157,47 @@ def warp(chunks: DataFrame, field: DataFrame, stride: int, size: int = 1024, fir
     return own.mapInPandas(run, CHUNKS)
 
 
-def trusted(field: DataFrame, mesh: register.Mesh, clean: dict, min_patch: int = 2) -> DataFrame:
-    """(z, gy, gx, dx, dy): the field's trusted vectors, relaxed; a task holds the nodes of one slice, which are few beside its pixels."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        raw = np.full((4, int(frame["gy"].max()) + 1, int(frame["gx"].max()) + 1), np.nan)
-        for k, c in enumerate(("dx", "dy", "sharp", "ratio")):
-            raw[k, frame["gy"], frame["gx"]] = frame[c].astype(float)
-        kept = register.drop_small(register.clean(raw, **clean), min_patch)
-        d = np.zeros(kept.shape) if np.isnan(kept).all() else register.relax(kept, mesh)[0]
-        return field_rows(int(frame["z"].iloc[0]), d)
-
-    return field.groupBy("z").applyInPandas(run, "z int, gy int, gx int, dx double, dy double")
-
+def meshes(field: DataFrame, stride: int, mesh: register.Mesh, clean: dict, min_patch: int = 2, start: DataFrame | None = None) -> DataFrame:
+    """(z, gy, gx, dx, dy) of all slices on the first one's place, from the flow of each against the one before (FIELD).
+
+    In order of z, the flow's trusted vectors are composed with the mesh of the
+    slice before, and the mesh relaxes from there; a slice without any keeps that
+    mesh. start (z, gy, gx, dx, dy) is the mesh to go on from. The walk is serial
+    and one task's, which holds the nodes of one slice: some hundred times fewer
+    than its pixels.
+    """
+    rows = field.select(F.lit(1).alias("kind"), *[c.split()[0] for c in FIELD.split(", ")])
+    if start is not None:
+        nothing = F.lit(None).cast("double")
+        rows = rows.unionByName(start.select(F.lit(0).alias("kind"), "z", "gy", "gx", "dx", "dy", nothing.alias("sharp"), nothing.alias("ratio")))
 
+    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            for _, part in batch.groupby(["kind", "z"]):
+                if held and tuple(held[0][["kind", "z"]].iloc[0]) != tuple(part[["kind", "z"]].iloc[0]):
+                    yield pd.concat(held)
+                    held = []
+                held.append(part)
+        if held:
+            yield pd.concat(held)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        solved = None
+        for frame in slices(batches):
+            raw = np.full((4, int(frame["gy"].max()) + 1, int(frame["gx"].max()) + 1), np.nan)
+            for k, c in enumerate(("dx", "dy", "sharp", "ratio")):
+                raw[k, frame["gy"], frame["gx"]] = frame[c].astype(float)
+            if not frame["kind"].iloc[0]:
+                solved = raw[:2]
+                continue
+            d = register.drop_small(register.clean(raw, **clean), min_patch)
+            before = np.zeros(d.shape) if solved is None or solved.shape != d.shape else solved
+            target = resample.compose(d / stride, before / stride) * stride
+            solved = before if np.isnan(target).all() else register.relax(target, mesh, before)[0]
+            yield field_rows(int(frame["z"].iloc[0]), solved)
+
+    return rows.repartition(1).sortWithinPartitions("kind", "z").mapInPandas(walk, MESH)
+
+
+MESH = "z int, gy int, gx int, dx double, dy double"

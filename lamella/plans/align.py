@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..kernels import elastic, register, resample
@@ -290,34 +290,52 @@ def run(spark: SparkSession, images: DataFrame, output: str, p: Align = Align(),
 
 
 def run_large(spark: SparkSession, source: str, output: str, p: Align = Align(affine=False), size: int = 1024) -> None:
-    """Align the slices of one store into another, each by many tasks: for slices that no task can hold.
-
-    Slices are one after the other, as each follows the one before that has
-    content; within a slice, flow and warp go by work tiles of size x size pixels
-    and only the mesh is one task's. They must lie within half a patch of each
-    other already, as there is no similarity and one scale. What output has is
-    not done again, so a run that broke off is taken up where it ended.
+    """Align the slices of one store into another in three stages, for slices that no task can hold.
+
+    The flow of each slice against the one before that has content, all slices at
+    once and by work tiles of size x size pixels; the meshes, one after the other,
+    from the flow composed with the mesh before; the slices seen through their
+    meshes, all at once and by work tiles. Neighbouring slices must lie within
+    half a patch of each other already, as there is no similarity and one scale.
+
+    A stage is kept under output/stages by its parameters and those of the stage
+    before: with another mesh, the flow stays and meshes and slices are made
+    anew; slices that are new in the source, or that a run which broke off has
+    left, are all that is done again otherwise. New slices come after the others:
+    one before them is an error.
     """
     if p.affine:
         raise ValueError("large slices are aligned without a similarity")
-    chunks = store.open_chunks(spark, source)
-    done = store.open_chunks(spark, output, missing_ok=True).select("z").distinct()
+    chunks, folder = store.open_chunks(spark, source), f"{output}/stages"
+    some = chunks.groupBy("z").agg(F.bool_or(registration.has_content(F.col("px"))).alias("any")).where("any").where(~F.col("z").isin(*p.ignore) if p.ignore else F.lit(True))
+    order = graph.checkpoint(some.select("z").withColumn("reference", F.lag("z").over(Window.orderBy("z"))))  # a row for each slice
+    search = {"patch": p.patch, "stride": p.stride, "most": p.patch // 2 if p.most is None else p.most}
+
+    def flows(rest: DataFrame, _: DataFrame) -> DataFrame:
+        todo = order.join(rest, "z")
+        before = chunks.withColumnRenamed("z", "reference").join(todo, "reference")
+        return worktiles.flow(before, chunks.join(rest, "z"), search["patch"], search["stride"], search["most"], size)
+
+    later = order.where("reference is not null")
+    field, key = store.staged(spark, folder, "flow", {"source": source, "ignore": p.ignore, **search}, worktiles.FIELD, later, flows)
     clean = {"min_ratio": p.min_ratio, "min_sharp": p.min_sharp, "max_size": p.max_size, "max_deviation": p.max_deviation}
-    have = [r.z for r in done.orderBy("z").collect()]  # a number for each slice
-    before = have[-1] if have else None
-    for r in chunks.select("z").distinct().join(done, "z", "left_anti").orderBy("z").collect():
-        own = chunks.where(F.col("z") == r.z)
-        if r.z in p.ignore or own.where(registration.has_content(F.col("px"))).isEmpty():
-            continue
-        if before is None:
-            new = worktiles.warp(own, spark.createDataFrame([], "z int, gy int, gx int, dx double, dy double"), p.stride, size)
-        else:
-            reference = store.open_chunks(spark, output).where(F.col("z") == before).withColumn("z", F.lit(r.z))
-            field = worktiles.flow(reference, own, p.patch, p.stride, p.patch // 2 if p.most is None else p.most, size)
-            mesh = graph.checkpoint(worktiles.trusted(field, p.mesh, clean, p.min_patch))
-            new = worktiles.warp(own, mesh, p.stride, size, p.patch / 2)
-        store.write_chunks(graph.checkpoint(new), output, "r+")
-        before = r.z
+
+    def meshes(rest: DataFrame, old: DataFrame) -> DataFrame:
+        ends = old.agg(F.max("z").alias("z"))
+        if not rest.join(ends, rest["z"] < ends["z"]).isEmpty():
+            raise ValueError("there are new slices before those that are aligned")
+        last = old.join(ends, "z")
+        return worktiles.meshes(field.join(rest, "z"), p.stride, p.mesh, clean, p.min_patch, last)
+
+    mesh, key = store.staged(spark, folder, "mesh", {"flow": key, "mesh": asdict(p.mesh), "min_patch": p.min_patch, **clean}, worktiles.MESH, later, meshes)
+    same = store.read_attributes(spark, output).get("mesh") == key
+    done = store.open_chunks(spark, output, missing_ok=True).select("z").distinct()
+    rest = graph.checkpoint(order.select("z").join(done, "z", "left_anti") if same else order.select("z"))
+    if not rest.isEmpty():
+        store.write_attributes(spark, output, {"mesh": None if not same else key})
+        new = worktiles.warp(chunks.join(rest, "z"), mesh.join(rest, "z"), p.stride, size, p.patch / 2)
+        store.write_chunks(new, output, "r+")
+        store.write_attributes(spark, output, {"mesh": key})
 
 
 def is_done(spark: SparkSession, output: str, images: DataFrame | None = None) -> bool:

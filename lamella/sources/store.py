@@ -179,6 +179,23 @@ def cached(spark: SparkSession, folder: str, parameters: dict, build: Callable[[
     return spark.read.parquet(path)
 
 
+def staged(spark: SparkSession, folder: str, name: str, parameters: dict, schema: str, wanted: DataFrame, build: Callable[[DataFrame, DataFrame], DataFrame]) -> tuple[DataFrame, str]:
+    """(table, key) of a stage that has rows for the wanted slices (z): what these parameters have made so far, and the rest.
+
+    build gets the slices that are missing and the table as it is, and gives the
+    rows to append. Other parameters have a table of their own. The key stands
+    for stage and parameters, so a later stage that has it among its own is made
+    anew if this one is. A run that breaks off leaves what it had appended.
+    """
+    key = hashlib.sha256(json.dumps([name, parameters], sort_keys=True, default=str).encode()).hexdigest()[:16]
+    path = f"{folder}/{name}-{key}"
+    old = read(spark, path, schema, missing_ok=True)
+    rest = wanted.select("z").join(old.select("z").distinct(), "z", "left_anti")
+    if not rest.isEmpty():
+        build(rest, old).write.mode("append").parquet(path)
+    return read(spark, path, schema, missing_ok=True), key
+
+
 def write_attributes(spark: SparkSession, path: str, values: dict) -> None:
     """Set attributes; those already there and not named stay."""
     old = read_attributes(spark, path)

@@ -81,27 +81,67 @@ def test_warp_is_that_of_the_whole(spark, chunk, size, stride, first):
         assert max(x.h for x in got) <= size and max(x.w for x in got) <= size
 
 
+def _files(path):
+    return {f.name for f in path.glob("**/*.parquet")}
+
+
 def test_large_slices_align_and_resume(spark, tmp_path):
-    """The serial walk with each slice in tiles: slices end up on the first, an empty one is passed over, and a second run adds only what is new."""
+    """Slices end up on the first, an empty one is passed over; a second run adds only what is new, with the same result as one run."""
     base = texture((120, 140), 11, 3)
-    shifts = {0: (0, 0), 1: (2, 1), 3: (3, -1), 4: (1, 3)}
+    shifts = {0: (0, 0), 1: (2, 1), 3: (4, -1), 4: (1, 3), 5: (-3, 5)}
     arrays = {z: resample.warp_affine(base, np.array([[1, 0, dx], [0, 1, dy]], float), base.shape) for z, (dx, dy) in shifts.items()} | {2: np.zeros_like(base)}
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    source, out, once = (str(tmp_path / n) for n in ("in", "out", "once"))
     chunks = _chunks(spark, arrays, 64)
     store.write_chunks(chunks.where("z < 4"), source, "r+")
     p = align.Align(patch=32, stride=16, affine=False)
     align.run_large(spark, source, out, p, size=50)
-    first = {r.z: r.px for r in store.open_chunks(spark, out).where("cy = 0 and cx = 0").collect()}
-    assert set(first) == {0, 1, 3}
-    store.write_chunks(chunks.where("z = 4"), source, "a")
+    first = _files(tmp_path / "out/chunks")
+    assert {r.z for r in store.open_chunks(spark, out).select("z").distinct().collect()} == {0, 1, 3}
+    store.write_chunks(chunks.where("z >= 4"), source, "a")
     align.run_large(spark, source, out, p, size=50)
+    assert first < _files(tmp_path / "out/chunks")
+    align.run_large(spark, source, once, p, size=50)
     got = store.open_chunks(spark, out).collect()
-    assert {r.z for r in got} == {0, 1, 3, 4} and all(r.px == first[r.z] for r in got if r.z in first and (r.cy, r.cx) == (0, 0))
-    for z in (0, 1, 3, 4):
-        assert np.abs(_image(got, z)[16:-16, 16:-16].astype(int) - base[16:-16, 16:-16]).mean() < 8
+    assert {r.z for r in got} == set(shifts) and max(r.h for r in got) == max(r.w for r in got) == 50
+    whole = store.open_chunks(spark, once).collect()
+    for z in shifts:
+        assert (_image(got, z) == _image(whole, z)).all()
+        assert np.abs(_image(got, z)[20:-20, 20:-20].astype(int) - base[20:-20, 20:-20]).mean() < 8
     with pytest.raises(ValueError, match="similarity"):
         align.run_large(spark, source, out, align.Align())
-    assert store.open_chunks(spark, out).select(F.max("h"), F.max("w")).first() == (50, 50)
+
+
+def test_stages_are_kept_by_their_parameters(spark, tmp_path, monkeypatch):
+    """Another mesh makes meshes and slices anew, not the flow; another patch makes all; nothing new makes nothing."""
+    base = texture((80, 80), 3, 3)
+    arrays = {z: np.roll(base, z, 1) for z in range(3)}
+    source, out = str(tmp_path / "in"), tmp_path / "out"
+    store.write_chunks(_chunks(spark, arrays, 64), source, "r+")
+    made = []
+    for name in ("flow", "meshes", "warp"):
+        f = getattr(worktiles, name)
+        monkeypatch.setattr(worktiles, name, lambda *a, f=f, name=name, **k: made.append(name) or f(*a, **k))
+
+    def run(**options):
+        made.clear()
+        align.run_large(spark, source, str(out), align.Align(**{"patch": 32, "stride": 16, "affine": False} | options), size=64)
+        return list(made)
+
+    assert run() == ["flow", "meshes", "warp"] and run() == []
+    stiff = register.Mesh(most=100_000, spring=3.0)
+    assert run(mesh=stiff) == ["meshes", "warp"] and run(mesh=stiff) == []
+    assert run(min_ratio=1.3) == ["meshes", "warp"]
+    assert run() == ["warp"]  # both stages are there, the slices were made with another mesh
+    assert run(patch=24) == ["flow", "meshes", "warp"]
+    # A run that breaks off while it renders is taken up there.
+    with monkeypatch.context() as m:
+        m.setattr(store, "write_chunks", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(stride=20)
+    assert run(stride=20) == ["warp"]
+    store.write_chunks(_chunks(spark, {-1: base}, 64), source, "a")
+    with pytest.raises(ValueError, match="before those"):
+        run()
 
 
 def test_content_of_images(spark):
