@@ -39,11 +39,15 @@ def _stored(t: Tables) -> str:
 
 @query("WITH {V} SELECT z, sum(CASE WHEN z % 2 = 0 THEN 255 - v ELSE v END)::BIGINT AS total FROM V GROUP BY z UNION ALL SELECT z + 1000, sum(v)::BIGINT FROM V GROUP BY z")
 def store_modes(t: Tables) -> DataFrame:
-    """Written anew, even slices replaced, all appended at higher z; reading only and writing where a store is are refused."""
+    """Written anew, even slices replaced, all appended at higher z than the store has; reading only and writing where a store is are refused.
+
+    The appended slices are told as 1000 higher: from there on, a deep store has slices of its own, and appending to those would merge both.
+    """
     path, spark = _stored(t), _spark(t)
     even = reg.to_binary(stencil.invert(rows(t).where("z % 2 = 0")))
     store.write_chunks(store.cut(even, CELL), path, "r+")
-    store.write_chunks(store.cut(slices(t).withColumn("z", F.col("z") + 1000), CELL), path, "a")
+    higher = max(1000, store.extent(store.open_chunks(spark, path)).first()["depth"] or 0)
+    store.write_chunks(store.cut(slices(t).withColumn("z", F.col("z") + higher), CELL), path, "a")
     for mode in ("r", "w-"):
         try:
             store.write_chunks(store.cut(slices(t), CELL), path, mode)
@@ -51,7 +55,9 @@ def store_modes(t: Tables) -> DataFrame:
             assert mode == "r" or "exists" in str(e).lower(), e
         else:
             raise AssertionError(f"mode {mode} wrote")
-    return _totals(store.read_window(store.open_chunks(spark, path), (0, 1 << 30), size=CELL))
+    totals = _totals(store.read_window(store.open_chunks(spark, path), (0, 1 << 30), size=CELL))
+    z = F.col("z")
+    return totals.withColumn("z", F.when(z >= higher, z - higher + 1000).otherwise(z))
 
 
 @query("WITH {V} SELECT 'absent' AS which, 0::BIGINT AS chunks UNION ALL SELECT 'present', count(DISTINCT (z, y // 32, x // 32)) FROM V")
