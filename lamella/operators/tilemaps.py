@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import robustness as formula
 from ..kernels import elastic, register, resample
-from . import graph
+from . import batches, graph
 
 DESCRIBED = "grp string, node string, tileset string, places binary, vectors binary"
 MATCH = "grp string, u string, v string, dx double, dy double, angle double, matches int, inliers int, index double"
@@ -34,8 +34,8 @@ GRAIN = 512
 def described(tiles: DataFrame, scale: float = 1.0, most: int = register.FEATURES) -> DataFrame:
     """(grp, node, tileset, places, vectors): features of tiles (grp, node, tileset, h, w, px), in pixels of the whole image."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in parts:
             out = []
             for r in batch.to_dict("records"):
                 image = np.frombuffer(r["px"], np.uint8).reshape(r["h"], r["w"])
@@ -66,8 +66,8 @@ def matched(d: DataFrame, todo: DataFrame | None = None, **options) -> DataFrame
     limits the pairs.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in parts:
             out = []
             for r in batch.to_dict("records"):
                 u, v = (_features(r[f"{s}_places"], r[f"{s}_vectors"]) for s in "uv")
@@ -89,8 +89,8 @@ def matched(d: DataFrame, todo: DataFrame | None = None, **options) -> DataFrame
 def scored(found: DataFrame, tiles: DataFrame, threshold: float, scales: tuple[float, ...]) -> DataFrame:
     """Matches with score: how alike both tiles are where they overlap (see ``elastic.check_overlap``)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in parts:
             out = []
             for r in batch.to_dict("records"):
                 u, v = (np.frombuffer(r[f"{s}_px"], np.uint8).reshape(r[f"{s}_h"], r[f"{s}_w"]) for s in "uv")
@@ -116,8 +116,9 @@ def estimated(tiles: DataFrame, scales: tuple[float, ...] = (0.5, 1.0), threshol
     found = todo = None
     robust = F.col("index") >= formula.ROBUST
     for scale in scales:
-        now = matched(described(tiles, scale), todo).where(robust)
-        found = graph.checkpoint(now if found is None else found.unionByName(now))
+        with batches.small(tiles.sparkSession):
+            now = matched(graph.checkpoint(described(tiles, scale)), todo).where(robust)
+            found = graph.checkpoint(now if found is None else found.unionByName(now))
         todo = graph.checkpoint(every.join(found, ["grp", "u", "v"], "left_anti"))
         if todo.isEmpty():
             break
@@ -148,7 +149,8 @@ def grids(tiles: DataFrame, scales: tuple[float, ...] = (0.5, 1.0), threshold: f
     votes = told.groupBy("grp", "a", "b", "dx", "dy").agg(F.count("*").alias("k"), F.max("score").alias("score"))
     best = votes.groupBy("grp", "a", "b").agg(F.max_by(F.struct("dx", "dy"), F.struct("k", "score", "dx", "dy")).alias("o"))
     name = lambda c: F.concat_ws("\n", "grp", c)
-    edges = graph.checkpoint(best.select(name("a").alias("u"), name("b").alias("v"), "o.dx", "o.dy"))
+    with batches.small(tiles.sparkSession):
+        edges = graph.checkpoint(best.select(name("a").alias("u"), name("b").alias("v"), "o.dx", "o.dy"))
     sets = tiles.select("grp", "tileset", name("tileset").alias("node")).distinct()
     found = graph.placed(sets.select("node"), edges)
     return sets.join(found, "node").select("grp", "tileset", "component", F.col("tx").alias("ox"), F.col("ty").alias("oy"))

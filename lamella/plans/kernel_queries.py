@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..kernels import masks, register, resample
-from ..operators import graph, tilemaps, volume
+from ..operators import batches, graph, tilemaps, volume
 from ..operators import registration as reg
 from .image_queries import LAP, SOBEL, rows
 from .registry import Tables, query
@@ -113,8 +113,8 @@ TILE, STEP, PLACES = 44, 20, ((1, 0), (0, 1), (1, 1), (0, 0))
 def tile_grid_from_images(t: Tables) -> DataFrame:
     """Each whole slice cut into four overlapping tiles of tilesets named in no order: their images give back the grid."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in parts:
             out = []
             for r in batch.to_dict("records"):
                 image = masks.equalize(masks.gaussian(reg.image(r["h"], r["w"], r["px"])))
@@ -124,4 +124,6 @@ def tile_grid_from_images(t: Tables) -> DataFrame:
             yield pd.DataFrame(out, columns=["grp", "node", "tileset", "tx", "ty", "h", "w", "px"])
 
     tiles = slices(t).where("h = 64").mapInPandas(cut, "grp string, node string, tileset string, tx int, ty int, h int, w int, px binary")
-    return tilemaps.grids(graph.checkpoint(tiles), scales=(1.0,)).select("grp", "tileset", "ox", "oy")
+    with batches.small(tiles.sparkSession):
+        tiles = graph.checkpoint(tiles)
+    return tilemaps.grids(tiles, scales=(1.0,)).select("grp", "tileset", "ox", "oy")
