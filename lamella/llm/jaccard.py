@@ -38,6 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.batches import small
 from .common import ROW, discard, extended, materialize, rooted, small_batches, tidy, with_row
 from .hashing import byte_hashes, grams, grouped, mix, run_hashes
 from .packed import SENT, answers, each_chunk, elsewhere, exchange, flags, normal, send, tasks
@@ -50,7 +51,9 @@ HUBS, ROUNDS = 8, 2
 #: Parts of the hash range in which the suffix filter counts, as a power of two.
 EIGHTHS = 3
 #: Bytes of a chunk of texts, hashes that a task compares, bits of a hash beyond those that count all of them.
-CHUNK, BUCKET, SPARE = 4 << 20, 1 << 22, 20
+CHUNK, BUCKET, SPARE = 1 << 20, 1 << 21, 20
+#: Bytes of an Arrow batch: each thread of an executor's JVM keeps room for the largest outside the heap.
+BATCH = 4 << 20
 #: Bytes hashed at once.
 STEP = 1 << 20
 
@@ -285,8 +288,12 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     of it are null. Repeated rows come back repeated; an empty table gives no
     rows. A text is held whole by one task, with about ten times its bytes.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(docs.sparkSession)
+    with small(docs.sparkSession, BATCH):  # all but the last join runs inside
+        return _near_sets(docs, id_col, text_col, chunk, bucket)
+
+
+def _near_sets(docs: DataFrame, id_col: str, text_col: str, chunk: int, bucket: int) -> DataFrame:
     kind = docs.schema[id_col].dataType
     texts = with_row(docs, F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     chunks = chunked(texts, chunk)
